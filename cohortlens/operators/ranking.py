@@ -55,13 +55,13 @@ def ranking_summary(
         ]
     total = r.agg(F.count(F.lit(1)).alias("_n"))
     a = r.crossJoin(F.broadcast(total)).agg(*aggs)  # one-row total
-    rows = []
+    structs = []
     for i, f in enumerate(fr):
         k = F.ceil(F.col("n") * F.lit(f)).cast("bigint")
         base = F.col("P") / F.col("n")
         prec = F.when(k > 0, F.col(f"ys_{i}") / k)
-        rows.append(
-            a.select(
+        structs.append(
+            F.struct(
                 F.lit(f).alias("frac"),
                 k.alias("k"),
                 base.alias("base_rate"),
@@ -70,12 +70,10 @@ def ranking_summary(
                 F.when(base > 0, prec / base).alias("lift"),
                 F.col(f"pos_{i}").cast("double").alias("positives_in_top"),
                 F.col(f"ss_{i}").alias("expected_score_sum_in_top"),
-            ).filter(F.col("n") > 0)
+            )
         )
-    out = rows[0]
-    for x in rows[1:]:
-        out = out.unionByName(x)
-    return out
+    # one aggregate row -> one output row per fraction (no re-computation per fraction)
+    return a.filter(F.col("n") > 0).select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
 def precision_at_frac(df, label="label", score="score", top_frac=0.2, key="customer_id") -> DataFrame:
