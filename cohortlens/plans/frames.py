@@ -77,3 +77,26 @@ def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_all(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def split_features(spark: SparkSession, sf_dir: str, two_way: bool = False, seed: int = 42) -> DataFrame:
+    """Feature frame with the stratified ``split`` column (P2, or P1 with ``two_way``)."""
+    from ..operators.split import assign_splits
+
+    return assign_splits(campaign_features(spark, sf_dir), stratify_col="label", two_way=two_way, seed=seed)
+
+
+def transformed(spark: SparkSession, sf_dir: str, exact: bool = True):
+    """(feature table over all rows with train-fitted parameters, fitted parameters)."""
+    from ..operators.transform import feature_table
+
+    sp = split_features(spark, sf_dir).persist()
+    return feature_table(sp, F.col("split") == "train", exact=exact)
+
+
+def long_format(df: DataFrame, names, keep=("customer_id", "split", "label")) -> DataFrame:
+    """One row per (row, feature): keeps queries schema-stable when feature names depend on data."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").cast("double").alias("value")) for n in names])
+    return df.select(*[k for k in keep if k in df.columns], F.explode(pairs).alias("_kv")).select(
+        *[k for k in keep if k in df.columns], "_kv.feature", "_kv.value"
+    )

@@ -140,3 +140,82 @@ def with_base(select_sql: str, extra_ctes: str = "") -> str:
     """Prefix a query with the shared derivation CTEs."""
     extra = f",\n{extra_ctes}" if extra_ctes else ""
     return f"WITH {BASE_CTES}{extra}\n{select_sql}"
+
+
+# ---------------------------------------------------------------- splits and train-fitted transforms
+def dbl(x: float) -> str:
+    """A double literal both engines read as the same IEEE value."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+def split_ctes(test_size: float = 0.2, val_size: float = 0.1, seed: int = 42, two_way: bool = False) -> str:
+    """CTE ``sp`` (customer_id, label, split) with the exact-count stratified md5 split."""
+    rel = float(val_size) / (1.0 - float(test_size))
+    need_a = f"CAST(ceil({dbl(val_size if two_way else test_size)} * n) AS BIGINT)"
+    first = "val" if two_way else "test"
+    parts = [
+        f"spb AS (SELECT customer_id, label, coalesce(CAST(label AS VARCHAR), '~null') AS s, "
+        f"md5('{seed}' || '|' || CAST(customer_id AS VARCHAR)) AS h FROM feat)",
+        "spc1 AS (SELECT s, count(*) AS ns FROM spb GROUP BY s)",
+        f"spc2 AS (SELECT s, ns, sum(ns) OVER () AS n, {need_a.replace('n)', '(sum(ns) OVER ()))')} AS need_a FROM spc1)",
+        "spc3 AS (SELECT *, (ns * need_a) // n AS base_a, (ns * need_a) % n AS rem_a FROM spc2)",
+        "spc4 AS (SELECT *, base_a + CAST(row_number() OVER (ORDER BY rem_a DESC, s ASC) <= need_a - sum(base_a) OVER () AS BIGINT) AS a FROM spc3)",
+    ]
+    if two_way:
+        parts.append("spc7 AS (SELECT s, ns, a, CAST(0 AS BIGINT) AS b FROM spc4)")
+    else:
+        parts += [
+            f"spc5 AS (SELECT *, ns - a AS rest_s, n - need_a AS rest, CAST(ceil({dbl(rel)} * (n - need_a)) AS BIGINT) AS need_b FROM spc4)",
+            "spc6 AS (SELECT *, (rest_s * need_b) // rest AS base_b, (rest_s * need_b) % rest AS rem_b FROM spc5)",
+            "spc7 AS (SELECT s, ns, a, base_b + CAST(row_number() OVER (ORDER BY rem_b DESC, s ASC) <= need_b - sum(base_b) OVER () AS BIGINT) AS b FROM spc6)",
+        ]
+    parts += [
+        "sprk AS (SELECT spb.*, row_number() OVER (PARTITION BY s ORDER BY h ASC, customer_id ASC) AS r FROM spb)",
+        f"sp AS (SELECT customer_id, label, CASE WHEN r <= a THEN '{first}' WHEN r <= a + b THEN 'val' ELSE 'train' END AS split "
+        "FROM sprk JOIN spc7 USING (s))",
+    ]
+    return ", ".join(parts)
+
+
+def transform_ctes(numeric, categorical, amounts, lo=0.01, hi=0.99) -> str:
+    """CTEs ``lg`` (logged features + split), ``imp``, ``clp``, ``tf`` (standardised) and ``cats``."""
+    repl = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN ln(1 + greatest(CAST({c} AS DOUBLE), 0.0)) END AS {c}" for c in amounts)
+    lg = f"lg AS (SELECT f.* REPLACE ({repl}), sp.split FROM feat f JOIN sp USING (customer_id))"
+    prm1 = "prm1 AS (SELECT " + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in numeric) + " FROM lg WHERE split = 'train')"
+    modes = ", ".join(
+        f"mode_{c} AS (SELECT {c} AS v FROM lg WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} ASC LIMIT 1)"
+        for c in categorical
+    )
+    imp = (
+        "imp AS (SELECT customer_id, split, label, "
+        + ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in numeric)
+        + (", " if categorical else "")
+        + ", ".join(f"coalesce({c}, (SELECT v FROM mode_{c})) AS {c}" for c in categorical)
+        + " FROM lg, prm1)"
+    )
+    prm2 = (
+        "prm2 AS (SELECT "
+        + ", ".join(f"quantile_cont({c}, [{dbl(lo)}, {dbl(hi)}]) AS q_{c}" for c in numeric)
+        + " FROM imp WHERE split = 'train')"
+    )
+    clp = (
+        "clp AS (SELECT customer_id, split, label, "
+        + ", ".join(f"least(greatest({c}, q_{c}[1]), q_{c}[2]) AS {c}" for c in numeric)
+        + (", " if categorical else "") + ", ".join(categorical)
+        + " FROM imp, prm2)"
+    )
+    prm3 = (
+        "prm3 AS (SELECT "
+        + ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in numeric)
+        + " FROM clp WHERE split = 'train')"
+    )
+    tf = (
+        "tf AS (SELECT customer_id, split, label, "
+        + ", ".join(f"({c} - a_{c}) / (CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1.0 ELSE s_{c} END) AS {c}" for c in numeric)
+        + (", " if categorical else "") + ", ".join(categorical)
+        + " FROM clp, prm3)"
+    )
+    cats = "cats AS (" + " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}' AS col, {c} AS v FROM imp WHERE split = 'train' AND {c} IS NOT NULL" for c in categorical
+    ) + ")"
+    return ", ".join([lg, prm1, modes, imp, prm2, clp, prm3, tf, cats])
