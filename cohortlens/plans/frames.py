@@ -100,3 +100,20 @@ def long_format(df: DataFrame, names, keep=("customer_id", "split", "label")) ->
     return df.select(*[k for k in keep if k in df.columns], F.explode(pairs).alias("_kv")).select(
         *[k for k in keep if k in df.columns], "_kv.feature", "_kv.value"
     )
+
+
+def model_frame(spark: SparkSession, sf_dir: str, exact: bool = True):
+    """Transformed rows with ``xb`` (behaviour) and ``xf`` (full) arrays, persisted.
+
+    Returns (frame, fitted transform). The frame is the one cached input every
+    model iterates over; iterations only ship small parameters to it.
+    """
+    table, ft = transformed(spark, sf_dir, exact=exact)
+    q = lambda n: F.col(f"`{n}`")
+    frame = table.select(
+        "customer_id", "split", F.col("label").cast("int").alias("label"),
+        F.array(*[q(n) for n in ft.behavior_feature_names]).alias("xb"),
+        F.array(*[q(n) for n in ft.all_feature_names]).alias("xf"),
+        F.array(*[q(n) for n in ("recency", "frequency", "monetary")]).alias("xrfm"),
+    )
+    return frame.persist(), ft
