@@ -96,6 +96,27 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score")
     )
 
 
+def curve_metrics(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """K2 + K3 from one running-sum pass over the distinct scores (ascending).
+
+    Descending cumulative counts follow from the totals: ``desc = total - asc + own``.
+    """
+    g = with_running_sums(score_groups(df, label, score), [("s", True)], ["pos", "neg"])
+    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    j = g.crossJoin(F.broadcast(tot))  # one-row total
+    dpos = F.col("P") - F.col("cum_pos") + F.col("pos")
+    dneg = F.col("N") - F.col("cum_neg") + F.col("neg")
+    return j.agg(
+        F.first("P").alias("P"),
+        F.first("N").alias("N"),
+        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.lit(0.5) * F.col("neg"))).alias("_u"),
+        F.sum(F.col("pos") / F.col("P") * dpos / (dpos + dneg)).alias("_ap"),
+    ).select(
+        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_u") / (F.col("P") * F.col("N"))).alias("auc"),
+        F.when(F.col("P") > 0, F.col("_ap")).alias("average_precision"),
+    )
+
+
 def log_loss_brier(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """K4: mean log loss and Brier score on probabilities clipped to [1e-15, 1-1e-15]."""
     v = valid_pairs(df, label, score)
@@ -256,8 +277,7 @@ def prediction_report(df: DataFrame, label: str = "label", score: str = "score",
     """K7: the 13-field metric record (one row) with ``pred = score >= threshold``."""
     v = df.withColumn("pred", (F.col(score) >= F.lit(float(threshold))).cast("int"))
     parts = [
-        roc_auc(v, label, score),
-        average_precision(v, label, score),
+        curve_metrics(v, label, score),
         classification_metrics(valid_pairs(v, label, score).withColumnRenamed("y", label), label, "pred"),
         log_loss_brier(v, label, score),
         expected_calibration_error(

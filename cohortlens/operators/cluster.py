@@ -52,14 +52,21 @@ def kmeans_fit(
 
     Returns centers renumbered by :func:`renumber` and the training cost.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     vec = df.select(array_to_vector(F.col(x)).alias("features")).persist()
-    best, best_cost = None, None
-    for i in range(max(1, int(n_init))):
+    vec.count()
+
+    def one(i):
         model = KMeans(k=k, seed=int(seed) + i, maxIter=max_iter, tol=tol, initMode="k-means||").fit(vec)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost - 1e-12:
-            best, best_cost = np.array(model.clusterCenters()), cost
+        return model.summary.trainingCost, i, np.array(model.clusterCenters())
+
+    # restarts are independent jobs over the same cached input: submit them concurrently
+    n = max(1, int(n_init))
+    with ThreadPoolExecutor(max_workers=min(n, 5)) as pool:
+        results = list(pool.map(one, range(n)))
     vec.unpersist()
+    best_cost, _, best = min(results, key=lambda r: (r[0], r[1]))
     return best[renumber(best)], float(best_cost)
 
 
