@@ -87,3 +87,16 @@ def with_running_sums(df: DataFrame, keys, sum_cols, n_parts: int | None = None,
     out = ordered.join(off, "_pid")
     out = out.withColumns({f"{prefix}{c}": F.sum(c).over(w) + F.col(f"_off_{c}") for c in sum_cols})
     return out.drop("_pid", "_pos", "_off_cnt", *[f"_off_{c}" for c in sum_cols])
+
+
+def rank_within(df: DataFrame, group: str, keys, rank_col: str = "rank_in_group", n_parts: int | None = None) -> DataFrame:
+    """1-based rank inside ``group`` along ``keys`` without putting a group into one task.
+
+    Global rank over (group, keys...) minus the number of rows in earlier groups
+    (group sizes: one row per group, prefix-summed).
+    """
+    ranked = with_global_rank(df, [(group, True)] + list(keys), rank_col="_grank", n_parts=n_parts)
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
+    w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)  # one row per group
+    off = sizes.select(group, F.coalesce(F.sum("_gn").over(w), F.lit(0)).alias("_goff"))
+    return ranked.join(off, group).withColumn(rank_col, F.col("_grank") - F.col("_goff")).drop("_grank", "_goff")
