@@ -197,7 +197,7 @@ def fit_logistic_mllib(df: DataFrame, features_col: str, label: str = "label", w
         regParam=1.0 / (C * float(total)),
         elasticNetParam=0.0,
         standardization=False,
-        tol=1e-10,
+        tol=1e-7,
     )
     if weight_col:
         lr = lr.setWeightCol(weight_col)

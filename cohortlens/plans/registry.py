@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import catalog
-from . import catalog_metrics, catalog_models, catalog_prep, catalog_profiles, catalog_transform  # noqa: F401  (registration side effects)
+from . import catalog_fits, catalog_metrics, catalog_models, catalog_prep, catalog_profiles, catalog_transform  # noqa: F401  (registration side effects)
 
 
 def queries():
