@@ -97,6 +97,59 @@ def class_masses(df: DataFrame, weight_fn, n_experts: int, xf: str = "xf", label
     return pos, neg
 
 
+def stats_length(dim: int) -> int:
+    """Per expert and class: gradient (D+1), Hessian upper triangle, loss, weight mass."""
+    D1 = dim + 1
+    return D1 + D1 * (D1 + 1) // 2 + 2
+
+
+def expert_stats_np(X: np.ndarray, y: np.ndarray, W: np.ndarray, B: np.ndarray) -> np.ndarray:
+    """(A, 2, L) sums per expert and class (0 = negative, 1 = positive rows) at coefficients B (A, D+1).
+
+    Keeping the classes apart lets the driver apply any balancing factor after
+    the pass, so the masses and the first Newton step come out of one scan.
+    """
+    n, d = X.shape
+    D1 = d + 1
+    tri = np.triu_indices(D1)
+    X1 = np.hstack([np.ones((n, 1)), X])
+    eta = X1 @ B.T
+    p = 1.0 / (1.0 + np.exp(-eta))
+    out = np.zeros((B.shape[0], 2, stats_length(d)))
+    for c in (0, 1):
+        m = y == c
+        if not m.any():
+            continue
+        Xc, yc = X1[m], y[m]
+        for j in range(B.shape[0]):
+            w = W[m, j]
+            pj = p[m, j]
+            g = Xc.T @ (w * (pj - yc))
+            h = (Xc * (w * pj * (1 - pj))[:, None]).T @ Xc
+            loss = np.sum(w * (np.logaddexp(0.0, eta[m, j]) - yc * eta[m, j]))
+            out[j, c] = np.r_[g, h[tri], loss, w.sum()]
+    return out
+
+
+def _stats_pass(df: DataFrame, weight_fn, cols: np.ndarray, B: np.ndarray, xf: str, label: str) -> np.ndarray:
+    d = B.shape[1] - 1
+    L = stats_length(d)
+
+    def emit(it):
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            X = _to_arrays(pdf, xf)
+            y = pdf[label].to_numpy(float)
+            st = expert_stats_np(X, y, weight_fn(pdf)[:, cols], B)
+            v = st.ravel()
+            yield pd.DataFrame({"e": np.zeros(v.size, int), "i": np.arange(v.size), "v": v})
+
+    sums = _sum_rows(df, emit, "e int, i int, v double")
+    v = np.array([sums.get((0, i), 0.0) for i in range(len(cols) * 2 * L)])
+    return v.reshape(len(cols), 2, L)
+
+
 def fit_experts(
     df: DataFrame,
     weight_fn,
@@ -109,14 +162,33 @@ def fit_experts(
     tol: float = 1e-7,
     xf: str = "xf",
     label: str = "label",
-    masses: tuple | None = None,
     init: list | None = None,
+    first: np.ndarray | None = None,
+    masses: tuple | None = None,
 ) -> list:
     """Fit ``n_experts`` weighted L2 logistic experts at once (fused Newton, G14 guards).
 
-    ``init`` warm-starts Newton from previous coefficients (EM refits move little).
+    Minimises ``C * sum(w * loss) + ||beta||^2 / 2`` (intercept not penalised).
+    ``init`` warm-starts from previous coefficients; ``first`` are the statistics
+    at those coefficients when a caller already computed them in its own pass
+    (the EM step does, inside the E-step scan). Steps that raise the objective
+    are halved, so Newton stays monotone from any start.
     """
-    pos, neg = masses if masses is not None else class_masses(df, weight_fn, n_experts, xf, label)
+    D1 = dim + 1
+    tri = np.triu_indices(D1)
+    n_tri = len(tri[0])
+
+    def start(e):
+        if init is not None and e < len(init) and init[e] is not None and init[e].coef is not None:
+            return np.array(init[e].coef, float)
+        return np.zeros(D1)
+
+    all_cols = np.arange(n_experts)
+    beta = {e: start(e) for e in range(n_experts)}
+    st = first if first is not None else _stats_pass(df, weight_fn, all_cols, np.stack([beta[e] for e in all_cols]), xf, label)
+    neg, pos = st[:, 0, -1], st[:, 1, -1]
+    if masses is not None:
+        pos, neg = np.asarray(masses[0], float), np.asarray(masses[1], float)
     tot = pos + neg
     experts: list = [None] * n_experts
     active = []
@@ -130,58 +202,52 @@ def fit_experts(
     if not active:
         return experts
     f_neg, f_pos = balance_factors(pos, neg, balance)
-    D1 = dim + 1
-    beta = {
-        e: (np.array(init[e].coef, float) if init is not None and e < len(init) and init[e] is not None and init[e].coef is not None else np.zeros(D1))
-        for e in active
-    }
-    act = np.array(active)
+    reg = np.ones(D1)
+    reg[0] = 0.0  # intercept not penalised
+    cur = {e: st[e] for e in active}
+    prev_obj = {e: None for e in active}
+    prev_beta = {e: None for e in active}
+    prev_step = {e: None for e in active}
+    done = {e: False for e in active}
+
+    def combine(e, s):
+        v = f_neg[e] * s[0] + f_pos[e] * s[1]
+        g = C * v[:D1] + reg * beta[e]
+        H = np.zeros((D1, D1))
+        H[tri] = C * v[D1 : D1 + n_tri]
+        H = H + H.T - np.diag(np.diag(H)) + np.diag(reg)
+        obj = C * v[D1 + n_tri] + 0.5 * float(reg @ (beta[e] ** 2))
+        return g, H, obj
+
     for _ in range(max_newton):
-        B = np.stack([beta[e] for e in active])  # (A, D1)
-        fn, fp = f_neg[act], f_pos[act]
-        tri = np.triu_indices(D1)
-
-        def emit(it, B=B, fn=fn, fp=fp):
-            for pdf in it:
-                if len(pdf) == 0:
-                    continue
-                X = _to_arrays(pdf, xf)
-                X1 = np.hstack([np.ones((X.shape[0], 1)), X])
-                y = pdf[label].to_numpy(float)
-                W = weight_fn(pdf)[:, act] * np.where(y[:, None] > 0, fp[None, :], fn[None, :])
-                eta = X1 @ B.T  # (n, A)
-                p = 1.0 / (1.0 + np.exp(-eta))
-                rows_e, rows_i, rows_v = [], [], []
-                for j in range(len(act)):
-                    w = W[:, j]
-                    g = X1.T @ (w * (p[:, j] - y))
-                    h = (X1 * (w * p[:, j] * (1 - p[:, j]))[:, None]).T @ X1
-                    loss = np.sum(w * (np.logaddexp(0.0, eta[:, j]) - y * eta[:, j]))
-                    vals = np.r_[g, h[tri], loss]
-                    rows_e.append(np.full(vals.size, int(act[j])))
-                    rows_i.append(np.arange(vals.size))
-                    rows_v.append(vals)
-                yield pd.DataFrame({"e": np.concatenate(rows_e), "i": np.concatenate(rows_i), "v": np.concatenate(rows_v)})
-
-        sums = _sum_rows(df, emit, "e int, i int, v double")
-        n_tri = len(tri[0])
-        done = True
+        moving = []
         for e in active:
-            vec = np.array([sums.get((e, i), 0.0) for i in range(D1 + n_tri + 1)])
-            g = C * vec[:D1]
-            H = np.zeros((D1, D1))
-            H[tri] = C * vec[D1 : D1 + n_tri]
-            H = H + H.T - np.diag(np.diag(H))
-            reg = np.ones(D1)
-            reg[0] = 0.0  # intercept not penalised
-            g = g + reg * beta[e]
-            H = H + np.diag(reg)
+            if done[e]:
+                continue
+            g, H, obj = combine(e, cur[e])
+            if prev_obj[e] is not None and obj > prev_obj[e] + 1e-12 * max(1.0, abs(prev_obj[e])):
+                # the last step overshot: go back half way and re-evaluate
+                prev_step[e] = prev_step[e] / 2.0
+                beta[e] = prev_beta[e] - prev_step[e]
+                if np.max(np.abs(prev_step[e])) <= tol:
+                    beta[e] = prev_beta[e]
+                    done[e] = True
+                else:
+                    moving.append(e)
+                continue
             step = np.linalg.solve(H + 1e-12 * np.eye(D1), g)
+            prev_obj[e], prev_beta[e], prev_step[e] = obj, beta[e].copy(), step
             beta[e] = beta[e] - step
-            if np.max(np.abs(step)) > tol:
-                done = False
-        if done:
+            if np.max(np.abs(step)) <= tol:
+                done[e] = True
+            else:
+                moving.append(e)
+        if not moving:
             break
+        cols = np.array(moving)
+        new = _stats_pass(df, weight_fn, cols, np.stack([beta[e] for e in moving]), xf, label)
+        for j, e in enumerate(moving):
+            cur[e] = new[j]
     for e in active:
         experts[e] = Expert(coef=beta[e])
     return experts

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import soft
 from .cluster import distances, kmeans_fit
-from .experts import Expert, _sum_rows, _to_arrays, fit_experts
+from .experts import Expert, _sum_rows, _to_arrays, expert_stats_np, fit_experts, stats_length
 
 P_CLIP = 1e-7
 LOG_EPS = 1e-12
@@ -339,10 +339,14 @@ def _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label,
     prev = None  # parameters of the previous E-step (None -> K-Means start)
     for it in range(int(cfg.max_iter)):
         cur = prm
+        # experts are warm-started from the current coefficients; their first Newton
+        # statistics come out of the same scan as the E-step
+        init = list(cur.experts) + ([cur.global_expert] if use_glob else [])
+        B0 = np.stack([e.coef if (e is not None and e.coef is not None) else np.zeros(D + 1) for e in init])
         if cfg.model_type == "ramoe":
-            stats = _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label)
+            stats = _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0, use_glob)
         else:
-            stats = _hard_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label)
+            stats = _hard_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0)
         change = stats["chg"] / float(n)
         trace["change_ratio"].append(change)
         if cfg.model_type == "ramoe":
@@ -350,11 +354,8 @@ def _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label,
             new = _mstep_gating(train, cfg, cur, stats, n, d, K, it, x, xf, label)
             # K segment experts and the global expert in the same fused Newton passes
             w_fn = _with_global(_q_weights(cfg, cur, K, x, xf, label), use_glob)
-            pos, neg = stats["pos"], stats["neg"]
-            if use_glob:
-                pos, neg = np.r_[pos, stats["ypos"]], np.r_[neg, n - stats["ypos"]]
             fitted = fit_experts(train, w_fn, K + use_glob, D, cfg.logreg_C, balance, global_rate, xf=xf, label=label,
-                                 masses=(pos, neg))
+                                 init=init, first=stats["expert"])
             experts, glob = fitted[:K], (fitted[K] if use_glob else None)
             prm = JointParams(pi=new[0], mu=new[1], var=new[2], experts=experts, global_expert=glob)
         else:
@@ -366,7 +367,7 @@ def _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label,
                     mu[k] = _md5_row(train, f"{cfg.random_state}|{it}|{k}", x)
             w_fn = _hard_weights(cfg, cur, K, x, xf, label)
             experts = fit_experts(train, w_fn, K, D, cfg.logreg_C, balance, global_rate, xf=xf, label=label,
-                                  masses=(stats["pos"], stats["neg"]))
+                                  init=init, first=stats["expert"])
             prm = JointParams(pi=stats["N"] / float(n), mu=mu, var=None, experts=experts)
         prev = cur
         if change < cfg.tol:
@@ -406,9 +407,10 @@ def _prev_assign(Xb, Xf, y, prev, mu0, cfg, hard: bool):
     return np.argmax(q, 1)
 
 
-def _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label) -> dict:
+def _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0, use_glob) -> dict:
     """E-step + sufficient statistics for the gating M-step and the experts (one pass)."""
     mu_old = cur.mu
+    n_exp, L = B0.shape[0], stats_length(B0.shape[1] - 1)
 
     def emit(it):
         for pdf in it:
@@ -425,11 +427,13 @@ def _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label) -> dict:
             vals.append((q * y[:, None]).sum(0))
             vals.append((q * (1 - y)[:, None]).sum(0))
             vals.append(np.array([lse.sum(), float((z != zp).sum()), y.sum()]))
+            W = np.hstack([q, np.ones((len(y), 1))]) if use_glob else q
+            vals.append(expert_stats_np(Xf, y, W, B0).ravel())
             v = np.concatenate(vals)
             yield pd.DataFrame({"e": np.zeros(v.size, int), "i": np.arange(v.size), "v": v})
 
     sums = _sum_rows(train, emit, "e int, i int, v double")
-    size = K + 2 * K * d + 2 * K + 3
+    size = K + 2 * K * d + 2 * K + 3 + n_exp * 2 * L
     v = np.array([sums.get((0, i), 0.0) for i in range(size)])
     o = 0
     N = v[o : o + K]; o += K
@@ -438,10 +442,14 @@ def _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label) -> dict:
     pos = v[o : o + K]; o += K
     neg = v[o : o + K]; o += K
     ll, chg, ypos = v[o], v[o + 1], v[o + 2]
-    return {"N": N, "S1": S1, "S2": S2, "pos": pos, "neg": neg, "ll": ll, "chg": chg, "ypos": ypos}
+    o += 3
+    ex = v[o : o + n_exp * 2 * L].reshape(n_exp, 2, L)
+    return {"N": N, "S1": S1, "S2": S2, "pos": pos, "neg": neg, "ll": ll, "chg": chg, "ypos": ypos, "expert": ex}
 
 
-def _hard_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label) -> dict:
+def _hard_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0) -> dict:
+    n_exp, L = B0.shape[0], stats_length(B0.shape[1] - 1)
+
     def emit(it):
         for pdf in it:
             if len(pdf) == 0:
@@ -451,14 +459,14 @@ def _hard_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label) -> dict:
             zp = _prev_assign(Xb, Xf, y, prev, mu0, cfg, hard=True)
             Z = np.eye(K)[z]
             v = np.concatenate([Z.sum(0), (Z.T @ Xb).ravel(), (Z * y[:, None]).sum(0), (Z * (1 - y)[:, None]).sum(0),
-                                [float((z != zp).sum())]])
+                                [float((z != zp).sum())], expert_stats_np(Xf, y, Z, B0).ravel()])
             yield pd.DataFrame({"e": np.zeros(v.size, int), "i": np.arange(v.size), "v": v})
 
     sums = _sum_rows(train, emit, "e int, i int, v double")
-    size = K + K * d + 2 * K + 1
-    v = np.array([sums.get((0, i), 0.0) for i in range(size)])
+    base = K + K * d + 2 * K + 1
+    v = np.array([sums.get((0, i), 0.0) for i in range(base + n_exp * 2 * L)])
     return {"N": v[:K], "S1": v[K : K + K * d].reshape(K, d), "pos": v[K + K * d : 2 * K + K * d],
-            "neg": v[2 * K + K * d : 3 * K + K * d], "chg": v[-1]}
+            "neg": v[2 * K + K * d : 3 * K + K * d], "chg": v[base - 1], "expert": v[base:].reshape(n_exp, 2, L)}
 
 
 def _mstep_gating(train, cfg, cur, st, n, d, K, it, x, xf, label):
