@@ -63,7 +63,7 @@ def kmeans_fit(
 
     # restarts are independent jobs over the same cached input: submit them concurrently
     n = max(1, int(n_init))
-    with ThreadPoolExecutor(max_workers=min(n, 5)) as pool:
+    with ThreadPoolExecutor(max_workers=min(n, 8)) as pool:
         results = list(pool.map(one, range(n)))
     vec.unpersist()
     best_cost, _, best = min(results, key=lambda r: (r[0], r[1]))
