@@ -1,92 +1,127 @@
 """Global ranks and running sums without an unpartitioned window.
 
 ``row_number().over(Window.orderBy(...))`` moves every row into one task. Here
-the rows are range-partitioned on the full sort key (ties are split by the
-tie-break column, so a hot score value spreads over many partitions), sorted
-inside each partition, and numbered locally with ``monotonically_increasing_id``
-(partition index in the upper bits, position in the lower 33 bits). Partition
-sizes (one row per partition, bounded by the partition count) are prefix-summed
-and broadcast back as offsets.
+rows are split into value ranges ("buckets") of the full, unique sort key:
+
+1. boundaries are the evenly spaced rows of a small md5-chosen sample of the
+   keys (deterministic, independent of partitioning; its size is bounded by
+   ``SAMPLE_PER_BUCKET * n_buckets``);
+2. each row's bucket is the number of boundaries at or before it in sort order
+   (a column expression; ties of the first key are split by the next keys, so
+   a hot score value spreads over several buckets);
+3. inside a bucket a partitioned window numbers / accumulates the rows;
+4. bucket totals (one row per bucket) are prefix-summed and broadcast back.
+
+Every step depends on values only, so a re-evaluated branch or a recomputed
+partition after an executor loss gives the same numbers.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOW_BITS = 33
+SAMPLE_PER_BUCKET = 20
+MAX_BUCKETS = 1024
+ROWS_PER_BUCKET = 2_000_000
 
 
-def _sort_cols(keys) -> list[Column]:
+def _norm_keys(keys) -> list[tuple[str, bool]]:
     out = []
     for k in keys:
-        if isinstance(k, Column):
-            out.append(k)
-        elif isinstance(k, tuple):
-            name, asc = k
-            out.append(F.col(name).asc() if asc else F.col(name).desc())
+        if isinstance(k, tuple):
+            out.append((k[0], bool(k[1])))
         else:
-            out.append(F.col(k).asc())
+            out.append((k, True))
     return out
 
 
-def default_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+def _sort_cols(keys) -> list[Column]:
+    return [F.col(n).asc() if asc else F.col(n).desc() for n, asc in _norm_keys(keys)]
+
+
+def default_buckets(df: DataFrame, n: int) -> int:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    return int(max(1, min(MAX_BUCKETS, max(parts, math.ceil(n / ROWS_PER_BUCKET)))))
+
+
+def _boundaries(df: DataFrame, keys, n_buckets: int | None):
+    """Sorted boundary tuples (at most n_buckets - 1) from an md5-chosen sample of the keys."""
+    names = [n for n, _ in keys]
+    n = df.count()
+    b = n_buckets or default_buckets(df, n)
+    if n == 0 or b <= 1:
+        return []
+    frac = min(1.0, SAMPLE_PER_BUCKET * b / float(n))
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in names])), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    sample = df.filter(h < F.lit(frac)).select(*names).orderBy(*_sort_cols(keys)).collect()  # bounded by frac * n
+    if not sample:
+        return []
+    step = len(sample) / float(b)
+    picks = sorted({min(len(sample) - 1, int(round(step * i))) for i in range(1, b)})
+    out = []
+    for i in picks:
+        t = tuple(sample[i][c] for c in names)
+        if not out or out[-1] != t:
+            out.append(t)
+    return out
 
 
-def range_ordered(df: DataFrame, keys, n_parts: int | None = None) -> DataFrame:
-    """Rows range-partitioned and locally sorted on ``keys``; adds ``_pid`` and ``_pos``."""
-    n = n_parts or default_parts(df)
-    cols = _sort_cols(keys)
-    mid = F.monotonically_increasing_id()
-    return (
-        df.repartitionByRange(n, *cols)
-        .sortWithinPartitions(*cols)
-        .withColumn("_mid", mid)
-        .withColumns(
-            {
-                "_pid": F.shiftright(F.col("_mid"), _LOW_BITS),
-                "_pos": F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1)),
-            }
-        )
-        .drop("_mid")
-    )
+def _at_or_after(keys, bound) -> Column:
+    """True when the row is at or after ``bound`` in the (lexicographic) sort order."""
+    expr = None
+    for (name, asc), v in reversed(list(zip(keys, bound))):
+        c, lit = F.col(name), F.lit(v)
+        after = (c > lit) if asc else (c < lit)
+        expr = (c >= lit if asc else c <= lit) if expr is None else (after | ((c == lit) & expr))
+    return expr
+
+
+def with_bucket(df: DataFrame, keys, n_buckets: int | None = None, col: str = "_bucket") -> DataFrame:
+    keys = _norm_keys(keys)
+    # the input is read three times (count, boundary sample, main pass): keep it cached
+    df = df.persist()
+    bounds = _boundaries(df, keys, n_buckets)
+    b = F.lit(0)
+    for bound in bounds:
+        b = b + _at_or_after(keys, bound).cast("int")
+    return df.withColumn(col, b)
 
 
-def _offsets(ordered: DataFrame, sum_cols=()) -> DataFrame:
-    """Per-partition totals turned into exclusive prefix offsets (one row per partition)."""
+def _offsets(bucketed: DataFrame, sum_cols=()) -> DataFrame:
+    """Per-bucket totals turned into exclusive prefix offsets (one row per bucket)."""
     aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(c).alias(f"_tot_{c}") for c in sum_cols]
-    per = ordered.groupBy("_pid").agg(*aggs)
-    # one row per partition: this window runs over at most n_parts rows
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = bucketed.groupBy("_bucket").agg(*aggs)
+    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
     cols = [F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off_cnt")]
     cols += [F.coalesce(F.sum(f"_tot_{c}").over(w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols]
-    return F.broadcast(per.select("_pid", *cols))
+    return F.broadcast(per.select("_bucket", *cols))
 
 
 def with_global_rank(df: DataFrame, keys, rank_col: str = "rank", n_parts: int | None = None) -> DataFrame:
     """1-based position in the total order ``keys`` (must be unique, e.g. end with the id)."""
-    ordered = range_ordered(df, keys, n_parts)
-    off = _offsets(ordered)
+    keys = _norm_keys(keys)
+    bucketed = with_bucket(df, keys, n_parts)
+    off = _offsets(bucketed)
+    w = Window.partitionBy("_bucket").orderBy(*_sort_cols(keys))
     return (
-        ordered.join(off, "_pid")
-        .withColumn(rank_col, F.col("_off_cnt") + F.col("_pos") + F.lit(1))
-        .drop("_pid", "_pos", "_off_cnt")
+        bucketed.join(off, "_bucket")
+        .withColumn(rank_col, F.col("_off_cnt") + F.row_number().over(w))
+        .drop("_bucket", "_off_cnt")
     )
 
 
 def with_running_sums(df: DataFrame, keys, sum_cols, n_parts: int | None = None, prefix: str = "cum_") -> DataFrame:
-    """Inclusive running sums of ``sum_cols`` along the unique order ``keys``.
-
-    Inside a partition the running sum is a window partitioned by the range
-    partition id; across partitions the broadcast offsets are added.
-    """
-    ordered = range_ordered(df, keys, n_parts)
-    off = _offsets(ordered, sum_cols)
-    w = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    out = ordered.join(off, "_pid")
+    """Inclusive running sums of ``sum_cols`` along the unique order ``keys``."""
+    keys = _norm_keys(keys)
+    bucketed = with_bucket(df, keys, n_parts)
+    off = _offsets(bucketed, sum_cols)
+    w = Window.partitionBy("_bucket").orderBy(*_sort_cols(keys)).rowsBetween(Window.unboundedPreceding, 0)
+    out = bucketed.join(off, "_bucket")
     out = out.withColumns({f"{prefix}{c}": F.sum(c).over(w) + F.col(f"_off_{c}") for c in sum_cols})
-    return out.drop("_pid", "_pos", "_off_cnt", *[f"_off_{c}" for c in sum_cols])
+    return out.drop("_bucket", "_off_cnt", *[f"_off_{c}" for c in sum_cols])
 
 
 def rank_within(df: DataFrame, group: str, keys, rank_col: str = "rank_in_group", n_parts: int | None = None) -> DataFrame:
@@ -95,8 +130,8 @@ def rank_within(df: DataFrame, group: str, keys, rank_col: str = "rank_in_group"
     Global rank over (group, keys...) minus the number of rows in earlier groups
     (group sizes: one row per group, prefix-summed).
     """
-    ranked = with_global_rank(df, [(group, True)] + list(keys), rank_col="_grank", n_parts=n_parts)
+    ranked = with_global_rank(df, [(group, True)] + _norm_keys(keys), rank_col="_grank", n_parts=n_parts)
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
     w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)  # one row per group
     off = sizes.select(group, F.coalesce(F.sum("_gn").over(w), F.lit(0)).alias("_goff"))
-    return ranked.join(off, group).withColumn(rank_col, F.col("_grank") - F.col("_goff")).drop("_grank", "_goff")
+    return ranked.join(F.broadcast(off), group).withColumn(rank_col, F.col("_grank") - F.col("_goff")).drop("_grank", "_goff")
