@@ -118,3 +118,8 @@ def q_downstream_table(spark, sf_dir):
 def q_ablation_table(spark, sf_dir):
     # reduced grid for the routine check; jobs.ablation_table defaults to the full 60-setting grid
     return jobs.records_frame(spark, jobs.ablation_table(_ctx(spark, sf_dir), ks=(3, 4), lambdas=(0.0, 1.0), temps=(1.0,)))
+
+
+@register("curve_tables")
+def q_curve_tables(spark, sf_dir):
+    return tidy(jobs.curve_tables(jobs.JobContext(spark, sf_dir, two_way=True)))

@@ -86,11 +86,11 @@ def split_features(spark: SparkSession, sf_dir: str, two_way: bool = False, seed
     return assign_splits(campaign_features(spark, sf_dir), stratify_col="label", two_way=two_way, seed=seed)
 
 
-def transformed(spark: SparkSession, sf_dir: str, exact: bool = True):
+def transformed(spark: SparkSession, sf_dir: str, exact: bool = True, two_way: bool = False):
     """(feature table over all rows with train-fitted parameters, fitted parameters)."""
     from ..operators.transform import feature_table
 
-    sp = split_features(spark, sf_dir).persist()
+    sp = (split_features(spark, sf_dir, two_way=True) if two_way else split_features(spark, sf_dir)).persist()
     return feature_table(sp, F.col("split") == "train", exact=exact)
 
 
@@ -102,13 +102,13 @@ def long_format(df: DataFrame, names, keep=("customer_id", "split", "label")) ->
     )
 
 
-def model_frame(spark: SparkSession, sf_dir: str, exact: bool = True):
+def model_frame(spark: SparkSession, sf_dir: str, exact: bool = True, two_way: bool = False):
     """Transformed rows with ``xb`` (behaviour) and ``xf`` (full) arrays, persisted.
 
     Returns (frame, fitted transform). The frame is the one cached input every
     model iterates over; iterations only ship small parameters to it.
     """
-    table, ft = transformed(spark, sf_dir, exact=exact)
+    table, ft = transformed(spark, sf_dir, exact=exact, two_way=two_way)
     q = lambda n: F.col(f"`{n}`")
     frame = table.select(
         "customer_id", "split", F.col("label").cast("int").alias("label"),

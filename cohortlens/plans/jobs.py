@@ -25,9 +25,9 @@ TOP_FRAC = 0.2
 class JobContext:
     """Shared cached inputs of all jobs."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, exact: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, exact: bool = True, two_way: bool = False):
         self.spark = spark
-        self.frame, self.fitted = model_frame(spark, sf_dir, exact=exact)
+        self.frame, self.fitted = model_frame(spark, sf_dir, exact=exact, two_way=two_way)
         self.train = self.frame.filter(F.col("split") == "train").persist()
         self.fits: dict = {}  # fitted joint models by configuration (the downstream job re-uses them)
 
@@ -215,3 +215,50 @@ def records_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
     rows = [tuple(float(d[k]) if types[k] == "double" and d[k] is not None else (str(d[k]) if types[k] == "string" and d[k] is not None else d[k]) for k in keys) for d in data]
     return spark.createDataFrame(rows, schema)
+
+
+def _newton_scores(frame: DataFrame, extra: list[str]) -> DataFrame:
+    """Balanced logistic fitted on train rows; ``score`` for every row."""
+    cols = F.concat(F.col("xf"), F.array(*[F.col(c) for c in extra])) if extra else F.col("xf")
+    f = frame.withColumn("xf", cols)
+    train = f.filter(F.col("split") == "train").select("label", "xf")
+    D = train.select(F.size("xf")).first()[0]
+    model = experts.fit_experts(train, lambda pdf: np.ones((len(pdf), 1)), 1, D, 1.0, "class_weight", 0.5)[0]
+    return f.withColumn("score", joint._expert_col(model, F.col("xf")))
+
+
+def curve_tables(ctx: JobContext, k: int = 4, seed: int = 42, cfg: joint.JointConfig | None = None) -> DataFrame:
+    """M8: four predictors scored on the held-out rows; ROC, PR, reliability and lift points per model.
+
+    ``ctx`` should hold a two-way split (``JobContext(..., two_way=True)``): fit on train, curves on val.
+    Returns one long frame (model, curve, x, y); each curve is computed by the distributed operators
+    and the four models are unioned (their number is fixed).
+    """
+    from ..operators import profiles
+
+    cfg = cfg or joint.JointConfig.preset("yaml")
+    base = ctx.frame
+    centers, _ = clu.kmeans_fit(ctx.train, "xb", k, seed, 10)
+    km = _onehot_ids(_assign(base, centers, "xb"), k, "km")
+    prm, _, moe = fit_main(ctx, cfg)
+    ra = _onehot_ids(moe.drop("score"), k, "ra")
+    scored = {
+        "base_logistic": _newton_scores(base, []),
+        "base_plus_kmeans": _newton_scores(km, [f"km_{j}" for j in range(k)]),
+        "base_plus_response_aware": _newton_scores(ra, [f"ra_{j}" for j in range(k)]),
+        "response_aware_direct": moe,
+    }
+    parts = []
+    for name, s in scored.items():
+        hold = s.filter(F.col("split") == "val").select("customer_id", "label", "score")
+        pts = profiles.curve_points(hold)
+        parts.append(pts.select(F.lit(name).alias("model"), F.lit("roc").alias("curve"), F.col("fpr").alias("x"), F.col("tpr").alias("y")))
+        parts.append(pts.select(F.lit(name).alias("model"), F.lit("pr").alias("curve"), F.col("recall").alias("x"), F.col("precision").alias("y")))
+        rel = profiles.reliability_table(hold)
+        parts.append(rel.select(F.lit(name).alias("model"), F.lit("reliability").alias("curve"), F.col("mean_score").alias("x"), F.col("frac_pos").alias("y")))
+        lift = ranking.lift_curve(hold)
+        parts.append(lift.select(F.lit(name).alias("model"), F.lit("lift").alias("curve"), F.col("frac").alias("x"), F.col("lift").alias("y")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
