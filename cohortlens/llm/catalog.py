@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, simhash
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op7_simhash_golay": simhash.op7_simhash_golay,
 }
 
 ORACLES = {
