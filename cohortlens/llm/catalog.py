@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash
+from . import exact_dedup, mixing, packing, quality, simhash
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_mix_poisson": mixing.op3_mix_poisson,
+    "op4_quality_weak_labels": quality.op4_quality_weak_labels,
     "op7_simhash_golay": simhash.op7_simhash_golay,
+    "op8_pack_documents": packing.op8_pack_documents,
 }
 
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op3_mix_poisson": mixing.ORACLE,
 }

@@ -60,7 +60,9 @@ def progressive_dedup(docs: DataFrame, prefix_chars: int = PREFIX_CHARS, digest_
     key = ["_length", "_prefix", "text_sha256"]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
     groups = rows.filter("refined").groupBy(*key).agg(first.alias("_first"), F.count(F.lit(1)).alias("_size")).filter("_size > 1")
-    # A hot group is one row on the right and many on the left, which adaptive skew handling splits.
+    # Written, so that the join deals both sides anew: a hot group is then one row on the right and many
+    # on the left, which adaptive skew handling splits (not so if the join took over the partitions of the count).
+    groups = written(groups, "dedup-groups")
     out = rows.filter("refined").join(groups, key, "left").unionByName(
         rows.filter("not refined").withColumns({"_first": F.lit(None).cast(groups.schema["_first"].dataType), "_size": F.lit(None).cast("long")})
     )
