@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality, simhash
+from . import exact_dedup, mixing, packing, pii, quality, simhash
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_mix_poisson": mixing.op3_mix_poisson,
     "op4_quality_weak_labels": quality.op4_quality_weak_labels,
+    "op5_pii_native": pii.op5_pii_native,
     "op7_simhash_golay": simhash.op7_simhash_golay,
     "op8_pack_documents": packing.op8_pack_documents,
 }
@@ -15,4 +16,5 @@ QUERIES = {
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op3_mix_poisson": mixing.ORACLE,
+    "op5_pii_native": pii.ORACLE,
 }
