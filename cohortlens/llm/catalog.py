@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, pii, quality, simhash
+from . import exact_dedup, mixing, packing, pii, quality, simhash, toxicity
 
 QUERIES = {
+    "op1_toxicity_mil": toxicity.op1_toxicity_mil,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_mix_poisson": mixing.op3_mix_poisson,
     "op4_quality_weak_labels": quality.op4_quality_weak_labels,
