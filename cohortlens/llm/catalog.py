@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, pii, quality, simhash, toxicity
+from . import exact_dedup, licences, mixing, packing, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity_mil": toxicity.op1_toxicity_mil,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_pii_native": pii.op5_pii_native,
     "op7_simhash_golay": simhash.op7_simhash_golay,
     "op8_pack_documents": packing.op8_pack_documents,
+    "op9_licence_scan": licences.op9_licence_scan,
 }
 
 ORACLES = {
