@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, licences, mixing, packing, pii, quality, simhash, toxicity
+from . import exact_dedup, licences, mixing, packing, parsing, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity_mil": toxicity.op1_toxicity_mil,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_simhash_golay": simhash.op7_simhash_golay,
     "op8_pack_documents": packing.op8_pack_documents,
     "op9_licence_scan": licences.op9_licence_scan,
+    "op10_parse_fingerprints": parsing.op10_parse_fingerprints,
 }
 
 ORACLES = {
