@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, licences, mixing, packing, parsing, pii, quality, simhash, toxicity
+from . import chat, exact_dedup, licences, mixing, packing, parsing, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity_mil": toxicity.op1_toxicity_mil,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mix_poisson": mixing.op3_mix_poisson,
     "op4_quality_weak_labels": quality.op4_quality_weak_labels,
     "op5_pii_native": pii.op5_pii_native,
+    "op6_rotate_perspectives": chat.op6_rotate_perspectives,
     "op7_simhash_golay": simhash.op7_simhash_golay,
     "op8_pack_documents": packing.op8_pack_documents,
     "op9_licence_scan": licences.op9_licence_scan,
@@ -20,4 +21,5 @@ ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op3_mix_poisson": mixing.ORACLE,
     "op5_pii_native": pii.ORACLE,
+    "op6_rotate_perspectives": chat.ORACLE,
 }
