@@ -24,6 +24,8 @@ CONTEXT_CHARS = 40
 #: Added kinds are reported from this score on.
 REPORTED = 60
 CONTEXT_GAIN, CONTEXT_LOSS = 25, 30
+#: Matches of a text that are gathered before they are appended to its spans.
+BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -98,30 +100,55 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(kind: Kind, order: int, matches: Column, gaps: Column) -> Column:
-    """Array of (start, order, end, name, score) of the confirmed matches."""
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(gaps[i])
-        end = start + F.length(matches[i])
-        before = F.concat(acc["before"], gaps[i])
-        near = F.lower(F.substring(before, F.greatest(F.length(before) - CONTEXT_CHARS + 1, F.lit(1)), F.lit(CONTEXT_CHARS)))
-        score = (
+    """Array of (start, order, end, name, score) of the confirmed matches.
+
+    Matches are taken in blocks: an array that grows by one is copied each time, so a block's own
+    array is filled first and then appended, which keeps texts with very many matches from going quadratic.
+    """
+    none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,score:int>>")
+    tail = lambda s: F.substring(s, F.greatest(F.length(s) - CONTEXT_CHARS + 1, F.lit(1)), F.lit(CONTEXT_CHARS))
+
+    def scored(near: Column) -> Column:
+        return (
             F.lit(kind.score)
             + F.when(near.rlike(rf"(?:^|[^a-z])(?:{kind.near})"), CONTEXT_GAIN).otherwise(0)
             - F.when(near.rlike(rf"(?:^|[^a-z])(?:{UNLIKELY})"), CONTEXT_LOSS).otherwise(0)
         )
-        span = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(kind.name).alias("kind"), score.alias("score"))
-        tail = F.concat(before, matches[i])
-        return F.struct(
-            end.alias("at"),
-            F.substring(tail, F.greatest(F.length(tail) - CONTEXT_CHARS + 1, F.lit(1)), F.lit(CONTEXT_CHARS)).alias("before"),
-            F.when(_confirmed(kind.name, matches[i]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
+
+    def step(acc: Column, i: Column) -> Column:
+        here = F.struct(
+            (acc["at"] + F.length(gaps[i])).alias("start"),
+            (acc["at"] + F.length(gaps[i]) + F.length(matches[i])).alias("end"),
+            tail(F.concat(acc["before"], gaps[i])).alias("near"),
+            _confirmed(kind.name, matches[i]).alias("confirmed"),
+        )
+
+        def grown(x: Column) -> Column:
+            span = F.struct(x["start"].alias("start"), F.lit(order).alias("order"), x["end"].alias("end"), F.lit(kind.name).alias("kind"), scored(F.lower(x["near"])).alias("score"))
+            return F.struct(
+                x["end"].alias("at"), tail(F.concat(x["near"], matches[i])).alias("before"),
+                F.when(x["confirmed"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
+            )
+
+        return _bound(here, grown)
+
+    def block(acc: Column, first: Column) -> Column:
+        last = F.least(first + BLOCK - 1, F.size(matches) - 1)
+        start = F.struct(acc["at"].alias("at"), acc["before"].alias("before"), none.alias("spans"))
+        return _bound(
+            F.aggregate(F.sequence(first, last), start, step),
+            lambda x: F.struct(x["at"].alias("at"), x["before"].alias("before"), F.concat(acc["spans"], x["spans"]).alias("spans")),
         )
 
-    none = "array<struct<start:int,order:int,end:int,kind:string,score:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.array().cast(none).alias("spans"))
-    found = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step, lambda acc: acc["spans"])
-    found = F.when(F.size(matches) > 0, found).otherwise(F.array().cast(none))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), none.alias("spans"))
+    blocks = F.sequence(F.lit(0), F.size(matches) - 1, F.lit(BLOCK))
+    found = F.when(F.size(matches) > 0, F.aggregate(blocks, start, block, lambda acc: acc["spans"])).otherwise(none)
     return found if kind.base else F.filter(found, lambda s: s["score"] >= REPORTED)
 
 
