@@ -67,12 +67,12 @@ def draws(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
 
     Rows that repeat an id draw the same number; a NULL id is hashed as an empty string.
     """
-    rates = written(rates.withColumnRenamed("source", "_source"), "mixing-rates")
+    rates = written(rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), F.col("parts").alias("_parts"), F.col("cdf").alias("_cdf")), "mixing-rates")
     small = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     joined = docs.join(F.broadcast(rates) if small else rates, docs["source"].eqNullSafe(F.col("_source")))
-    one_part = lambda i: F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), i.cast("string"))))
-    copies = F.when(F.col("parts") > 0, F.aggregate(F.sequence(F.lit(1), F.greatest("parts", F.lit(1))), F.lit(0), lambda n, i: n + one_part(i))).otherwise(0)
-    return joined.withColumn("copies", copies).select(*docs.columns, "rate", "copies")
+    one_part = lambda i: F.size(F.filter("_cdf", lambda c: c <= uniform(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), i.cast("string"))))
+    copies = F.when(F.col("_parts") > 0, F.aggregate(F.sequence(F.lit(1), F.greatest("_parts", F.lit(1))), F.lit(0), lambda n, i: n + one_part(i))).otherwise(0)
+    return joined.select(*[docs[c] for c in docs.columns], F.col("_rate").alias("rate"), copies.alias("copies"))
 
 
 def mixture(docs: DataFrame, targets: DataFrame | None = None, size_power: float = SIZE_POWER, epochs: float = 1.0, seed: int = SEED) -> DataFrame:
