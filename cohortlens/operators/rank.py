@@ -1,137 +1,78 @@
 """Global ranks and running sums without an unpartitioned window.
 
-``row_number().over(Window.orderBy(...))`` moves every row into one task. Here
-rows are split into value ranges ("buckets") of the full, unique sort key:
-
-1. boundaries are the evenly spaced rows of a small md5-chosen sample of the
-   keys (deterministic, independent of partitioning; its size is bounded by
-   ``SAMPLE_PER_BUCKET * n_buckets``);
-2. each row's bucket is the number of boundaries at or before it in sort order
-   (a column expression; ties of the first key are split by the next keys, so
-   a hot score value spreads over several buckets);
-3. inside a bucket a partitioned window numbers / accumulates the rows;
-4. bucket totals (one row per bucket) are prefix-summed and broadcast back.
-
-Every step depends on values only, so a re-evaluated branch or a recomputed
-partition after an executor loss gives the same numbers.
+``row_number().over(Window.orderBy(...))`` moves every row into one task. Here the rows are dealt by
+ranges of the full sort key (Spark samples the ranges; rows that tie in the first key are parted by
+the next ones, so a hot score spreads), sorted inside each range and written to the shared folder. In
+that table ``monotonically_increasing_id`` holds the partition and the row's place in it, so a rank is
+that place plus the rows of the partitions before: one number a partition, prefix-summed and broadcast.
+The written table makes every later read see the same ranges, also after a lost executor. The number
+of ranges follows ``spark.sql.shuffle.partitions`` and adaptive coalescing. NULL keys are kept (first
+in ascending, last in descending order).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_PER_BUCKET = 20
-MAX_BUCKETS = 1024
-ROWS_PER_BUCKET = 2_000_000
+from ..shared import written
+
+_PLACE_BITS = 33  # of monotonically_increasing_id: the lower ones count rows, the upper ones are the partition
 
 
 def _norm_keys(keys) -> list[tuple[str, bool]]:
-    out = []
-    for k in keys:
-        if isinstance(k, tuple):
-            out.append((k[0], bool(k[1])))
-        else:
-            out.append((k, True))
-    return out
+    return [(k[0], bool(k[1])) if isinstance(k, tuple) else (k, True) for k in keys]
 
 
 def _sort_cols(keys) -> list[Column]:
-    return [F.col(n).asc() if asc else F.col(n).desc() for n, asc in _norm_keys(keys)]
-
-
-def default_buckets(df: DataFrame, n: int) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return int(max(1, min(MAX_BUCKETS, max(parts, math.ceil(n / ROWS_PER_BUCKET)))))
-
-
-def _boundaries(df: DataFrame, keys, n_buckets: int | None):
-    """Sorted boundary tuples (at most n_buckets - 1) from an md5-chosen sample of the keys."""
-    names = [n for n, _ in keys]
-    n = df.count()
-    b = n_buckets or default_buckets(df, n)
-    if n == 0 or b <= 1:
-        return []
-    frac = min(1.0, SAMPLE_PER_BUCKET * b / float(n))
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in names])), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    sample = df.filter(h < F.lit(frac)).select(*names).orderBy(*_sort_cols(keys)).collect()  # bounded by frac * n
-    if not sample:
-        return []
-    step = len(sample) / float(b)
-    picks = sorted({min(len(sample) - 1, int(round(step * i))) for i in range(1, b)})
-    out = []
-    for i in picks:
-        t = tuple(sample[i][c] for c in names)
-        if not out or out[-1] != t:
-            out.append(t)
-    return out
-
-
-def _at_or_after(keys, bound) -> Column:
-    """True when the row is at or after ``bound`` in the (lexicographic) sort order."""
-    expr = None
-    for (name, asc), v in reversed(list(zip(keys, bound))):
-        c, lit = F.col(name), F.lit(v)
-        after = (c > lit) if asc else (c < lit)
-        expr = (c >= lit if asc else c <= lit) if expr is None else (after | ((c == lit) & expr))
-    return expr
-
-
-def with_bucket(df: DataFrame, keys, n_buckets: int | None = None, col: str = "_bucket") -> DataFrame:
-    keys = _norm_keys(keys)
-    # the input is read three times (count, boundary sample, main pass): keep it cached
-    df = df.persist()
-    bounds = _boundaries(df, keys, n_buckets)
-    b = F.lit(0)
-    for bound in bounds:
-        b = b + _at_or_after(keys, bound).cast("int")
-    return df.withColumn(col, b)
-
-
-def _offsets(bucketed: DataFrame, sum_cols=()) -> DataFrame:
-    """Per-bucket totals turned into exclusive prefix offsets (one row per bucket)."""
-    aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(c).alias(f"_tot_{c}") for c in sum_cols]
-    per = bucketed.groupBy("_bucket").agg(*aggs)
-    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    return [F.col(n).asc() if asc else F.col(n).desc() for n, asc in keys]
+
+
+def _ordered(df: DataFrame, keys, n_parts: int | None) -> DataFrame:
+    """``df`` written in the order of ``keys``, with ``_part`` and ``_place`` (0-based, inside the part)."""
+    order = _sort_cols(_norm_keys(keys))
+    dealt = df.repartitionByRange(n_parts, *order) if n_parts else df.repartitionByRange(*order)
+    number = F.monotonically_increasing_id()
+    return written(
+        dealt.sortWithinPartitions(*order).withColumn("_number", number).withColumns(
+            {"_part": F.shiftright("_number", _PLACE_BITS), "_place": F.col("_number").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))}
+        ).drop("_number"),
+        "ordered",
+    )
+
+
+def _offsets(ordered: DataFrame, sum_cols=()) -> DataFrame:
+    """Totals of the parts before each part (one row a part, so the window and the broadcast are small)."""
+    per = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"), *[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     cols = [F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off_cnt")]
     cols += [F.coalesce(F.sum(f"_tot_{c}").over(w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols]
-    return F.broadcast(per.select("_bucket", *cols))
+    return F.broadcast(per.select("_part", *cols))
 
 
 def with_global_rank(df: DataFrame, keys, rank_col: str = "rank", n_parts: int | None = None) -> DataFrame:
     """1-based position in the total order ``keys`` (must be unique, e.g. end with the id)."""
-    keys = _norm_keys(keys)
-    bucketed = with_bucket(df, keys, n_parts)
-    off = _offsets(bucketed)
-    w = Window.partitionBy("_bucket").orderBy(*_sort_cols(keys))
-    return (
-        bucketed.join(off, "_bucket")
-        .withColumn(rank_col, F.col("_off_cnt") + F.row_number().over(w))
-        .drop("_bucket", "_off_cnt")
-    )
+    ordered = _ordered(df, keys, n_parts)
+    out = ordered.join(_offsets(ordered), "_part").withColumn(rank_col, F.col("_off_cnt") + F.col("_place") + 1)
+    return out.drop("_part", "_place", "_off_cnt")
 
 
 def with_running_sums(df: DataFrame, keys, sum_cols, n_parts: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``sum_cols`` along the unique order ``keys``."""
-    keys = _norm_keys(keys)
-    bucketed = with_bucket(df, keys, n_parts)
-    off = _offsets(bucketed, sum_cols)
-    w = Window.partitionBy("_bucket").orderBy(*_sort_cols(keys)).rowsBetween(Window.unboundedPreceding, 0)
-    out = bucketed.join(off, "_bucket")
+    ordered = _ordered(df, keys, n_parts)
+    w = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    out = ordered.join(_offsets(ordered, sum_cols), "_part")
     out = out.withColumns({f"{prefix}{c}": F.sum(c).over(w) + F.col(f"_off_{c}") for c in sum_cols})
-    return out.drop("_bucket", "_off_cnt", *[f"_off_{c}" for c in sum_cols])
+    return out.drop("_part", "_place", "_off_cnt", *[f"_off_{c}" for c in sum_cols])
 
 
 def rank_within(df: DataFrame, group: str, keys, rank_col: str = "rank_in_group", n_parts: int | None = None) -> DataFrame:
     """1-based rank inside ``group`` along ``keys`` without putting a group into one task.
 
-    Global rank over (group, keys...) minus the number of rows in earlier groups
-    (group sizes: one row per group, prefix-summed).
+    Global rank over (group, keys...) minus the rank before the group's first row; rows without a
+    group are one group.
     """
     ranked = with_global_rank(df, [(group, True)] + _norm_keys(keys), rank_col="_grank", n_parts=n_parts)
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
-    w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)  # one row per group
-    off = sizes.select(group, F.coalesce(F.sum("_gn").over(w), F.lit(0)).alias("_goff"))
-    return ranked.join(F.broadcast(off), group).withColumn(rank_col, F.col("_grank") - F.col("_goff")).drop("_grank", "_goff")
+    firsts = ranked.groupBy(F.col(group).alias("_group")).agg((F.min("_grank") - 1).alias("_goff"))
+    out = ranked.join(firsts, ranked[group].eqNullSafe(firsts["_group"]))
+    return out.withColumn(rank_col, F.col("_grank") - F.col("_goff")).drop("_grank", "_goff", "_group")

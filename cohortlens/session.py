@@ -3,53 +3,36 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(master: str | None = None, app_name: str = "cohortlens", shuffle_partitions: int = 8) -> SparkSession:
-    """Create (or reuse) a session configured for this library.
+#: Settings of this library; each is applied only where the session has no value of its own.
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
 
-    On a cluster the session already exists and this only fills in settings
-    that are unset; locally it builds a ``local[*]`` session.
-    """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER"):
-        builder = builder.master("local[*]")
-    spark = (
-        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
 
+def get_spark(master: str | None = None, app_name: str = "cohortlens", shuffle_partitions: int | None = None) -> SparkSession:
+    """The running session as it is, or a new local one.
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster checkpoint folder, setting a scratch one only when unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
-    a local scratch folder is only chosen for tests and local runs.
+    A running session is not changed: what it does not set keeps Spark's defaults. A new session is
+    local (``master``, or all cores), without a web page, and has the settings in ``DEFAULTS``.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        return running
+    builder = SparkSession.builder.appName(app_name).master(master or os.environ.get("SPARK_MASTER", "local[*]"))
+    options = {**DEFAULTS, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
+    if shuffle_partitions:
+        options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    spark = builder.config(map=options).getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
 
 
 def require_columns(df: DataFrame, columns, what: str = "operation") -> None:

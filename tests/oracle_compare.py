@@ -75,7 +75,7 @@ def main():
     from cohortlens.plans import registry
     from cohortlens.session import get_spark
 
-    spark = get_spark()
+    spark = get_spark(shuffle_partitions=8)
     con = duck(sf_dir)
     qs, orc = registry.queries(), registry.oracle_sql()
     bad = 0

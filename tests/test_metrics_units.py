@@ -133,3 +133,30 @@ def test_soft_diagnostics(spark):
     q = np.array([0.7, 0.2, 0.1])
     assert r[0]["h"] == pytest.approx(-(q * np.log(q)).sum())
     assert r[1]["m"] == pytest.approx(1.0, abs=1e-9)
+
+
+def test_rank_with_many_parts_ties_and_nulls(spark):
+    rows = [(i, 0, None if i % 5 == 0 else 0.5) for i in range(1, 901)]  # one value and NULL
+    df = spark.createDataFrame(rows, "customer_id long, label int, score double").repartition(3)
+    want = {c: i + 1 for i, (c, _, _) in enumerate(sorted(rows, key=lambda t: (t[2] is None, t[0])))}
+    for parts in (None, 1, 600):
+        r = rank.with_global_rank(df, [("score", False), ("customer_id", True)], n_parts=parts)
+        assert {x["customer_id"]: x["rank"] for x in r.collect()} == want
+    assert rank.with_global_rank(df.limit(0), ["customer_id"]).count() == 0
+
+
+def test_rank_within_keeps_rows_without_group(spark):
+    rows = [(1, "a", 3.0), (2, None, 1.0), (3, None, 2.0), (4, "a", None), (5, "b", 1.0)]
+    df = spark.createDataFrame(rows, "customer_id long, g string, s double")
+    out = rank.rank_within(df, "g", [("s", False), ("customer_id", True)])
+    assert {(x["customer_id"], x["rank_in_group"]) for x in out.collect()} == {(1, 1), (4, 2), (2, 2), (3, 1), (5, 1)}
+
+
+def test_softmax_is_computed_once_a_row(spark):
+    logits = F.array(*[F.col("id") * k / 10.0 for k in range(4)])
+    r = spark.range(1, 4).select(soft.softmax(logits).alias("p"), soft.argmax(logits).alias("a"), soft.logsumexp(logits).alias("l")).collect()
+    import numpy as np
+
+    for i, x in enumerate(r, 1):
+        z = np.arange(4) * i / 10
+        assert np.allclose(x["p"], np.exp(z) / np.exp(z).sum()) and x["a"] == 3 and np.isclose(x["l"], np.log(np.exp(z).sum()))
