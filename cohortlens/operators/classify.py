@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite
+from .quantile import exact_quantiles
 from .rank import with_running_sums
 
 PROB_EPS = 1e-15
@@ -134,11 +135,10 @@ def uniform_edges(n_bins: int = 10) -> list[float]:
 
 def bin_index(p, inner_edges, right_closed: bool = False):
     """Number of inner edges <= p (left-closed bins) or < p (right-closed bins)."""
-    terms = [((p > F.lit(e)) if right_closed else (p >= F.lit(e))).cast("int") for e in inner_edges]
-    out = F.lit(0)
-    for t in terms:
-        out = out + t
-    return out
+    if not inner_edges:
+        return F.lit(0)
+    edges = F.array(*[F.lit(float(e)) for e in inner_edges])
+    return F.size(F.filter(edges, lambda e: (p > e) if right_closed else (p >= e)))
 
 
 def quantile_edges(df: DataFrame, n_bins: int, label: str = "label", score: str = "score") -> list[float]:
@@ -147,10 +147,9 @@ def quantile_edges(df: DataFrame, n_bins: int, label: str = "label", score: str
     qs = [float(x) for x in np.linspace(0.0, 1.0, n_bins + 1)]
     v = valid_pairs(df, label, score)
     p = F.least(F.greatest(F.col("p"), F.lit(ECE_EPS)), F.lit(1.0 - ECE_EPS))
-    row = v.agg(F.percentile(p, F.array(*[F.lit(q) for q in qs])).alias("e")).first()
-    if row is None or row["e"] is None:
+    edges = exact_quantiles(v, {"p": p}, qs)["p"]
+    if edges is None:
         return uniform_edges(n_bins)
-    edges = list(row["e"])
     edges[0], edges[-1] = 0.0, 1.0
     if len(set(edges)) < len(edges):
         return uniform_edges(n_bins)
@@ -166,7 +165,7 @@ def calibration_bins(
     elif strategy == "quantile":
         edges = quantile_edges(df, n_bins, label, score)
     else:
-        raise ValueError(f"Unsupported strategy: {strategy}")
+        raise ValueError(f"strategy is {strategy!r}; use 'uniform' or 'quantile'")
     v = valid_pairs(df, label, score)
     p = F.least(F.greatest(F.col("p"), F.lit(ECE_EPS)), F.lit(1.0 - ECE_EPS))
     y = (F.col("y") > 0).cast("double")
@@ -260,7 +259,7 @@ def choose_threshold(
 ) -> DataFrame:
     """K6: first grid threshold (grid order) with the best metric; 0.5 when there is no row."""
     if metric not in _METRIC_COL:
-        raise ValueError(f"Unsupported metric: {metric}")
+        raise ValueError(f"metric is {metric!r}; use one of {sorted(_METRIC_COL)}")
     sweep = threshold_sweep(df, label, score, grid, grid_size)
     m = F.col(_METRIC_COL[metric])
     # the smallest (-metric, grid_pos) wins: ties go to the earliest grid position

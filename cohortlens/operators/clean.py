@@ -68,12 +68,14 @@ def clean_campaign(
     drop_raw_date_columns: bool = True,
     date_format: str = DATE_FORMAT,
     key: str = "ID",
+    dedup: bool = True,
 ) -> DataFrame:
     """Dedup -> tenure -> age -> income rule -> column drops, as one projection.
 
-    The identifier is kept as ``customer_id`` (never a feature).
+    The identifier is kept as ``customer_id`` (never a feature). ``dedup=False`` leaves repeated rows,
+    which on a stream would need a state that grows for ever.
     """
-    out = dedup_rows(raw)
+    out = dedup_rows(raw) if dedup else raw
     out = out.withColumns(
         {
             "customer_tenure_days": tenure_days(out, reference_date, date_format),
@@ -113,7 +115,7 @@ def add_label(df: DataFrame, mode: str = "recent", label_col: str = LABEL_COLUMN
         cols = HISTORY_COLUMNS + [RESPONSE_COLUMN]
         require_columns(df, cols, "label")
         return df.withColumn(label_col, (row_sum_skip_null(cols) > 0).cast("int"))
-    raise ValueError(f"Unknown label mode: {mode}. Expected 'recent' or 'any'.")
+    raise ValueError(f"mode is {mode!r}; use 'recent' or 'any'")
 
 
 def add_response_history(df: DataFrame) -> DataFrame:

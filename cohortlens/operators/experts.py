@@ -68,8 +68,20 @@ def balance_factors(pos_mass: np.ndarray, neg_mass: np.ndarray, rule: str | None
 
 
 def _sum_rows(df: DataFrame, emit, schema: str) -> dict:
-    """Run ``emit`` over every partition and add the emitted (e, i, v) rows up by key."""
-    out = df.mapInPandas(emit, schema).groupBy("e", "i").agg(F.sum("v").alias("v")).collect()
+    """Run ``emit`` over every partition and add the emitted (e, i, v) rows up by key.
+
+    A partition adds its batches up itself and returns each key once.
+    """
+
+    def once(it):
+        total = None
+        for part in emit(it):
+            part = part.set_index(["e", "i"])["v"]
+            total = part if total is None else total.add(part, fill_value=0.0)
+        if total is not None:
+            yield total.reset_index()
+
+    out = df.mapInPandas(once, schema).groupBy("e", "i").agg(F.sum("v").alias("v")).collect()
     return {(r["e"], r["i"]): r["v"] for r in out}
 
 

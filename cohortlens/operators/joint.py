@@ -23,7 +23,7 @@ Scoring (G26, G27) is a pure column expression over the fitted parameters.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from . import soft
 from .cluster import distances, kmeans_fit
 from .experts import Expert, _sum_rows, _to_arrays, expert_stats_np, fit_experts, stats_length
+from .quantile import exact_quantiles
 
 P_CLIP = 1e-7
 LOG_EPS = 1e-12
@@ -65,6 +66,14 @@ class JointConfig:
     budget_top_frac: float = 0.2
     budget_reweight_alpha: float = 0.0
 
+    def __post_init__(self):
+        if self.expert_type != "logreg":
+            raise ValueError(f"expert_type is {self.expert_type!r}; the joint models have logistic experts ('logreg') only")
+        if not self.temperature > 0:
+            raise ValueError(f"temperature is {self.temperature}; it must be positive")
+        if self.budget_reweight_alpha < 0 or not 0 < self.budget_top_frac <= 1:
+            raise ValueError(f"budget_reweight_alpha is {self.budget_reweight_alpha}, budget_top_frac {self.budget_top_frac}; they must be at least 0, and above 0 and at most 1")
+
     @classmethod
     def preset(cls, name: str = "default", **kw) -> "JointConfig":
         base = {"default": {}, "yaml": {"temperature": 0.8, "kmeans_n_init": 20}}[name]
@@ -165,7 +174,7 @@ def gating_logits(xb: Column, prm: JointParams, cfg: JointConfig) -> Column:
 def gating_probs(xb: Column, prm: JointParams, cfg: JointConfig) -> Column:
     """Softmax of the gating logits over the gating temperature."""
     if cfg.gating_temperature <= 0:
-        raise ValueError("gating_temperature must be > 0")
+        raise ValueError(f"gating_temperature is {cfg.gating_temperature}; it must be positive")
     return soft.softmax(gating_logits(xb, prm, cfg), cfg.gating_temperature)
 
 
@@ -255,9 +264,8 @@ def _init_stats(df: DataFrame, centers: np.ndarray, x: str = "xb"):
 
 def fit_joint(train: DataFrame, cfg: JointConfig, x: str = "xb", xf: str = "xf", label: str = "label", log=None):
     """Fit one of the three joint models on a cached training frame. Returns (params, trace)."""
-    if cfg.temperature <= 0:
-        raise ValueError("temperature must be > 0")
     K = int(cfg.n_clusters)
+    train = train.select(*[c for c in ("customer_id", label, x, xf) if c in train.columns])
     first = train.select(F.size(x).alias("d"), F.size(xf).alias("D")).first()
     d, D = first["d"], first["D"]
     n, pos_total = train.agg(F.count(F.lit(1)), F.sum(F.col(label).cast("double"))).first()
@@ -269,7 +277,7 @@ def fit_joint(train: DataFrame, cfg: JointConfig, x: str = "xb", xf: str = "xf",
     elif cfg.model_type in ("logreg", "ramoe"):
         prm = _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label, trace)
     else:
-        raise ValueError(f"Unsupported model_type: {cfg.model_type}")
+        raise ValueError(f"model_type is {cfg.model_type!r}; use 'ramoe', 'logreg' or 'constant_prob'")
     prm.global_rate = global_rate
     return prm, trace
 
@@ -289,6 +297,7 @@ def _fit_constant(train, cfg, centers, global_rate, x, label, trace) -> JointPar
             F.sum((F.col("k") != F.col("z0")).cast("int")).alias("chg"),
             *[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(d)],
         ).collect()  # K rows
+        last = JointParams(pi=np.full(K, 1.0 / K), mu=centers, var=None, cluster_probs=probs)  # behind this iteration's assignments
         n_all = sum(r["n"] for r in rows)
         change = sum(r["chg"] for r in rows) / float(n_all)
         new_c = np.array(centers, dtype=float).copy()
@@ -306,7 +315,9 @@ def _fit_constant(train, cfg, centers, global_rate, x, label, trace) -> JointPar
         trace["change_ratio"].append(change)
         if change < cfg.tol:
             break
-    return JointParams(pi=np.full(K, 1.0 / K), mu=centers, var=None, cluster_probs=probs, global_rate=global_rate)
+    prm = JointParams(pi=np.full(K, 1.0 / K), mu=centers, var=None, cluster_probs=probs, global_rate=global_rate)
+    prm.last_estep = last if int(cfg.max_iter) > 0 else prm
+    return prm
 
 
 def _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label, trace) -> JointParams:
@@ -354,8 +365,12 @@ def _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label,
             new = _mstep_gating(train, cfg, cur, stats, n, d, K, it, x, xf, label)
             # K segment experts and the global expert in the same fused Newton passes
             w_fn = _with_global(_q_weights(cfg, cur, K, x, xf, label), use_glob)
-            fitted = fit_experts(train, w_fn, K + use_glob, D, cfg.logreg_C, balance, global_rate, xf=xf, label=label,
-                                 init=init, first=stats["expert"])
+            first = stats["expert"]
+            if cfg.budget_reweight_alpha > 0:  # rows in the budget's reach weigh more; the pass above did not know them
+                reach = _budget_threshold(train, cfg, replace(prm, pi=new[0], mu=new[1], var=new[2], global_rate=global_rate), x, xf)
+                w_fn, first = _budget_weighted(w_fn, cfg, replace(prm, pi=new[0], mu=new[1], var=new[2], global_rate=global_rate), reach, x, xf), None
+            fitted = fit_experts(train.select(label, x, xf), w_fn, K + use_glob, D, cfg.logreg_C, balance, global_rate, xf=xf, label=label,
+                                 init=init, first=first)
             experts, glob = fitted[:K], (fitted[K] if use_glob else None)
             prm = JointParams(pi=new[0], mu=new[1], var=new[2], experts=experts, global_expert=glob)
         else:
@@ -369,6 +384,8 @@ def _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label,
             experts = fit_experts(train, w_fn, K, D, cfg.logreg_C, balance, global_rate, xf=xf, label=label,
                                   init=init, first=stats["expert"])
             prm = JointParams(pi=stats["N"] / float(n), mu=mu, var=None, experts=experts)
+        # response rate of each component under the assignments of this iteration (soft or hard)
+        prm.cluster_probs = np.clip(np.where(stats["N"] > 1e-12, stats["pos"] / np.maximum(stats["N"], 1e-12), global_rate), P_CLIP, 1 - P_CLIP)
         prev = cur
         if change < cfg.tol:
             break
@@ -382,6 +399,43 @@ def _with_global(fn, use_glob: bool):
     return lambda pdf: np.hstack([fn(pdf), np.ones((len(pdf), 1))])
 
 
+def response_np(Xb, Xf, prm: JointParams, cfg: JointConfig) -> np.ndarray:
+    """Blended score of the mixture (G27), as :func:`predict_response` gives it."""
+    g = softmax_np(log_gating_np(Xb, prm, cfg) / cfg.gating_temperature)
+    out = (g * expert_matrix_np(Xf, prm.experts)).sum(1)
+    if cfg.use_global_expert and prm.global_expert is not None:
+        a = float(min(max(cfg.hybrid_alpha, 0.0), 1.0))
+        out = (1 - a) * out + a * expert_matrix_np(Xf, [prm.global_expert])[:, 0]
+    return np.clip(np.where(np.isfinite(out), out, prm.global_rate), P_CLIP, 1 - P_CLIP)
+
+
+def _budget_threshold(train, cfg, prm, x, xf) -> float:
+    """The score that the best ``budget_top_frac`` of the train rows reach."""
+    p = predict_response(F.col(x), F.col(xf), prm, cfg)
+    return exact_quantiles(train, {"p": p}, [1.0 - float(min(max(cfg.budget_top_frac, 1e-3), 1.0))])["p"][0]
+
+
+def _budget_weighted(fn, cfg, prm, reach, x, xf):
+    def weighted(pdf):
+        p = response_np(_to_arrays(pdf, x), _to_arrays(pdf, xf), prm, cfg)
+        return fn(pdf) * (1.0 + cfg.budget_reweight_alpha * (p >= reach - 1e-12))[:, None]
+
+    return weighted
+
+
+def estep_frame(df: DataFrame, prm: JointParams, cfg: JointConfig, key: str = "customer_id", x: str = "xb", xf: str = "xf", label: str = "label") -> DataFrame:
+    """``key, q, loglik`` of every row, from the kernel that the fit runs."""
+
+    def run(it):
+        for pdf in it:
+            if len(pdf):
+                q, lse = estep_np(_to_arrays(pdf, x), _to_arrays(pdf, xf), pdf[label].to_numpy(float), prm, cfg)
+                yield pd.DataFrame({key: pdf[key], "q": list(q), "loglik": lse})
+
+    kind = dict(df.dtypes)[key]
+    return df.select(*dict.fromkeys((key, x, xf, label))).mapInPandas(run, f"{key} {kind}, q array<double>, loglik double")
+
+
 def _q_weights(cfg, prm, K, x, xf, label):
     def fn(pdf):
         q, _ = estep_np(_to_arrays(pdf, x), _to_arrays(pdf, xf), pdf[label].to_numpy(float), prm, cfg)
@@ -432,7 +486,7 @@ def _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0, use_glob) ->
             v = np.concatenate(vals)
             yield pd.DataFrame({"e": np.zeros(v.size, int), "i": np.arange(v.size), "v": v})
 
-    sums = _sum_rows(train, emit, "e int, i int, v double")
+    sums = _sum_rows(train.select(label, x, xf), emit, "e int, i int, v double")
     size = K + 2 * K * d + 2 * K + 3 + n_exp * 2 * L
     v = np.array([sums.get((0, i), 0.0) for i in range(size)])
     o = 0
@@ -462,7 +516,7 @@ def _hard_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0) -> dict:
                                 [float((z != zp).sum())], expert_stats_np(Xf, y, Z, B0).ravel()])
             yield pd.DataFrame({"e": np.zeros(v.size, int), "i": np.arange(v.size), "v": v})
 
-    sums = _sum_rows(train, emit, "e int, i int, v double")
+    sums = _sum_rows(train.select(label, x, xf), emit, "e int, i int, v double")
     base = K + K * d + 2 * K + 1
     v = np.array([sums.get((0, i), 0.0) for i in range(base + n_exp * 2 * L)])
     return {"N": v[:K], "S1": v[K : K + K * d].reshape(K, d), "pos": v[K + K * d : 2 * K + K * d],
@@ -507,7 +561,8 @@ def _mstep_gating(train, cfg, cur, st, n, d, K, it, x, xf, label):
 
 # ------------------------------------------------------------------ outputs of a fitted model
 def train_assignments(df: DataFrame, prm: JointParams, cfg: JointConfig, x="xb", xf="xf", label="label") -> DataFrame:
-    """Stored train assignments: argmax of the last E-step (uses labels and pre-final parameters)."""
+    """Stored train assignments: of the last iteration's parameters and with the labels (mixture: argmax of
+    its E-step; other modes: smallest response-aware cost)."""
     e = getattr(prm, "last_estep", None) or prm
     if cfg.model_type == "ramoe":
         log_g = gating_logits(F.col(x), e, cfg)
@@ -516,7 +571,12 @@ def train_assignments(df: DataFrame, prm: JointParams, cfg: JointConfig, x="xb",
         log_py = F.transform(P, lambda p: y * F.log(F.greatest(p, F.lit(LOG_EPS))) + (F.lit(1.0) - y) * F.log(F.greatest(F.lit(1.0) - p, F.lit(LOG_EPS))))
         logits = F.zip_with(log_g, log_py, lambda a, b: (a + F.lit(cfg.lambda_) * b) / F.lit(cfg.temperature))
         return df.withColumn("cluster", soft.argmax(logits))
-    return df.withColumn("cluster", predict_clusters(F.col(x), prm, cfg))
+    if cfg.model_type == "constant_prob":
+        return df.withColumn("cluster", soft.argmin(response_aware_cost(F.col(x), F.col(label), e.mu, e.cluster_probs, cfg.lambda_, cfg.gamma)))
+    y = F.col(label).cast("double")
+    entropy = lambda p: -(y * F.log(F.greatest(p, F.lit(LOG_EPS))) + (F.lit(1.0) - y) * F.log(F.greatest(F.lit(1.0) - p, F.lit(LOG_EPS))))
+    cost = F.zip_with(distances(F.col(x), e.mu), expert_probs(F.col(xf), e.experts), lambda d, p: d + F.lit(float(cfg.lambda_)) * entropy(p))
+    return df.withColumn("cluster", soft.argmin(cost))
 
 
 def soft_cluster_rates(df: DataFrame, q: str = "q", label: str = "label") -> DataFrame:
@@ -538,7 +598,6 @@ def cluster_stats(df: DataFrame, K: int, cluster: str = "cluster", label: str =
 def budget_weights(df: DataFrame, p_hat: str, alpha: float, top_frac: float = 0.2) -> DataFrame:
     """``1 + alpha`` for rows whose blended score reaches the (1-f) quantile."""
     f = float(min(max(top_frac, 1e-3), 1.0))
-    thr = df.agg(F.percentile(F.col(p_hat), F.lit(1.0 - f)).alias("t"))
-    return df.crossJoin(F.broadcast(thr)).withColumn(  # one-row threshold
-        "w_budget", F.lit(1.0) + F.lit(float(alpha)) * (F.col(p_hat) >= F.col("t")).cast("double")
-    ).drop("t")
+    t = exact_quantiles(df, {"p": F.col(p_hat)}, [1.0 - f])["p"]
+    reached = (F.col(p_hat) >= F.lit(t[0])).cast("double") if t else F.lit(None).cast("double")
+    return df.withColumn("w_budget", F.lit(1.0) + F.lit(float(alpha)) * reached)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .classify import score_groups, uniform_edges, bin_index, valid_pairs
+from .quantile import grouped_quantiles
 from .rank import rank_within, with_running_sums
 from .segment import allocation_table, cluster_lift_table, segmentation_table
 
@@ -66,8 +67,9 @@ def rfm_boxstats(df: DataFrame, features, cluster: str = "cluster") -> DataFrame
     long = df.select(cluster, F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])).alias("p")).select(
         cluster, "p.feature", "p.v"
     ).filter(F.col("v").isNotNull())
-    q = long.groupBy(cluster, "feature").agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    j = long.join(q, [cluster, "feature"])
+    rows = [(*key, q) for key, q in grouped_quantiles(long, [cluster, "feature"], "v", (0.25, 0.5, 0.75)).items()]
+    q = df.sparkSession.createDataFrame(rows, f"{cluster} {dict(long.dtypes)[cluster]}, feature string, q array<double>")
+    j = long.join(F.broadcast(q), [cluster, "feature"])  # one row a segment and feature
     iqr = F.col("q")[2] - F.col("q")[0]
     lo_b, hi_b = F.col("q")[0] - 1.5 * iqr, F.col("q")[2] + 1.5 * iqr
     return j.groupBy(cluster, "feature", "q").agg(

@@ -20,7 +20,7 @@ DEFAULT_FRACTIONS = (0.05, 0.1, 0.2, 0.3, 0.5)
 def _check_frac(f: float) -> float:
     f = float(f)
     if not (0.0 < f <= 1.0):
-        raise ValueError(f"top_frac must be in (0, 1], got {f}.")
+        raise ValueError(f"top_frac is {f}; it must be above 0 and at most 1")
     return f
 
 

@@ -23,9 +23,9 @@ from .rank import with_global_rank
 
 def _validate(test_size: float, val_size: float) -> None:
     if not (0.0 < test_size < 1.0) or not (0.0 < val_size < 1.0):
-        raise ValueError("test_size and val_size must be in (0, 1).")
+        raise ValueError(f"test_size is {test_size} and val_size {val_size}; each must lie between 0 and 1")
     if test_size + val_size >= 1.0:
-        raise ValueError("test_size + val_size must be < 1.")
+        raise ValueError(f"test_size and val_size take {test_size + val_size} of the rows; something must be left to train on")
 
 
 def _allocate(counts: DataFrame, need_col: str, size_col: str, total_col: str, out_col: str) -> DataFrame:
@@ -55,7 +55,7 @@ def assign_splits(
     """Add ``split`` in {train, val, test} (``two_way``: {train, val} with ``val_size``)."""
     if two_way:
         if not (0.0 < val_size < 1.0):
-            raise ValueError("val_size must be in (0, 1).")
+            raise ValueError(f"val_size is {val_size}; it must lie between 0 and 1")
     else:
         _validate(test_size, val_size)
     stratum = F.col(stratify_col).cast("string") if stratify_col else F.lit("all")
@@ -84,7 +84,7 @@ def assign_splits(
         "_stratum", "_off", "_a", "_b"
     )
     ranked = with_global_rank(base, [("_stratum", True), ("_h", True), (key, True)], rank_col="_grank")
-    out = ranked.join(F.broadcast(counts), "_stratum")  # one row per stratum
+    out = ranked.join(counts, "_stratum")  # one row per stratum; broadcast by Spark if it is small
     r = F.col("_grank") - F.col("_off")
     split = F.when(r <= F.col("_a"), F.lit(first))
     if second:

@@ -18,8 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 
 from .features import FeatureConfig, derive_features, log_amounts
 from .clean import add_label
-
-MAX_CATEGORIES = 10000
+from .quantile import exact_quantiles
 
 
 @dataclass
@@ -63,12 +62,16 @@ class FittedTransform:
 
 def _check_q(lo: float, hi: float) -> None:
     if not (0.0 <= lo < hi <= 1.0):
-        raise ValueError("Require 0 <= lower_q < upper_q <= 1")
+        raise ValueError(f"quantiles are {lo} and {hi}; the lower must be below the upper and both within [0, 1]")
 
 
-def _quantile(c, qs, exact: bool):
+def _quantiles(df: DataFrame, columns: dict, qs, exact: bool) -> dict:
+    """Quantiles of each named expression (None without values): exact from ranks, or approximate."""
+    if exact:
+        return exact_quantiles(df, columns, qs)
     arr = F.array(*[F.lit(float(q)) for q in qs])
-    return F.percentile(c, arr) if exact else F.percentile_approx(c, arr, 10000)
+    row = df.agg(*[F.percentile_approx(c, arr, 10000).alias(f"q{i}") for i, c in enumerate(columns.values())]).first()
+    return {n: row[f"q{i}"] for i, n in enumerate(columns)}
 
 
 def fit_transform_params(
@@ -85,33 +88,19 @@ def fit_transform_params(
     cat = list(config.categorical)
     ft = FittedTransform(numeric, list(config.behavior_numeric), cat, winsorize=winsorize, clip_quantiles=tuple(clip_quantiles))
     # pass 1: medians and modes
-    aggs = [
-        (F.percentile(F.col(c).cast("double"), F.lit(0.5)) if exact else F.percentile_approx(F.col(c).cast("double"), 0.5, 10000)).alias(f"m{i}")
-        for i, c in enumerate(numeric)
-    ]
-    aggs += [F.mode(F.col(c), True).alias(f"o{i}") for i, c in enumerate(cat)]
-    row = train.agg(*aggs).first()
-    ft.medians = {c: row[f"m{i}"] for i, c in enumerate(numeric)}
-    ft.modes = {c: row[f"o{i}"] for i, c in enumerate(cat)}
-    # categories after imputation, sorted (bounded by the category count, not the row count)
+    medians = _quantiles(train, {c: F.col(c).cast("double") for c in numeric}, [0.5], exact)
+    ft.medians = {c: q[0] if q else None for c, q in medians.items()}
+    # categories with their counts, sorted: each becomes a column, so their number is a schema's, not the data's
     for c in cat:
-        vals = (
-            train.select(F.coalesce(F.col(c), F.lit(ft.modes[c])).alias("v"))
-            .where(F.col("v").isNotNull())
-            .distinct()
-            .orderBy("v")
-            .limit(MAX_CATEGORIES + 1)
-            .collect()
-        )
-        if len(vals) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories; index it with StringIndexer first")
-        ft.categories[c] = [r["v"] for r in vals]
+        counts = {r[c]: r["n"] for r in train.groupBy(c).agg(F.count(F.lit(1)).alias("n")).collect() if r[c] is not None}
+        ft.categories[c] = sorted(counts)
+        ft.modes[c] = min(counts, key=lambda v: (-counts[v], v)) if counts else None
     imputed = {c: _impute(c, ft) for c in numeric}
     # pass 2: winsorizing bounds of the imputed columns
     if winsorize:
-        row = train.agg(*[_quantile(imputed[c], [lo_q, hi_q], exact).alias(f"q{i}") for i, c in enumerate(numeric)]).first()
-        ft.lower = {c: row[f"q{i}"][0] if row[f"q{i}"] else None for i, c in enumerate(numeric)}
-        ft.upper = {c: row[f"q{i}"][1] if row[f"q{i}"] else None for i, c in enumerate(numeric)}
+        bounds = _quantiles(train, imputed, [lo_q, hi_q], exact)
+        ft.lower = {c: q[0] if q else None for c, q in bounds.items()}
+        ft.upper = {c: q[1] if q else None for c, q in bounds.items()}
     # pass 3: mean and population std after clipping
     clipped = {c: _clip(imputed[c], c, ft) for c in numeric}
     aggs = []

@@ -154,13 +154,9 @@ def _sql_tempered():
     return out
 
 
-def _spark_tempered(mf):
-    prm, cfg = _params(), _cfg()
-    log_g = joint.gating_logits(F.col("x"), prm, cfg)
-    y = F.col("label").cast("double")
-    P = F.array(*[F.least(F.greatest(joint._expert_col(e, F.col("x")), F.lit(1e-7)), F.lit(1 - 1e-7)) for e in prm.experts])
-    lpy = F.transform(P, lambda p: y * F.log(F.greatest(p, F.lit(1e-12))) + (F.lit(1.0) - y) * F.log(F.greatest(F.lit(1.0) - p, F.lit(1e-12))))
-    return F.zip_with(log_g, lpy, lambda a, b: (a + F.lit(LAMBDA) * b) / F.lit(TEMP))
+def _estep(mf):
+    """The fit's own E-step kernel at the fixed parameters."""
+    return joint.estep_frame(mf, _params(), _cfg(), x="x", xf="x")
 
 
 @register(
@@ -169,7 +165,7 @@ def _spark_tempered(mf):
 )
 def q_e_step(spark, sf_dir):
     mf = _xrfm(_frame(spark, sf_dir))
-    return tidy(mf.select("customer_id", soft.softmax(_spark_tempered(mf), 1.0).alias("q")))
+    return tidy(_estep(mf).select("customer_id", "q"))
 
 
 def _sql_lse(vals):
@@ -180,7 +176,7 @@ def _sql_lse(vals):
 @register("em_loglik", with_base(f"SELECT {sd('sum(' + _sql_lse(_sql_tempered()) + ')', 'loglik')} FROM rf WHERE split = 'train'", _BASE))
 def q_em_loglik(spark, sf_dir):
     mf = _xrfm(_frame(spark, sf_dir)).filter(F.col("split") == "train")
-    return tidy(mf.agg(F.sum(soft.logsumexp(_spark_tempered(mf))).alias("loglik")))
+    return tidy(_estep(mf).agg(F.sum("loglik").alias("loglik")))
 
 
 @register("moe_clusters", with_base(f"SELECT {si('customer_id', 'customer_id')}, {si(_sql_argmax(_sql_logits('diag')), 'cluster')} FROM rf", _BASE))
@@ -386,20 +382,19 @@ def q_silhouette_squared(spark, sf_dir):
 
 
 @register(
-    "silhouette_rows",
+    "silhouette_rows_squared",
     with_base(f"SELECT {si('vec_id', 'id')}, {si('cluster', 'cluster')}, {sd('s', 'silhouette')} FROM sil", _SIL_SQ),
 )
-def q_silhouette_rows(spark, sf_dir):
+def q_silhouette_rows_squared(spark, sf_dir):
     return tidy(quality.silhouette_squared_rows(_emb(spark, sf_dir)))
 
 
 _SIL_EU = (
     "e AS (SELECT vec_id, label AS cluster, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), "
     "cs AS (SELECT cluster, count(*) AS n FROM e GROUP BY cluster), "
-    "anc AS (SELECT * FROM e ORDER BY md5('42|' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 5000), "
     "pr AS (SELECT a.vec_id, a.cluster AS ca, b.cluster AS cb, "
     "sqrt(list_sum(list_transform(range(1, len(a.x) + 1), lambda j: (a.x[j] - b.x[j]) * (a.x[j] - b.x[j])))) AS d "
-    "FROM anc a JOIN e b ON a.vec_id <> b.vec_id), "
+    "FROM e a JOIN e b ON a.vec_id <> b.vec_id), "
     "pm AS (SELECT vec_id, ca, cb, sum(d) AS s FROM pr GROUP BY vec_id, ca, cb), "
     "ab AS (SELECT vec_id, ca, max(CASE WHEN ca = cb THEN s / (cs.n - 1) END) AS a, "
     "min(CASE WHEN ca <> cb THEN s / n2.n END) AS b, max(cs.n) AS n_own "
@@ -410,8 +405,15 @@ _SIL_EU = (
 
 @register("silhouette_exact", with_base(f"SELECT {sd('avg(s)', 'silhouette')} FROM sil", _SIL_EU))
 def q_silhouette_exact(spark, sf_dir):
-    rows = quality.silhouette_euclidean_rows(_emb(spark, sf_dir), sample_size=quality.DEFAULT_SAMPLE)
-    return tidy(rows.agg(F.avg("silhouette").alias("silhouette")))
+    return tidy(quality.silhouette_euclidean_rows(_emb(spark, sf_dir)).agg(F.avg("silhouette").alias("silhouette")))
+
+
+@register(
+    "silhouette_rows",
+    with_base(f"SELECT {si('vec_id', 'id')}, {si('cluster', 'cluster')}, {sd('s', 'silhouette')} FROM sil", _SIL_EU),
+)
+def q_silhouette_rows(spark, sf_dir):
+    return tidy(quality.silhouette_euclidean_rows(_emb(spark, sf_dir)))
 
 
 @register(

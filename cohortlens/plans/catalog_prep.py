@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.clean import add_label, dedup_rows, parse_customer_date
+from ..operators.clean import add_label, clean_campaign, dedup_rows, parse_customer_date
 from ..operators.features import AMOUNT_COLUMNS, log_amounts
-from ..sources.campaign import CUTOFF, RAW_COLUMNS, campaign_raw
+from ..sources.campaign import CUTOFF, RAW_COLUMNS, REFERENCE_YEAR, campaign_raw
 from ..sources.check import data_check
 from .catalog import register, sd, si, ss, tidy
 from .frames import campaign_clean, campaign_features
@@ -32,6 +32,12 @@ def _raw_sql_cols(src_cols):
     return ", ".join(out)
 
 
+def _clean_with_raw(spark, sf_dir):
+    """Cleaned rows that keep the raw date and birth columns and the raw income: one derivation."""
+    raw = campaign_raw(spark, sf_dir).withColumn("income_raw", F.col("Income"))
+    return clean_campaign(raw, CUTOFF, REFERENCE_YEAR, drop_raw_date_columns=False)
+
+
 @register("load_campaign", with_base(f"SELECT {_raw_sql_cols(RAW_COLUMNS)} FROM raw"))
 def q_load_campaign(spark, sf_dir):
     """Raw 29-column campaign table including the duplicated rows."""
@@ -55,15 +61,9 @@ def q_dedup_rows(spark, sf_dir):
     ),
 )
 def q_tenure_days(spark, sf_dir):
-    raw = dedup_rows(campaign_raw(spark, sf_dir))
-    cl = campaign_clean(spark, sf_dir).select("customer_id", "customer_tenure_days")
-    return tidy(
-        raw.select(
-            F.col("ID").alias("customer_id"),
-            "Dt_Customer",
-            parse_customer_date(F.col("Dt_Customer")).cast("string").alias("enrolled"),
-        ).join(cl, "customer_id")
-    )
+    rows = _clean_with_raw(spark, sf_dir)
+    enrolled = parse_customer_date(F.col("Dt_Customer")).cast("string").alias("enrolled")
+    return tidy(rows.select("customer_id", "Dt_Customer", enrolled, "customer_tenure_days"))
 
 
 @register(
@@ -75,8 +75,7 @@ def q_tenure_days(spark, sf_dir):
     ),
 )
 def q_age_bounds(spark, sf_dir):
-    raw = dedup_rows(campaign_raw(spark, sf_dir)).select(F.col("ID").alias("customer_id"), "Year_Birth")
-    return tidy(raw.join(campaign_clean(spark, sf_dir).select("customer_id", "Age"), "customer_id"))
+    return tidy(_clean_with_raw(spark, sf_dir).select("customer_id", "Year_Birth", "Age"))
 
 
 @register(
@@ -88,8 +87,7 @@ def q_age_bounds(spark, sf_dir):
     ),
 )
 def q_income_sanity(spark, sf_dir):
-    raw = dedup_rows(campaign_raw(spark, sf_dir)).select(F.col("ID").alias("customer_id"), F.col("Income").alias("income_raw"))
-    return tidy(raw.join(campaign_clean(spark, sf_dir).select("customer_id", "Income"), "customer_id"))
+    return tidy(_clean_with_raw(spark, sf_dir).select("customer_id", "income_raw", "Income"))
 
 
 CLEAN_COLUMNS = [

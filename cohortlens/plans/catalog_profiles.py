@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import classify, profiles, segment, soft
-from ..operators.features import BEHAVIOR_NUMERIC_FEATURES
+from ..operators.features import BEHAVIOR_NUMERIC_FEATURES, log_amounts
+from ..operators.transform import apply_transform, feature_table
 from ..sources.sinks import align_assignments
 from .catalog import register, sd, si, ss, tidy
 from .catalog_metrics import VALID, dbl
 from .catalog_transform import _TF
-from .frames import campaign_features, scored, split_features, transformed
+from .frames import campaign_features, scored, split_features, with_segment
 from .sql_base import with_base
 
 BEH = [c.lower() for c in BEHAVIOR_NUMERIC_FEATURES]
@@ -29,9 +30,9 @@ FRACS = (0.05, 0.1, 0.2, 0.3, 0.5)
     ),
 )
 def q_cluster_centers(spark, sf_dir):
-    table, _ = transformed(spark, sf_dir)
-    j = table.join(scored(spark, sf_dir).select("customer_id", "cluster"), "customer_id")
-    return tidy(profiles.cluster_centers(j, BEH))
+    rows = with_segment(split_features(spark, sf_dir))
+    _, fitted = feature_table(rows, F.col("split") == "train")
+    return tidy(profiles.cluster_centers(apply_transform(log_amounts(rows), fitted, keep=("customer_id", "cluster")), BEH))
 
 
 _CURVE = (
@@ -125,8 +126,7 @@ _RFM_RAW = [("recency", "Recency"), ("frequency", "Frequency"), ("monetary", "Mo
     ),
 )
 def q_rfm_boxstats(spark, sf_dir):
-    f = campaign_features(spark, sf_dir).select("customer_id", *[F.col(c).alias(n) for n, c in _RFM_RAW])
-    j = f.join(scored(spark, sf_dir).select("customer_id", "cluster"), "customer_id")
+    j = with_segment(campaign_features(spark, sf_dir)).select("cluster", *[F.col(c).alias(n) for n, c in _RFM_RAW])
     return tidy(profiles.rfm_boxstats(j, [n for n, _ in _RFM_RAW]))
 
 
@@ -143,7 +143,7 @@ _CH = profiles.CHANNELS
     ),
 )
 def q_channel_mix(spark, sf_dir):
-    j = campaign_features(spark, sf_dir).select("customer_id", *_CH).join(scored(spark, sf_dir).select("customer_id", "cluster"), "customer_id")
+    j = with_segment(campaign_features(spark, sf_dir)).select("cluster", *_CH)
     return tidy(profiles.channel_mix(j))
 
 
@@ -176,9 +176,7 @@ def _cell(c, lo, hi):
     ),
 )
 def q_age_income_density(spark, sf_dir):
-    j = campaign_features(spark, sf_dir).select("customer_id", "Age", "Income").join(
-        scored(spark, sf_dir).select("customer_id", "cluster"), "customer_id"
-    )
+    j = with_segment(campaign_features(spark, sf_dir)).select("cluster", "Age", "Income")
     return tidy(profiles.density_grid(j, "Age", "Income"))
 
 
@@ -217,18 +215,15 @@ def q_budget_allocation_curve(spark, sf_dir):
 
 
 @register(
-    "income_spend_sample",
+    "income_spend",
     with_base(
-        f"SELECT {si('customer_id', 'customer_id')}, {si('cluster', 'cluster')}, {sd('Income', 'income')}, {sd('Monetary', 'spent')} FROM ("
-        "SELECT f.customer_id, s.cluster, f.Income, f.Monetary, row_number() OVER (PARTITION BY s.cluster "
-        "ORDER BY md5('42|' || CAST(f.customer_id AS VARCHAR)), f.customer_id) AS rn FROM feat f JOIN scored s USING (customer_id)) t WHERE rn <= 25"
+        f"SELECT {si('f.customer_id', 'customer_id')}, {si('s.cluster', 'cluster')}, {sd('f.Income', 'income')}, {sd('f.Monetary', 'spent')} "
+        "FROM feat f JOIN scored s USING (customer_id)"
     ),
 )
-def q_income_spend_sample(spark, sf_dir):
-    j = campaign_features(spark, sf_dir).select("customer_id", F.col("Income").alias("income"), F.col("Monetary").alias("spent")).join(
-        scored(spark, sf_dir).select("customer_id", "cluster"), "customer_id"
-    )
-    return tidy(profiles.md5_sample_per_cluster(j, 25).select("customer_id", "cluster", "income", "spent"))
+def q_income_spend(spark, sf_dir):
+    rows = with_segment(campaign_features(spark, sf_dir))
+    return tidy(rows.select("customer_id", "cluster", F.col("Income").alias("income"), F.col("Monetary").alias("spent")))
 
 
 # ---------------------------------------------------------------- S4 / S5
@@ -237,8 +232,7 @@ def q_income_spend_sample(spark, sf_dir):
     with_base(f"SELECT {si('customer_id', 'customer_id')}, split, {si('s.cluster', 'cluster')} FROM sp JOIN scored s USING (customer_id)", _TF),
 )
 def q_assignments(spark, sf_dir):
-    sp = split_features(spark, sf_dir).select("customer_id", "split")
-    return tidy(sp.join(scored(spark, sf_dir).select("customer_id", "cluster"), "customer_id").select("customer_id", "split", "cluster"))
+    return tidy(with_segment(split_features(spark, sf_dir)).select("customer_id", "split", "cluster"))
 
 
 @register(
@@ -251,7 +245,6 @@ def q_assignments(spark, sf_dir):
     ),
 )
 def q_align_assignments(spark, sf_dir):
-    sp = split_features(spark, sf_dir).select("customer_id", "split")
-    assign = sp.filter(F.col("split") != "test").join(scored(spark, sf_dir).select("customer_id", "cluster"), "customer_id")
-    feats = campaign_features(spark, sf_dir).select("customer_id")
+    rows = with_segment(split_features(spark, sf_dir)).select("customer_id", "split", "cluster")
+    assign, feats = rows.filter(F.col("split") != "test"), rows.select("customer_id")
     return tidy(align_assignments(feats, assign).select("customer_id", "cluster", "has_assignment"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import split as splitops
 from ..operators.features import AMOUNT_COLUMNS, FeatureConfig
+from ..operators.quantile import exact_quantiles
 from ..operators.transform import fit_transform_params
 from .catalog import register, sd, si, ss, tidy
 from .frames import long_format, split_features, transformed
@@ -57,9 +58,8 @@ def _param_rows(df, pairs):
     with_base(" UNION ALL ".join(f"SELECT '{c.lower()}' AS feature, {sd(f'm_{c}', 'median')} FROM prm1" for c in NUMERIC), _TF),
 )
 def q_impute_median(spark, sf_dir):
-    tr = _train(spark, sf_dir)
-    agg = tr.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(f"m{i}") for i, c in enumerate(NUMERIC)])
-    return tidy(_param_rows(agg, [F.struct(F.lit(c.lower()).alias("feature"), F.col(f"m{i}").alias("median")) for i, c in enumerate(NUMERIC)]))
+    found = exact_quantiles(_train(spark, sf_dir), {c: F.col(c) for c in NUMERIC}, [0.5])
+    return tidy(spark.createDataFrame([(c.lower(), q[0] if q else None) for c, q in found.items()], "feature string, median double"))
 
 
 @register(
@@ -83,14 +83,8 @@ def _fitted(spark, sf_dir):
         f"SELECT '{c.lower()}' AS feature, {sd(f'q_{c}[1]', 'lower')}, {sd(f'q_{c}[2]', 'upper')} FROM prm2" for c in NUMERIC), _TF),
 )
 def q_winsorize(spark, sf_dir):
-    from ..operators.transform import _impute, _quantile
-
-    tr, ft = _fitted(spark, sf_dir)
-    agg = tr.agg(*[_quantile(_impute(c, ft), [0.01, 0.99], True).alias(f"q{i}") for i, c in enumerate(NUMERIC)])
-    return tidy(_param_rows(agg, [
-        F.struct(F.lit(c.lower()).alias("feature"), F.col(f"q{i}")[0].alias("lower"), F.col(f"q{i}")[1].alias("upper"))
-        for i, c in enumerate(NUMERIC)
-    ]))
+    _, ft = _fitted(spark, sf_dir)
+    return tidy(spark.createDataFrame([(c.lower(), ft.lower[c], ft.upper[c]) for c in NUMERIC], "feature string, lower double, upper double"))
 
 
 @register(

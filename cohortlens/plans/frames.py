@@ -20,6 +20,8 @@ from ..sources.campaign import CUTOFF, REFERENCE_YEAR, campaign_raw
 
 # Fixed values of the scored fixture (FIXTURES.md §3).
 Q_CENTERS = [-3.0, -2.5, -2.0, -1.0]
+#: Share of the rows that the curve job holds out.
+TWO_WAY_HOLD_OUT = 0.2
 
 
 def campaign_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,11 +44,20 @@ def z_score(df: DataFrame):
     )
 
 
-def scored_from_features(feat: DataFrame) -> DataFrame:
+def rule_segment():
+    """The rule segment of the scored fixture, from a feature row."""
     rec = F.coalesce(F.col("Recency"), F.lit(9999))
-    cluster = 2 * (rec <= 180).cast("int") + (F.col("Frequency") >= 10).cast("int")
+    return 2 * (rec <= 180).cast("int") + (F.col("Frequency") >= 10).cast("int")
+
+
+def with_segment(feat: DataFrame) -> DataFrame:
+    """All feature columns and the rule segment as ``cluster``: no second derivation, no join."""
+    return feat.withColumn("cluster", rule_segment())
+
+
+def scored_from_features(feat: DataFrame) -> DataFrame:
     out = feat.select(
-        "customer_id", "label", cluster.alias("cluster"), z_score(feat).alias("z")
+        "customer_id", "label", rule_segment().alias("cluster"), z_score(feat).alias("z")
     )
     prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("z")))
     qe = F.array(*[F.exp(-F.abs(F.col("z") - F.lit(c))) for c in Q_CENTERS])
@@ -83,7 +94,8 @@ def split_features(spark: SparkSession, sf_dir: str, two_way: bool = False, seed
     """Feature frame with the stratified ``split`` column (P2, or P1 with ``two_way``)."""
     from ..operators.split import assign_splits
 
-    return assign_splits(campaign_features(spark, sf_dir), stratify_col="label", two_way=two_way, seed=seed)
+    share = TWO_WAY_HOLD_OUT if two_way else 0.1
+    return assign_splits(campaign_features(spark, sf_dir), stratify_col="label", two_way=two_way, val_size=share, seed=seed)
 
 
 def transformed(spark: SparkSession, sf_dir: str, exact: bool = True, two_way: bool = False):

@@ -58,17 +58,22 @@ def _assign(df: DataFrame, centers, x: str) -> DataFrame:
     return df.withColumn("cluster", clu.assign_nearest(F.col(x), centers))
 
 
-def baseline_table(ctx: JobContext, k: int = 4, n_init: int = 10, seed: int = 42) -> list[dict]:
+# Fixed values of the baseline job's configuration.
+BASELINE_PRESET = {"n_init": 30, "max_iter": 500, "gmm_iter": 400}
+
+
+def baseline_table(ctx: JobContext, k: int = 4, n_init: int = BASELINE_PRESET["n_init"], seed: int = 42,
+                   max_iter: int = BASELINE_PRESET["max_iter"], gmm_iter: int = BASELINE_PRESET["gmm_iter"]) -> list[dict]:
     """M1-M4: RFM K-Means, behaviour K-Means, mixture, cluster-then-predict (test split)."""
     rows = []
     test = ctx.split("test")
     for name, x in (("rfm_kmeans", "xrfm"), ("behavior_kmeans", "xb")):
-        centers, _ = clu.kmeans_fit(ctx.train, x, k, seed, n_init)
+        centers, _ = clu.kmeans_fit(ctx.train, x, k, seed, n_init, max_iter)
         rep = cluster_report(_assign(test, centers, x), x)
         rep["inertia"] = clu.inertia(ctx.train, centers, x).first()[0]
         rep.update(model=name, n_clusters=float(k))
         rows.append(rep)
-    gmm = clu.gmm_fit(ctx.train, "xb", k, seed)
+    gmm = clu.gmm_fit(ctx.train, "xb", k, seed, gmm_iter)
     post = clu.gmm_posteriors(gmm, test, "xb", keep=("customer_id", "label", "xb"))
     rep = cluster_report(post, "xb")
     rep.update(model="gmm", n_clusters=float(k))

@@ -91,18 +91,20 @@ def order_stats(orders: DataFrame, cutoff: str = CUTOFF) -> DataFrame:
 def line_stats(lineitem: DataFrame, part: DataFrame, orders: DataFrame, cutoff: str = CUTOFF) -> DataFrame:
     """Per-customer spend by category, deal orders and complaint flag."""
     t = F.lit(cutoff).cast("timestamp")
-    lines = lineitem.select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_returnflag").join(
-        part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"), "left"
+    # the date filter first: later orders' lines are neither joined to part nor added up
+    early = orders.filter(F.col("o_orderdate") < t).select("o_orderkey", "o_custkey", "o_orderpriority")
+    lines = (
+        lineitem.select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_returnflag")
+        .join(early, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"), "left")
     )
     net = _money("l_extendedprice") * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(4,2)"))
-    per_order = lines.groupBy("l_orderkey").agg(
+    per_order = lines.groupBy("o_orderkey", "o_custkey", "o_orderpriority").agg(
         *[F.sum(F.when(F.col("p_type") == ptype, net)).alias(name) for name, ptype in SPEND_BY_TYPE],
         F.max((F.col("l_discount") >= DEAL_DISCOUNT).cast("int")).alias("has_deal"),
         F.max((F.col("l_returnflag") == "R").cast("int")).alias("has_return"),
     )
-    early = orders.filter(F.col("o_orderdate") < t).select("o_orderkey", "o_custkey", "o_orderpriority")
-    joined = per_order.join(early, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    return joined.groupBy("o_custkey").agg(
+    return per_order.groupBy("o_custkey").agg(
         *[F.round(F.sum(name), 2).alias(name) for name, _ in SPEND_BY_TYPE],
         F.sum("has_deal").alias("NumDealsPurchases"),
         F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", F.col("has_return")).otherwise(0)).alias("urgent_returns"),

@@ -23,7 +23,7 @@ def score_rows(raw: DataFrame, ft: FittedTransform, prm: JointParams, cfg: Joint
     Duplicate removal (C1) is a batch step and is not applied here: a stream
     would need state for it, which the reference never uses.
     """
-    cleaned = clean_campaign(raw.dropDuplicates() if not raw.isStreaming else raw, reference_date, reference_year)
+    cleaned = clean_campaign(raw, reference_date, reference_year, dedup=not raw.isStreaming)
     prepared = prepare_for_fit(cleaned, reference_date=reference_date, reference_year=reference_year)
     cols = transform_columns(ft)
     feats = prepared.select("customer_id", *[e.alias(n) for n, e in cols.items()])
@@ -40,8 +40,8 @@ def score_rows(raw: DataFrame, ft: FittedTransform, prm: JointParams, cfg: Joint
     )
 
 
-def start_scoring(spark, source_dir: str, schema, ft, prm, cfg, reference_date, reference_year, query_name: str = "scores"):
-    """readStream (parquet files) -> score_rows -> in-memory sink; returns the running query."""
+def start_scoring(spark, source_dir: str, schema, ft, prm, cfg, reference_date, reference_year, out_dir: str, checkpoint_dir: str):
+    """readStream (parquet files) -> score_rows -> parquet files in ``out_dir``; returns the running query."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
     scored = score_rows(stream, ft, prm, cfg, reference_date, reference_year)
-    return scored.writeStream.outputMode("append").format("memory").queryName(query_name).start()
+    return scored.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint_dir).start(out_dir)

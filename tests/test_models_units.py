@@ -57,7 +57,7 @@ def test_silhouettes_and_indices(spark):
             s.append((b - a) / max(a, b))
         return float(np.mean(s))
 
-    got = quality.silhouette_euclidean_rows(df.withColumnRenamed("customer_id", "id"), sample_size=1000).agg(F.avg("silhouette")).first()[0]
+    got = quality.silhouette_euclidean_rows(df.withColumnRenamed("customer_id", "id"), block_rows=40).agg(F.avg("silhouette")).first()[0]
     assert got == pytest.approx(sil(D), abs=1e-9)
     got2 = quality.silhouette_squared(df.withColumnRenamed("customer_id", "id")).first()[0]
     assert got2 == pytest.approx(sil(D2), abs=1e-9)
@@ -103,3 +103,60 @@ def test_joint_models_fit(spark):
             ranks = np.empty(len(p)); ranks[order] = np.arange(1, len(p) + 1)
             P = y.sum(); N = len(y) - P
             assert (ranks[y == 1].sum() - P * (P + 1) / 2) / (P * N) > 0.7
+
+
+def test_exact_quantiles_match_numpy(spark):
+    from cohortlens.operators.quantile import exact_quantiles, grouped_quantiles
+
+    rng = np.random.default_rng(5)
+    rows = [(int(i), float(v), None if i % 7 == 0 else float(w)) for i, (v, w) in enumerate(zip(rng.choice([0.0, 1.0, 2.5], 500, p=[0.6, 0.3, 0.1]), rng.normal(size=500)))]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    qs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    got = exact_quantiles(df, {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None)}, qs)
+    assert np.allclose(got["a"], np.quantile([r[1] for r in rows], qs)) and got["none"] is None
+    assert np.allclose(got["b"], np.quantile([r[2] for r in rows if r[2] is not None], qs))
+    by = grouped_quantiles(df.withColumn("g", F.col("id") % 3), ["g"], "b", [0.5])
+    assert all(np.isclose(by[(g,)][0], np.median([r[2] for r in rows if r[0] % 3 == g and r[2] is not None])) for g in range(3))
+
+
+def test_kmeans_restarts_find_planted_centers(spark):
+    from cohortlens.operators import cluster as clu
+
+    rng = np.random.default_rng(6)
+    true = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0], [10.0, 10.0]])
+    X = np.concatenate([c + rng.normal(0, 0.5, (200, 2)) for c in true])
+    df = spark.createDataFrame([(x.tolist(),) for x in X], "x array<double>").repartition(5)
+    centers, cost = clu.kmeans_fit(df, "x", 4, 1, 8)
+    assert np.allclose(centers, true[clu.renumber(true)], atol=0.2)
+    z = ((X[:, None, :] - centers[None]) ** 2).sum(2)
+    assert np.isclose(cost, z.min(1).sum())
+
+
+def test_silhouette_of_every_row_in_blocks(spark):
+    from cohortlens.operators import quality
+
+    rng = np.random.default_rng(7)
+    X = rng.normal(size=(700, 3)) + np.repeat(np.arange(7), 100)[:, None]
+    c = np.repeat(np.arange(7), 100)
+    c[0] = 9  # alone
+    df = spark.createDataFrame([(int(i), int(k), x.tolist()) for i, (k, x) in enumerate(zip(c, X))], "id long, cluster long, x array<double>")
+    got = {r["id"]: r["silhouette"] for r in quality.silhouette_euclidean_rows(df, block_rows=90).collect()}
+    D = np.sqrt(((X[:, None, :] - X[None]) ** 2).sum(2))
+    for i in range(700):
+        own = c == c[i]
+        if own.sum() == 1:
+            want = 0.0
+        else:
+            a = D[i, own].sum() / (own.sum() - 1)
+            b = min(D[i, c == k].mean() for k in set(c) - {c[i]})
+            want = (b - a) / max(a, b)
+        assert abs(got[i] - want) < 1e-9
+    assert quality.silhouette_sampled(df, 100).columns == ["silhouette_of_sample"]
+
+
+def test_joint_options_that_are_not_supported_raise():
+    from cohortlens.operators.joint import JointConfig
+
+    for bad in ({"expert_type": "boosted"}, {"temperature": 0.0}, {"budget_reweight_alpha": -1.0}, {"budget_top_frac": 0.0}):
+        with pytest.raises(ValueError):
+            JointConfig(**bad)

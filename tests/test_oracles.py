@@ -19,7 +19,7 @@ NAMES = [
     "split_three_way", "feature_table", "winsorize",
     "cluster_lift_table", "campaign_allocation", "prediction_report", "ranking_summary", "threshold_sweep",
     "assignment_entropy", "e_step", "moe_response", "response_aware_assignment", "kmeans_lloyd_3steps",
-    "silhouette_squared", "calinski_harabasz", "roc_points", "budget_allocation_curve", "income_spend_sample",
+    "silhouette_squared", "calinski_harabasz", "roc_points", "budget_allocation_curve", "income_spend", "silhouette_rows",
 ]
 
 

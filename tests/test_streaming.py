@@ -26,9 +26,13 @@ def test_stream_scores_equal_batch(spark):
     batch = {r["customer_id"]: (r["cluster"], r["score"]) for r in score_rows(raw, ft, prm, cfg, CUTOFF, REFERENCE_YEAR).collect()}
     src = tempfile.mkdtemp(prefix="cl-stream-", dir="/tmp")
     raw.repartition(3).write.mode("overwrite").parquet(src)
-    q = start_scoring(spark, src, raw.schema, ft, prm, cfg, CUTOFF, REFERENCE_YEAR, "scores_test")
+    out, state = (tempfile.mkdtemp(prefix="cl-stream-", dir="/tmp") for _ in range(2))
+    stream = score_rows(spark.readStream.schema(raw.schema).parquet(src), ft, prm, cfg, CUTOFF, REFERENCE_YEAR)
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert not [n for n in ("Deduplicate", "Aggregate", "Join", "Window") if n in plan]  # no state
+    q = start_scoring(spark, src, raw.schema, ft, prm, cfg, CUTOFF, REFERENCE_YEAR, out, state)
     q.processAllAvailable()
     q.stop()
-    got = {r["customer_id"]: (r["cluster"], r["score"]) for r in spark.sql("SELECT * FROM scores_test").collect()}
+    got = {r["customer_id"]: (r["cluster"], r["score"]) for r in spark.read.parquet(out).collect()}
     assert got.keys() == batch.keys()
     assert all(got[k][0] == batch[k][0] and abs(got[k][1] - batch[k][1]) < 1e-12 for k in got)
