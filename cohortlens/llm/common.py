@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import shared_folder, written  # noqa: F401  (used by the operators)
+
 #: Bits of the broadcast membership bitmap: 2**23 bits are 256 rows of 4 KB, 1 MB whatever the input.
 BITMAP_BITS = 1 << 23
 
@@ -16,30 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
-
-    Only a local session without ``spark.checkpoint.dir`` (tests) gets a temporary folder; on a
-    cluster an unset folder is an error, since a machine-local one would lose files.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="cohortlens-shared-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage, fixes row ids, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cohortlens/{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def membership_bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> DataFrame:
     """A bitmap of fixed size with the bit of every hash in ``column`` (a long) set.
 
@@ -80,6 +56,19 @@ def without_ids(docs: DataFrame, losers: DataFrame, key: str = "doc_id") -> Data
     return stay.unionByName(doubt.join(losers.select("_loser").distinct(), doubt[key].eqNullSafe(F.col("_loser")), "left_anti"))
 
 
+#: Rows whose texts are Python objects at the same time.
+ROWS_AT_ONCE = 256
+
+
+def sliced(batches):
+    """Arrow batches in slices of few rows, which bounds the Python objects of a worker, however large
+    the batches are; memory that Arrow has freed goes back to the system."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+        pa.default_memory_pool().release_unused()
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, empty where it is NULL."""
     return F.coalesce(F.col(column), F.lit(""))

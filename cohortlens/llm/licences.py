@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, whole_text
+from .common import sliced, table, whole_text
 
 #: Share of a template's words that a chain must cover, and words that may be missing between anchors.
 COVERED, GAP = 0.75, 8
@@ -246,7 +246,7 @@ def scan_licences(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, covered
 
     def run(batches):
         scanner = _scanner(templates, phrases, covered, gap)
-        for batch in batches:
+        for batch in sliced(batches):
             out = [scanner.scan(t.as_py()) for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [

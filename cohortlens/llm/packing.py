@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table, whole_text, written
+from .common import sliced, table, whole_text, written
 from .wordbpe import WordBPE
 
 WINDOW = 4096
@@ -42,7 +42,7 @@ def tokens(docs: DataFrame, vocabulary: str = VOCABULARY, separator: int = SEPAR
 
     def run(batches):
         encoder, part, start = _encoder(vocabulary), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             ids = [x.astype("<u2", copy=False).tobytes() + end for x in encoder.encode(texts)]
             n = np.array([len(x) // 2 for x in ids], dtype=np.int64)
@@ -73,7 +73,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY,
     placed = first.join(F.broadcast(places), "part").select("doc_id", "ids", (F.col("base") + F.col("start")).alias("at"))
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             rows, cut = [], []
             for row, (ids, at) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
                 ids = np.frombuffer(ids.as_buffer(), dtype="<u2").astype("<u4")

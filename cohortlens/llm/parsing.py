@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, whole_text
+from .common import sliced, table, whole_text
 
 LANES = 128
 SKETCHED = (2, 3)
 ROUNDS = 4
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 EMPTY = "0" * (4 * LANES)
 
 _BYTES = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -133,7 +133,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             found = []
             for chunk in _chunks(batch.column(1).cast(pa.binary()).to_pylist()):
                 found += [as_text(s) for s in sketches(chunk)]
@@ -223,7 +223,7 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
             )
 
         size, done = 0, False
-        for batch in batches:
+        for batch in sliced(batches):
             if done:
                 continue
             for ghost, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):

@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, whole_text, written
+from .common import sliced, table, whole_text, written
 
 FEATURES = 2048
 #: Expected number of rows a class gives to the fit of the scorer: the fit's cost is bounded, all counts cover all rows.
@@ -147,7 +147,7 @@ def pattern_counts(docs: DataFrame) -> dict[int, int]:
     """How many documents have each vote pattern: at most 3**8 numbers, counted over all rows."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([pa.array([votes(statistics(t)) for t in _texts(batch)], pa.int32())], ["code"])
 
     rows = docs.select(whole_text().alias("text")).mapInArrow(run, "code int").groupBy("code").count().collect()
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> WeakLabelModel:
     share = [min(1.0, per_class / n) for n in sizes]
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for text, u in zip(_texts(batch), batch.column(1).to_pylist()):
                 values = statistics(text)
@@ -205,10 +205,12 @@ def judge(docs: DataFrame, model: WeakLabelModel, threshold: float = THRESHOLD)
     def run(texts: pa.Array) -> pa.Array:
         m = broadcast.value
         out = []
-        for text in texts.cast(pa.binary()).to_pylist():
+        for item in texts.cast(pa.binary()):
+            text = item.as_py()
             values = statistics(text)
             score = m.score(text, values)
             out.append({"posterior": m.posterior.get(votes(values), m.prior), "score": score, "kept": score >= threshold})
+        pa.default_memory_pool().release_unused()
         return pa.array(out, kind)
 
     return docs.withColumn("quality_judgement", run(whole_text()))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import table, whole_text, without_ids, written
+from .common import sliced, table, whole_text, without_ids, written
 from .components import connected_components
 from .golay import codeword_indices
 
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).cast(pa.binary())
             found = np.fromiter((fingerprint(t.as_py(), width) for t in texts), dtype=np.uint64, count=len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, whole_text, written
+from .common import sliced, table, whole_text, written
 
 #: Bounds of the fit: labelled rows taken of each class (by a hash of the id) and words kept.
 TRAIN_POSITIVE, TRAIN_NEGATIVE, VOCABULARY = 8000, 16000, 4096
@@ -114,7 +114,7 @@ def vocabulary_of(rows: DataFrame, weights: dict[int, float], size: int = VOCABU
     """The words most typical of toxic rows by log-likelihood ratio, with their smoothed log odds."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             toxic, clean = Counter(), Counter()
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = set(folded(text).split())
@@ -145,7 +145,7 @@ def _bags(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     """(label, sizes, words): for each row its sentences that have known words, one after the other."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 bags = [features(s.split(), vocabulary) for s in folded(text).split(b"\n")]
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", steps: int = S
     def gradient(at: np.ndarray) -> np.ndarray:
         def run(batches):
             total = np.zeros(len(at) + 1)
-            for batch in batches:
+            for batch in sliced(batches):
                 sizes, words = batch.column(1), batch.column(2)
                 counts = np.diff(sizes.offsets.to_numpy())
                 total += noisy_or_gradient(at, batch.column(0).to_numpy(), counts, sizes.flatten().to_numpy(), words.flatten().to_numpy(), weights)
@@ -221,7 +221,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, least: float = PREDIC
 
     def run(batches):
         m = broadcast.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             scores = [m.score(t) for t in texts]
             found = [m.offending(t, least) if s >= min(least, PREDICTED) else [] for t, s in zip(texts, scores)]

@@ -13,8 +13,8 @@ import numpy as np
 
 SPACE, LETTER, DIGIT, MARK, OTHER = range(5)
 LONGEST = 64  # bytes of a piece that is remembered
-POOL_IDS = 8_000_000
-CHUNK_BYTES = 1 << 20
+POOL_IDS = 4_000_000
+CHUNK_BYTES = 1 << 18
 
 
 def _classes() -> np.ndarray:
@@ -56,7 +56,7 @@ def plain(text: bytes) -> bool:
 class WordBPE:
     """Encoder with a memory of pieces. The memory is bounded: it starts anew beyond ``POOL_IDS`` ids."""
 
-    def __init__(self, path: str, slots: int = 1 << 21):
+    def __init__(self, path: str, slots: int = 1 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
