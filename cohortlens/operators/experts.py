@@ -4,7 +4,7 @@
   ``regParam = 1 / (C * sum(w))`` and ``standardization=False``, which is the
   ``C``-form objective ``C * sum(w * loss) + ||beta||^2 / 2``.
 * Many experts at once (one per segment plus a global one, refitted every EM
-  iteration) use a fused Newton solver: every pass is one ``mapInPandas`` over
+  iteration) use a fused Newton solver: every pass is one ``mapInArrow`` over
   the cached rows that emits, per partition and expert, the weighted gradient
   and Hessian sums; Spark adds them up with a grouped sum and the driver solves
   the small ``(D+1) x (D+1)`` systems. Per-row weights are computed inside the
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,46 +68,51 @@ def balance_factors(pos_mass: np.ndarray, neg_mass: np.ndarray, rule: str | None
     return ones, ones
 
 
-def _sum_rows(df: DataFrame, emit, schema: str) -> dict:
-    """Run ``emit`` over every partition and add the emitted (e, i, v) rows up by key.
+class Rows:
+    """Columns of an Arrow batch: arrays as (n, d) matrices without copies, numbers as series."""
 
-    A partition adds its batches up itself and returns each key once.
-    """
+    def __init__(self, batch):
+        self.n, self.columns = batch.num_rows, {}
+        for name, c in zip(batch.schema.names, batch.columns):
+            if pa.types.is_list(c.type):
+                self.columns[name] = c.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(self.n, -1)
+            else:
+                self.columns[name] = pd.Series(c.to_numpy(zero_copy_only=False))
 
-    def once(it):
-        total = None
-        for part in emit(it):
-            part = part.set_index(["e", "i"])["v"]
-            total = part if total is None else total.add(part, fill_value=0.0)
-        if total is not None:
-            yield total.reset_index()
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, name: str):
+        return self.columns[name]
 
-    out = df.mapInPandas(once, schema).groupBy("e", "i").agg(F.sum("v").alias("v")).collect()
-    return {(r["e"], r["i"]): r["v"] for r in out}
 
+def sum_vectors(df: DataFrame, kernel, length: int) -> np.ndarray:
+    """The sum of the vectors of ``length`` numbers that ``kernel(rows)`` gives, over all batches of ``df``.
 
-def _to_arrays(pdf: pd.DataFrame, col: str) -> np.ndarray:
-    return np.stack(pdf[col].to_numpy()) if len(pdf) else np.zeros((0, 0))
+    A partition adds its batches up and returns one vector; Spark adds these position by position, so
+    what reaches the driver has the vector's size whatever the number of partitions.
+    """
 
+    def run(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                v = kernel(Rows(batch))
+                total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["v"])
 
-def class_masses(df: DataFrame, weight_fn, n_experts: int, xf: str = "xf", label: str = "label") -> tuple:
-    """Per-expert weighted positive and negative mass (one pass); weights from ``weight_fn``."""
+    parts = df.mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("i", "v"))
+    found = parts.groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(length)
+    out[found.column("i").to_numpy()] = found.column("v").to_numpy()
+    return out
 
-    def emit(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            y = pdf[label].to_numpy(float)
-            W = weight_fn(pdf)
-            pos = (W * y[:, None]).sum(0)
-            neg = (W * (1 - y)[:, None]).sum(0)
-            e = np.arange(n_experts)
-            yield pd.DataFrame({"e": np.r_[e, e], "i": np.r_[np.zeros(n_experts, int), np.ones(n_experts, int)], "v": np.r_[pos, neg]})
 
-    sums = _sum_rows(df, emit, "e int, i int, v double")
-    pos = np.array([sums.get((e, 0), 0.0) for e in range(n_experts)])
-    neg = np.array([sums.get((e, 1), 0.0) for e in range(n_experts)])
-    return pos, neg
+def _to_arrays(rows, col: str) -> np.ndarray:
+    if isinstance(rows, Rows):
+        return rows[col]
+    return np.stack(rows[col].to_numpy()) if len(rows) else np.zeros((0, 0))
 
 
 def stats_length(dim: int) -> int:
@@ -144,22 +150,12 @@ def expert_stats_np(X: np.ndarray, y: np.ndarray, W: np.ndarray, B: np.ndarray)
 
 
 def _stats_pass(df: DataFrame, weight_fn, cols: np.ndarray, B: np.ndarray, xf: str, label: str) -> np.ndarray:
-    d = B.shape[1] - 1
-    L = stats_length(d)
+    L = stats_length(B.shape[1] - 1)
 
-    def emit(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            X = _to_arrays(pdf, xf)
-            y = pdf[label].to_numpy(float)
-            st = expert_stats_np(X, y, weight_fn(pdf)[:, cols], B)
-            v = st.ravel()
-            yield pd.DataFrame({"e": np.zeros(v.size, int), "i": np.arange(v.size), "v": v})
-
-    sums = _sum_rows(df, emit, "e int, i int, v double")
-    v = np.array([sums.get((0, i), 0.0) for i in range(len(cols) * 2 * L)])
-    return v.reshape(len(cols), 2, L)
+    def kernel(rows):
+        return expert_stats_np(_to_arrays(rows, xf), rows[label].to_numpy(float), weight_fn(rows)[:, cols], B).ravel()
+
+    return sum_vectors(df, kernel, len(cols) * 2 * L).reshape(len(cols), 2, L)
 
 
 def fit_experts(

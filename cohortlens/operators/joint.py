@@ -11,7 +11,7 @@ one cached training frame (``customer_id``, ``label``, ``xb`` behaviour array,
 * ``ramoe`` - mixture of experts with Gaussian (diag / spherical) or soft-K-Means
   gating, tempered E-step, gating M-step and weighted experts (G16-G25).
 
-For the expert models each EM iteration is one fused ``mapInPandas`` pass that
+For the expert models each EM iteration is one fused ``mapInArrow`` pass that
 emits per-partition sufficient statistics (component masses, shifted first and
 second moments, class masses, log-likelihood, changed-assignment count),
 followed by the fused Newton passes of :mod:`experts`. No per-row state is kept
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import soft
 from .cluster import distances, kmeans_fit
-from .experts import Expert, _sum_rows, _to_arrays, expert_stats_np, fit_experts, stats_length
+from .experts import Expert, _to_arrays, expert_stats_np, fit_experts, stats_length, sum_vectors
 from .quantile import exact_quantiles
 
 P_CLIP = 1e-7
@@ -343,7 +343,7 @@ def _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label,
         return fn
 
     use_glob = cfg.model_type == "ramoe" and cfg.use_global_expert
-    fitted = fit_experts(train, _with_global(hard_w(mu0), use_glob), K + use_glob, D, cfg.logreg_C, balance, global_rate,
+    fitted = fit_experts(train.select(label, x, xf), _with_global(hard_w(mu0), use_glob), K + use_glob, D, cfg.logreg_C, balance, global_rate,
                          xf=xf, label=label)
     experts, glob = fitted[:K], (fitted[K] if use_glob else None)
     prm = JointParams(pi=pi, mu=centers.copy(), var=var, experts=experts, global_expert=glob)
@@ -381,7 +381,7 @@ def _fit_experts_model(train, cfg, centers, n, d, D, global_rate, x, xf, label,
                 else:
                     mu[k] = _md5_row(train, f"{cfg.random_state}|{it}|{k}", x)
             w_fn = _hard_weights(cfg, cur, K, x, xf, label)
-            experts = fit_experts(train, w_fn, K, D, cfg.logreg_C, balance, global_rate, xf=xf, label=label,
+            experts = fit_experts(train.select(label, x, xf), w_fn, K, D, cfg.logreg_C, balance, global_rate, xf=xf, label=label,
                                   init=init, first=stats["expert"])
             prm = JointParams(pi=stats["N"] / float(n), mu=mu, var=None, experts=experts)
         # response rate of each component under the assignments of this iteration (soft or hard)
@@ -466,29 +466,20 @@ def _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0, use_glob) ->
     mu_old = cur.mu
     n_exp, L = B0.shape[0], stats_length(B0.shape[1] - 1)
 
-    def emit(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            Xb, Xf, y = _to_arrays(pdf, x), _to_arrays(pdf, xf), pdf[label].to_numpy(float)
-            q, lse = estep_np(Xb, Xf, y, cur, cfg)
-            z = np.argmax(q, 1)
-            zp = _prev_assign(Xb, Xf, y, prev, mu0, cfg, hard=False)
-            vals = [q.sum(0)]
-            diff = Xb[:, None, :] - mu_old[None, :, :]  # (n, K, d)
-            vals.append(np.einsum("nk,nkd->kd", q, diff).ravel())
-            vals.append(np.einsum("nk,nkd->kd", q, diff * diff).ravel())
-            vals.append((q * y[:, None]).sum(0))
-            vals.append((q * (1 - y)[:, None]).sum(0))
-            vals.append(np.array([lse.sum(), float((z != zp).sum()), y.sum()]))
-            W = np.hstack([q, np.ones((len(y), 1))]) if use_glob else q
-            vals.append(expert_stats_np(Xf, y, W, B0).ravel())
-            v = np.concatenate(vals)
-            yield pd.DataFrame({"e": np.zeros(v.size, int), "i": np.arange(v.size), "v": v})
-
-    sums = _sum_rows(train.select(label, x, xf), emit, "e int, i int, v double")
-    size = K + 2 * K * d + 2 * K + 3 + n_exp * 2 * L
-    v = np.array([sums.get((0, i), 0.0) for i in range(size)])
+    def kernel(rows):
+        Xb, Xf, y = _to_arrays(rows, x), _to_arrays(rows, xf), rows[label].to_numpy(float)
+        q, lse = estep_np(Xb, Xf, y, cur, cfg)
+        z = np.argmax(q, 1)
+        zp = _prev_assign(Xb, Xf, y, prev, mu0, cfg, hard=False)
+        diff = Xb[:, None, :] - mu_old[None, :, :]  # (n, K, d)
+        W = np.hstack([q, np.ones((len(y), 1))]) if use_glob else q
+        return np.concatenate([
+            q.sum(0), np.einsum("nk,nkd->kd", q, diff).ravel(), np.einsum("nk,nkd->kd", q, diff * diff).ravel(),
+            (q * y[:, None]).sum(0), (q * (1 - y)[:, None]).sum(0), [lse.sum(), float((z != zp).sum()), y.sum()],
+            expert_stats_np(Xf, y, W, B0).ravel(),
+        ])
+
+    v = sum_vectors(train.select(label, x, xf), kernel, K + 2 * K * d + 2 * K + 3 + n_exp * 2 * L)
     o = 0
     N = v[o : o + K]; o += K
     S1 = v[o : o + K * d].reshape(K, d); o += K * d
@@ -504,21 +495,16 @@ def _ramoe_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0, use_glob) ->
 def _hard_pass(train, cfg, cur, prev, mu0, K, d, x, xf, label, B0) -> dict:
     n_exp, L = B0.shape[0], stats_length(B0.shape[1] - 1)
 
-    def emit(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            Xb, Xf, y = _to_arrays(pdf, x), _to_arrays(pdf, xf), pdf[label].to_numpy(float)
-            z = np.argmin(hard_cost_np(Xb, Xf, y, cur, cfg), 1)
-            zp = _prev_assign(Xb, Xf, y, prev, mu0, cfg, hard=True)
-            Z = np.eye(K)[z]
-            v = np.concatenate([Z.sum(0), (Z.T @ Xb).ravel(), (Z * y[:, None]).sum(0), (Z * (1 - y)[:, None]).sum(0),
-                                [float((z != zp).sum())], expert_stats_np(Xf, y, Z, B0).ravel()])
-            yield pd.DataFrame({"e": np.zeros(v.size, int), "i": np.arange(v.size), "v": v})
-
-    sums = _sum_rows(train.select(label, x, xf), emit, "e int, i int, v double")
+    def kernel(rows):
+        Xb, Xf, y = _to_arrays(rows, x), _to_arrays(rows, xf), rows[label].to_numpy(float)
+        z = np.argmin(hard_cost_np(Xb, Xf, y, cur, cfg), 1)
+        zp = _prev_assign(Xb, Xf, y, prev, mu0, cfg, hard=True)
+        Z = np.eye(K)[z]
+        return np.concatenate([Z.sum(0), (Z.T @ Xb).ravel(), (Z * y[:, None]).sum(0), (Z * (1 - y)[:, None]).sum(0),
+                               [float((z != zp).sum())], expert_stats_np(Xf, y, Z, B0).ravel()])
+
     base = K + K * d + 2 * K + 1
-    v = np.array([sums.get((0, i), 0.0) for i in range(base + n_exp * 2 * L)])
+    v = sum_vectors(train.select(label, x, xf), kernel, base + n_exp * 2 * L)
     return {"N": v[:K], "S1": v[K : K + K * d].reshape(K, d), "pos": v[K + K * d : 2 * K + K * d],
             "neg": v[2 * K + K * d : 3 * K + K * d], "chg": v[base - 1], "expert": v[base:].reshape(n_exp, 2, L)}
 

@@ -403,6 +403,33 @@ _SIL_EU = (
 )
 
 
+_INDICES = (
+    _EMB + _SIL_EU[_SIL_EU.index(", pr AS"):].replace("sil AS", "sil_eu AS")
+    + ", " + _SIL_SQ[len(_EMB) + 2:].replace("pr AS", "pr2 AS").replace("FROM pr ", "FROM pr2 ").replace("pm AS", "pm2 AS").replace("FROM pm ", "FROM pm2 ")
+    .replace("pm.", "pm2.").replace("ab AS", "ab2 AS").replace("FROM ab)", "FROM ab2)").replace("sil AS", "sil_sq AS")
+)
+
+
+@register(
+    "cluster_scores",
+    with_base(
+        "SELECT " + ", ".join([
+            sd("(SELECT count(*) FROM e)", "n_samples"), sd("(SELECT count(DISTINCT cluster) FROM e)", "n_clusters"),
+            sd("(SELECT avg(s) FROM sil_eu)", "silhouette"), sd("(SELECT avg(s) FROM sil_sq)", "silhouette_squared"),
+            sd("(SELECT (b / (k - 1)) / (w / (n - k)) FROM "
+               "(SELECT sum((v - c) * (v - c)) AS w FROM el JOIN cen USING (cluster, j)) t1, "
+               "(SELECT sum(cs.n * (c - gc) * (c - gc)) AS b FROM cen JOIN (SELECT j, avg(v) AS gc FROM el GROUP BY j) g USING (j) "
+               "JOIN cs USING (cluster)) t2, (SELECT count(*) AS n, count(DISTINCT cluster) AS k FROM e) t3)", "calinski_harabasz"),
+        ]),
+        _INDICES,
+    ),
+)
+def q_cluster_scores(spark, sf_dir):
+    r = quality.cluster_scores(_emb(spark, sf_dir))
+    names = ("n_samples", "n_clusters", "silhouette", "silhouette_squared", "calinski_harabasz")
+    return tidy(spark.createDataFrame([tuple(r[n] for n in names)], ", ".join(f"{n} double" for n in names)))
+
+
 @register("silhouette_exact", with_base(f"SELECT {sd('avg(s)', 'silhouette')} FROM sil", _SIL_EU))
 def q_silhouette_exact(spark, sf_dir):
     return tidy(quality.silhouette_euclidean_rows(_emb(spark, sf_dir)).agg(F.avg("silhouette").alias("silhouette")))

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import classify, profiles, segment, soft
+from ..operators.experts import class_weight_balanced
 from ..operators.features import BEHAVIOR_NUMERIC_FEATURES, log_amounts
 from ..operators.transform import apply_transform, feature_table
+from ..shared import written
 from ..sources.sinks import align_assignments
 from .catalog import register, sd, si, ss, tidy
 from .catalog_metrics import VALID, dbl
 from .catalog_transform import _TF
 from .frames import campaign_features, scored, split_features, with_segment
+from .jobs import onehot_ids
 from .sql_base import with_base
 
 BEH = [c.lower() for c in BEHAVIOR_NUMERIC_FEATURES]
@@ -30,7 +33,7 @@ FRACS = (0.05, 0.1, 0.2, 0.3, 0.5)
     ),
 )
 def q_cluster_centers(spark, sf_dir):
-    rows = with_segment(split_features(spark, sf_dir))
+    rows = written(with_segment(split_features(spark, sf_dir)), "segmented")
     _, fitted = feature_table(rows, F.col("split") == "train")
     return tidy(profiles.cluster_centers(apply_transform(log_amounts(rows), fitted, keep=("customer_id", "cluster")), BEH))
 
@@ -248,3 +251,28 @@ def q_align_assignments(spark, sf_dir):
     rows = with_segment(split_features(spark, sf_dir)).select("customer_id", "split", "cluster")
     assign, feats = rows.filter(F.col("split") != "test"), rows.select("customer_id")
     return tidy(align_assignments(feats, assign).select("customer_id", "cluster", "has_assignment"))
+
+
+# ---------------------------------------------------------------- G15, G30
+@register(
+    "cluster_onehot",
+    with_base(
+        "SELECT " + si("customer_id", "customer_id") + ", " + ", ".join(sd(f"CASE WHEN cluster = {k} THEN 1.0 ELSE 0.0 END", f"seg_{k}") for k in range(4)) + " FROM scored"
+    ),
+)
+def q_cluster_onehot(spark, sf_dir):
+    rows = onehot_ids(scored(spark, sf_dir).select("customer_id", "cluster"), 4, "seg")
+    return tidy(rows.drop("cluster"))
+
+
+@register(
+    "balanced_weights",
+    with_base(
+        f"SELECT {si('customer_id', 'customer_id')}, {sd('t.n / (2.0 * c.n)', 'w')} FROM scored s "
+        "JOIN (SELECT label, count(*) AS n FROM scored WHERE label IS NOT NULL GROUP BY label) c ON c.label = s.label, "
+        "(SELECT count(*) AS n FROM scored WHERE label IS NOT NULL) t"
+    ),
+)
+def q_balanced_weights(spark, sf_dir):
+    rows = scored(spark, sf_dir).filter(F.col("label").isNotNull()).select("customer_id", "label")
+    return tidy(class_weight_balanced(rows).select("customer_id", "w"))

@@ -8,6 +8,7 @@ from ..operators import split as splitops
 from ..operators.features import AMOUNT_COLUMNS, FeatureConfig
 from ..operators.quantile import exact_quantiles
 from ..operators.transform import fit_transform_params
+from ..shared import written
 from .catalog import register, sd, si, ss, tidy
 from .frames import long_format, split_features, transformed
 from .sql_base import split_ctes, transform_ctes, with_base
@@ -73,7 +74,7 @@ def q_impute_mode(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir):
-    tr = _train(spark, sf_dir).persist()
+    tr = written(_train(spark, sf_dir), "train")
     return tr, fit_transform_params(tr, CFG)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import md5_unit
 from ..operators.clean import add_label, clean_campaign
 from ..operators.features import derive_features
+from ..shared import written
 from ..sources.campaign import CUTOFF, REFERENCE_YEAR, campaign_raw
 
 # Fixed values of the scored fixture (FIXTURES.md §3).
@@ -102,7 +103,8 @@ def transformed(spark: SparkSession, sf_dir: str, exact: bool = True, two_way: b
     """(feature table over all rows with train-fitted parameters, fitted parameters)."""
     from ..operators.transform import feature_table
 
-    sp = (split_features(spark, sf_dir, two_way=True) if two_way else split_features(spark, sf_dir)).persist()
+    # read by every pass of the fit: written once instead of derived or cached anew
+    sp = written(split_features(spark, sf_dir, two_way=two_way), "split-features")
     return feature_table(sp, F.col("split") == "train", exact=exact)
 
 

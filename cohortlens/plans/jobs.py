@@ -119,7 +119,7 @@ def main_report(ctx: JobContext, cfg: joint.JointConfig | None = None) -> tuple[
     return out, assignments
 
 
-def _onehot_ids(df: DataFrame, k: int, prefix: str) -> DataFrame:
+def onehot_ids(df: DataFrame, k: int, prefix: str) -> DataFrame:
     """Cluster ids as one-hot columns (ids 0..k-1 known from the fit; unseen -> all 0)."""
     return df.withColumns({f"{prefix}_{j}": (F.col("cluster") == j).cast("double") for j in range(k)})
 
@@ -144,15 +144,15 @@ def downstream_table(ctx: JobContext, k: int = 4, seed: int = 42, cfg: joint.Joi
     base = ctx.frame
     rows.append(dict(_logistic_variant(base, []), model="base_logistic"))
     centers, _ = clu.kmeans_fit(ctx.train, "xb", k, seed, 10)
-    km = _onehot_ids(_assign(base, centers, "xb"), k, "km")
+    km = onehot_ids(_assign(base, centers, "xb"), k, "km")
     rows.append(dict(_logistic_variant(km, [f"km_{j}" for j in range(k)]), model="base_plus_kmeans"))
     gmm = clu.gmm_fit(ctx.train, "xb", k, seed)
     post = clu.gmm_posteriors(gmm, base, "xb", keep=tuple(base.columns))
-    gm = _onehot_ids(post, k, "gm")
+    gm = onehot_ids(post, k, "gm")
     rows.append(dict(_logistic_variant(gm, [f"gm_{j}" for j in range(k)]), model="base_plus_gmm"))
     cfg = cfg or joint.JointConfig.preset("yaml")
     prm, _, scored = fit_main(ctx, cfg)
-    ra = _onehot_ids(scored.drop("score"), k, "ra")
+    ra = onehot_ids(scored.drop("score"), k, "ra")
     rows.append(dict(_logistic_variant(ra, [f"ra_{j}" for j in range(k)]), model="base_plus_response_aware"))
     thr = classify.choose_threshold_value(scored.filter(F.col("split") == "val"), metric="f1")
     rows.append(dict(evaluate(scored.filter(F.col("split") == "test"), thr), model="response_aware_direct"))
@@ -244,9 +244,9 @@ def curve_tables(ctx: JobContext, k: int = 4, seed: int = 42, cfg: joint.JointCo
     cfg = cfg or joint.JointConfig.preset("yaml")
     base = ctx.frame
     centers, _ = clu.kmeans_fit(ctx.train, "xb", k, seed, 10)
-    km = _onehot_ids(_assign(base, centers, "xb"), k, "km")
+    km = onehot_ids(_assign(base, centers, "xb"), k, "km")
     prm, _, moe = fit_main(ctx, cfg)
-    ra = _onehot_ids(moe.drop("score"), k, "ra")
+    ra = onehot_ids(moe.drop("score"), k, "ra")
     scored = {
         "base_logistic": _newton_scores(base, []),
         "base_plus_kmeans": _newton_scores(km, [f"km_{j}" for j in range(k)]),
