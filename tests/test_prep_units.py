@@ -85,3 +85,17 @@ def test_labels(spark):
     assert [r["label"] for r in clean.add_label(df, "recent").collect()] == [0, 0]
     with pytest.raises(ValueError):
         clean.add_label(df, "other")
+
+
+def test_sinks_write_and_read_back(spark, tmp_path):
+    from cohortlens.sources import sinks
+
+    rows = spark.createDataFrame([(1, 0, "train"), (2, 1, "val"), (3, None, "test")], "customer_id long, cluster int, split string")
+    sinks.write_assignments(rows, f"{tmp_path}/assign")
+    back = {(r["customer_id"], r["cluster"], r["split"]) for r in sinks.read_assignments(spark, f"{tmp_path}/assign").collect()}
+    assert back == {(1, 0, "train"), (2, 1, "val"), (3, None, "test")}
+    metrics = spark.createDataFrame([("a", {"0": 0.5})], "model string, rates map<string,double>")
+    sinks.write_table(metrics, f"{tmp_path}/csv", "csv")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/csv").first()["rates"].startswith("{")
+    sinks.write_table(metrics, f"{tmp_path}/parquet")
+    assert spark.read.parquet(f"{tmp_path}/parquet").first()["rates"] == {"0": 0.5}
