@@ -169,7 +169,8 @@ class WordBPE:
             if len(short):
                 new, first = np.unique(names[short], return_index=True)
                 self._learn(new, [a[starts[i]:ends[i]].tobytes() for i in short[first]])
-                slot[short] = self._find(names[short])
+                slot = self._find(names)  # of all pieces: learning may have taken the slot of one that was found
+                slot[long] = -1
             for i in np.nonzero(slot < 0)[0]:  # long pieces, and the few that lost their slot at once
                 own[int(i)] = self._whole(a[starts[i]:ends[i]].tobytes())
         counts = np.where(slot >= 0, self.count[slot], 0).astype(np.int64)

@@ -39,6 +39,16 @@ def test_crowded_memory_stays_exact(tokenizer):
         assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_pieces_found_before_keep_their_ids(tokenizer):
+    """Chunks that mix known and new pieces in a table that fills: what a new piece evicts is not read as the old one."""
+    encoder = WordBPE(public_tokenizers.path("word_bpe_49k.json"), slots=4096)
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(3, 9))) for _ in range(6000)]
+    for at in range(0, 6000, 500):
+        text = " ".join(words[:at + 500])
+        assert encoder.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def check(packed, texts, tokenizer, window):
     """texts: doc_id -> text (each once)."""
     rows = packed.collect()
