@@ -19,7 +19,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -32,6 +32,8 @@ SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
 SEGMENTS = (22, 21, 21)
 _ROWS = 1 << 14
+#: Column that numbers the rows of ``representatives``.
+ROW = "_simhash_row"
 
 
 def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
@@ -52,19 +54,19 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): fingerprints as signed longs, one row per input row. NULL texts count as empty."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns of ``keep`` and fp: fingerprints as signed longs, one row per input row. NULL texts count as empty."""
     spark = docs.sparkSession
-    kind = docs.schema["doc_id"].dataType
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
         for batch in sliced(batches):
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(0).cast(pa.binary())
             found = np.fromiter((fingerprint(t.as_py(), width) for t in texts), dtype=np.uint64, count=len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found.view(np.int64))], [*keep, "fp"])
 
-    schema = spark.createDataFrame([], f"doc_id {kind.simpleString()}, fp long").schema
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, schema)
+    schema = spark.createDataFrame([], f"{kinds}, fp long").schema
+    return docs.select(whole_text().alias("text"), *keep).mapInArrow(run, schema)
 
 
 def segment_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,6 +120,15 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     return pairs.unionByName(stars.filter("a <> b").filter(near).distinct())
 
 
+def _first_of_components(rows: DataFrame, first: Column, max_distance: int) -> DataFrame:
+    """(fp, first): for each fingerprint of ``rows`` the minimum ``first`` over all rows of its component."""
+    distinct = written(rows.groupBy("fp").agg(first.alias("rep")), "simhash-distinct")
+    groups = connected_components(links(distinct, max_distance))
+    named = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    smallest = named.groupBy("component").agg(F.min("rep").alias("first"))
+    return written(named.join(smallest, "component").select("fp", "first"), "simhash-components")
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """``doc_id, fp, fingerprint, component_id`` of every row.
 
@@ -126,19 +137,23 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_distance: i
     a ``doc_id`` are rows of their own; NULL ids are ignored by the minimum. Other columns are ignored.
     """
     rows = written(fingerprints(docs, width), "simhash-rows")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
-    groups = connected_components(links(distinct, max_distance))
-    named = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_fp = written(named.join(smallest, "component").select("fp", "component_id"), "simhash-components")
+    by_fp = _first_of_components(rows, F.min("doc_id"), max_distance).withColumnRenamed("first", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame, width: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The document of each component with the smallest id, with all columns of ``docs``."""
-    found = near_duplicates(docs, width, max_distance)
-    losers = written(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "simhash-losers")
-    return without_ids(docs, losers)
+    """Exactly one row of each component, with all columns of ``docs``: the one with the smallest ``doc_id``.
+
+    Rows without an id come last; of rows with the same id the smallest fingerprint stays, then the
+    first row. Rows are told apart by a number of their own, written with them, so neither NULL nor
+    shared ids touch rows of other components.
+    """
+    own = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "simhash-docs")
+    rows = written(fingerprints(own, width, ("doc_id", ROW)), "simhash-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", ROW))
+    by_fp = _first_of_components(rows, first, max_distance).select("fp", F.col(f"first.{ROW}").alias("_kept"))
+    losers = written(rows.join(by_fp, "fp").filter(F.col(ROW) != F.col("_kept")).select(ROW), "simhash-losers")
+    return without_ids(own, losers, ROW).select(*docs.columns)
 
 
 def op7_simhash_golay(spark, sf_dir):

@@ -88,6 +88,21 @@ def test_edge_rows(spark):
     assert sorted(set(r.doc_id for r in kept.collect())) == sorted(set(c for d, f, c in expect([r for r in rows if r[0] is not None])))
 
 
+def test_representatives_with_null_shared_and_repeated_ids(spark):
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("alpha beta gamma delta eps zeta eta theta iota kappa".split()) for _ in range(60)) for _ in range(9)]
+    rows = [(1, texts[0]), (None, texts[0])]                                   # a NULL loser ...
+    rows += [(None, t) for t in texts[1:4]]                                    # ... must not take unique rows along
+    rows += [(2, texts[4]), (7, texts[4]), (7, texts[5]), (9, texts[5])]       # 7 loses once and wins once
+    rows += [(None, texts[6])] * 3 + [(4, texts[7])] * 3                       # NULL ids alone, the smallest id repeated
+    rows += [(8, texts[8]), (8, texts[8].upper())]                             # one id, two texts, one component
+    df = spark.createDataFrame([(d, t, "k", 1, 2) for d, t in rows], DOCS).repartition(4)
+    kept = [(r.doc_id, r.text) for r in simhash.representatives(df).collect()]
+    want = [(1, texts[0]), *((None, t) for t in texts[1:4]), (2, texts[4]), (7, texts[5]), (None, texts[6]), (4, texts[7]), (8, texts[8])]
+    assert sorted((repr(d), t.lower()) for d, t in kept) == sorted((repr(d), t) for d, t in want)
+    assert simhash.representatives(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("distance", [0, 1, 2])
 def test_crowded_family(spark, distance):
     """Hundreds of fingerprints around a few centres: links give the components of brute force."""
