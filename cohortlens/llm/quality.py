@@ -104,10 +104,12 @@ class WeakLabelModel:
     posterior: dict[int, float]
     prior: float
     rates: np.ndarray  # (class, labeller, vote)
-    weights: np.ndarray
+    weights: np.ndarray | None  # None: no scorer, the posterior is the score
     intercept: float
 
     def score(self, text: bytes, values: list[float]) -> float:
+        if self.weights is None:
+            return self.posterior.get(votes(values), self.prior)
         grams, bins = hashed(text, values)
         z = self.intercept + self.weights[grams].sum() / (len(grams) + SHRINK) + self.weights[bins].sum()
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
@@ -143,20 +145,35 @@ def _texts(batch) -> list[bytes]:
     return batch.column(0).cast(pa.binary()).to_pylist()
 
 
-def pattern_counts(docs: DataFrame) -> dict[int, int]:
-    """How many documents have each vote pattern: at most 3**8 numbers, counted over all rows."""
+def text_counts(docs: DataFrame) -> DataFrame:
+    """(h, code, n): hash and vote pattern of each distinct text, and how many rows have it."""
 
     def run(batches):
         for batch in sliced(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([votes(statistics(t)) for t in _texts(batch)], pa.int32())], ["code"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([votes(statistics(t)) for t in _texts(batch)], pa.int32())], ["h", "code"])
+
+    rows = _hashed_texts(docs).mapInArrow(run, "h long, code int")
+    return written(rows.groupBy("h", "code").agg(F.count(F.lit(1)).alias("n")), "quality-texts")
+
+
+def pattern_counts(texts: DataFrame) -> dict[int, int]:
+    """How many documents have each vote pattern: at most 3**8 numbers, counted over all rows."""
+    return {r["code"]: r["n"] for r in texts.groupBy("code").agg(F.sum("n").alias("n")).collect()}
 
-    rows = docs.select(whole_text().alias("text")).mapInArrow(run, "code int").groupBy("code").count().collect()
-    return {r["code"]: r["count"] for r in rows}
+
+def _hashed_texts(docs: DataFrame) -> DataFrame:
+    return docs.select(whole_text().alias("text")).select("text", F.xxhash64("text", F.lit(4)).alias("h"))
 
 
 def fit(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> WeakLabelModel:
-    """Fits labellers and scorer on ``text`` alone; ``per_class`` bounds the expected sample of the scorer's fit."""
-    counts = pattern_counts(docs)
+    """Fits labellers and scorer on ``text`` alone; ``per_class`` bounds the expected sample of the scorer's fit.
+
+    A text with ``n`` rows is drawn as often as ``n`` of its class's rows are due, to the next whole
+    number by its hash, and enters the fit once with that number as weight. So a hot text neither
+    drops out nor fills the sample, and a class of few texts is always there.
+    """
+    texts = text_counts(docs)
+    counts = pattern_counts(texts)
     posterior, prior, rates = expectation_maximisation(counts)
     sizes = [sum(n for c, n in counts.items() if (posterior[c] >= 0.5) == bool(k)) for k in (0, 1)]
     if not all(sizes):  # one class only: nothing to tell apart
@@ -166,27 +183,31 @@ def fit(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> WeakLabelModel:
     def run(batches):
         for batch in sliced(batches):
             rows = []
-            for text, u in zip(_texts(batch), batch.column(1).to_pylist()):
+            for text in _texts(batch):
                 values = statistics(text)
-                p = posterior.get(votes(values), prior)
-                label = int(p >= 0.5)
-                if u >= share[label]:
-                    continue
                 grams, bins = hashed(text, values)
                 x = np.bincount(grams, minlength=FEATURES) / (len(grams) + SHRINK)
                 np.add.at(x, bins, 1.0)
-                rows.append((x, float(label), abs(2 * p - 1) * sizes[label] * share[0] / sizes[0] / share[label]))
+                rows.append(x)
             if rows:
-                x, label, weight = zip(*rows)
-                flat = pa.array(np.concatenate(x))
+                flat = pa.array(np.concatenate(rows))
                 offsets = pa.array(np.arange(0, len(flat) + 1, FEATURES, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, flat), pa.array(label), pa.array(np.maximum(weight, 1e-6))], ["x", "label", "weight"])
-
-    u = F.pmod(F.xxhash64("text", F.lit(4)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = docs.select(whole_text().alias("text")).select("text", u.alias("u")).filter(F.col("u") < max(share))
-    rows = written(chosen.mapInArrow(run, "x array<double>, label double, weight double"), "quality-sample")
-    if rows.select("label").distinct().count() < 2:  # the hash took none of a tiny class
-        return WeakLabelModel(posterior, prior, rates, np.zeros(FEATURES), 6.0)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, flat), batch.column(1), batch.column(2)], ["x", "label", "weight"])
+
+    drawn = []  # one row a pattern
+    for code, p in posterior.items():
+        label = int(p >= 0.5)
+        drawn.append((code, float(label), share[label], abs(2 * p - 1) * sizes[label] * share[0] / sizes[0] / share[label]))
+    by_code = F.broadcast(docs.sparkSession.createDataFrame(drawn, "code int, label double, share double, weight double"))
+    u = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    times = F.ceil(F.col("n") * F.col("share") - u)
+    chosen = texts.join(by_code, "code").withColumn("times", times).filter("times > 0")
+    chosen = written(chosen.select("h", "label", F.greatest(F.col("times") * F.col("weight"), F.lit(1e-6)).alias("weight")), "quality-chosen")
+    # About ``per_class`` rows a class whatever the input, so they are broadcast; copies meet in map-side aggregation.
+    once = _hashed_texts(docs).join(F.broadcast(chosen), "h").dropDuplicates(["h"]).select("text", "label", "weight")
+    rows = written(once.mapInArrow(run, "x array<double>, label double, weight double"), "quality-sample")
+    if rows.select("label").distinct().count() < 2:  # a tiny ``per_class`` took none of a class: the posterior judges
+        return WeakLabelModel(posterior, prior, rates, None, 0.0)
     learner = LogisticRegression(featuresCol="v", weightCol="weight", maxIter=30, regParam=0.002)
     fitted = learner.fit(rows.select(array_to_vector("x").alias("v"), "label", "weight"))
     return WeakLabelModel(posterior, prior, rates, fitted.coefficients.toArray(), float(fitted.intercept))

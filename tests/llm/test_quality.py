@@ -46,3 +46,22 @@ def test_rows(spark):
     assert quality.good_documents(df.limit(0)).count() == 0
     alike = quality.good_documents(df.filter("doc_id < 60"))
     assert alike.count() == 60
+
+
+def test_large_class_of_few_texts(spark):
+    """A bad class of more rows than the sample bound, but one text; a text with a third of the rows; no class in the sample."""
+    prose = "A plain sentence of words that follow each other, as in any text. "
+    spam = [f"a%%% b### c&&& d*** {k} " * 30 for k in range(12)]
+    good = [(i, prose * (1 + i % 5) + f"Number {i}.") for i in range(120)]
+    for page in spam[:4]:
+        rows = good + [(1000 + i, page) for i in range(90)] + [(2000 + i, prose * 3) for i in range(60)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        for per_class in (40,) if page != spam[0] else (40, 1):
+            model = quality.fit(df, per_class)
+            assert not quality.judge(df, model).filter("quality_judgement.kept <> (doc_id < 1000 or doc_id >= 2000)").count(), (page[:30], per_class)
+    assert model.weights is not None
+    texts = quality.text_counts(df)
+    assert texts.count() == 122 and sum(quality.pattern_counts(texts).values()) == 270
+    bare = quality.WeakLabelModel({0: 0.25}, 0.9, model.rates, None, 0.0)
+    worst = [2 * bound for _, _, bound in quality.LABELLERS]
+    assert bare.score(b"", worst) == 0.25 and bare.score(b"", [0.0] * len(worst)) == 0.9
