@@ -116,8 +116,7 @@ def q_downstream_table(spark, sf_dir):
 
 @register("ablation_table")
 def q_ablation_table(spark, sf_dir):
-    # reduced grid for the routine check; jobs.ablation_table defaults to the full 60-setting grid
-    return jobs.records_frame(spark, jobs.ablation_table(_ctx(spark, sf_dir), ks=(3, 4), lambdas=(0.0, 1.0), temps=(1.0,)))
+    return jobs.records_frame(spark, jobs.ablation_table(_ctx(spark, sf_dir)))
 
 
 @register("curve_tables")
