@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, licences, mixing, packing, parsing, pii, quality, simhash, toxicity
+from . import chat, exact_dedup, filter_audit, licences, mixing, packing, parsing, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity_mil": toxicity.op1_toxicity_mil,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pack_documents": packing.op8_pack_documents,
     "op9_licence_scan": licences.op9_licence_scan,
     "op10_parse_fingerprints": parsing.op10_parse_fingerprints,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op3_mix_poisson": mixing.ORACLE,
     "op5_pii_native": pii.ORACLE,
     "op6_rotate_perspectives": chat.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
 }
