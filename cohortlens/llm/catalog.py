@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, filter_audit, licences, mixing, packing, parsing, pii, quality, simhash, toxicity
+from . import chat, exact_dedup, filter_audit, lexical, licences, mixing, packing, parsing, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity_mil": toxicity.op1_toxicity_mil,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_licence_scan": licences.op9_licence_scan,
     "op10_parse_fingerprints": parsing.op10_parse_fingerprints,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_stratified_search": lexical.op12_stratified_search,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op5_pii_native": pii.ORACLE,
     "op6_rotate_perspectives": chat.ORACLE,
     "op11_filter_audit": filter_audit.ORACLE,
+    "op12_stratified_search": lexical.ORACLE,
 }
