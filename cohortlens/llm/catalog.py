@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, filter_audit, lexical, licences, mixing, packing, parsing, pii, quality, simhash, toxicity
+from . import chat, exact_dedup, filter_audit, lexical, licences, minhash, mixing, packing, parsing, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity_mil": toxicity.op1_toxicity_mil,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_parse_fingerprints": parsing.op10_parse_fingerprints,
     "op11_filter_audit": filter_audit.op11_filter_audit,
     "op12_stratified_search": lexical.op12_stratified_search,
+    "op13_minhash_stars": minhash.op13_minhash_stars,
 }
 
 ORACLES = {
