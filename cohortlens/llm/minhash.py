@@ -2,11 +2,12 @@
 
 A document is its set of distinct word shingles. Equal sets are one node, so copies cost nothing. Nodes
 that agree in all minima of a band share a key. A key of two nodes is a candidate pair. In a larger key
-all nodes are compared with the smallest one; if its nodes are then still in several components, more
-and more of them, chosen by a hash, are compared with the nodes outside their component, until one
-component is left or every node has been compared: all links count, and no group is turned into pairs
-that its components already settle. Candidates are checked by their signatures and then by their full
-sets, so every link is exact; what banding and signature check can miss is bounded by ``miss_bound``.
+all nodes are compared with the smallest one. If its nodes are then still in several components, those
+that have too much text of their own to be linked with anything leave, and more and more of the others,
+chosen by a hash, are compared with the nodes outside their component, until one component is left or
+every node has been compared: all links count, and no group is turned into pairs that its components
+already settle. Candidates are checked by their signatures and then by their full sets, so every link is
+exact; what banding can miss is bounded by ``miss_bound``, the signature check allows for SLACK deviations.
 """
 
 from __future__ import annotations
@@ -169,6 +170,15 @@ def confirmed(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
     return shared.filter(F.col("shared") * 100 >= percent * (F.col("sizes") - F.col("shared"))).select("a", "b")
 
 
+def shared_sizes(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``node, n, shared``: set sizes, and how many of a node's shingles another node of ``wanted`` has too."""
+    sets = written(shingle_sets(rows, wanted, width), "minhash-open-sets")
+    alone = sets.select("node", F.explode("own").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).filter("times = 1")
+    own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    sized = sets.select("node", F.size("own").cast("long").alias("n")).join(own, "node", "left")
+    return sized.select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
 def node_components(rows: DataFrame, nodes: DataFrame, percent: int, width: int, bands: int, rows_: int) -> DataFrame:
     """``node, component`` of every node that has a link."""
     least = least_equal(percent, bands * rows_)
@@ -177,26 +187,39 @@ def node_components(rows: DataFrame, nodes: DataFrame, percent: int, width: int,
         near = written(alike(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), nodes, least), "minhash-alike")
         return written(confirmed(near, rows, percent, width), "minhash-links")
 
+    def unsettled(members: DataFrame) -> DataFrame:
+        """The members of keys whose nodes are in several components."""
+        named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+        return named.join(split, "key")
+
     keys = band_keys(nodes, bands, rows_)
     met = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b")).filter("size > 1"), "minhash-keys")
-    crowded = written(keys.join(met.filter("size > 2").select("key", "size", F.col("a").alias("first")), "key"), "minhash-crowded")
+    crowded = written(keys.join(met.filter("size > 2").select("key", F.col("a").alias("first")), "key"), "minhash-crowded")
     links = linked(met.filter("size = 2").select("a", "b").unionByName(crowded.select(F.col("first").alias("a"), F.col("node").alias("b"))))
     found = components(links)
+    members = written(unsettled(crowded).drop("component"), "minhash-open")
+    if members.isEmpty():
+        return found
+    # Two sets have at most the smaller of their ``shared`` shingles in common. That settles most nodes of a family
+    # that are linked with nothing: too much of their text is theirs alone.
+    in_reach = lambda shared, sizes: shared * 100 >= percent * (sizes - shared)
+    members = written(members.join(shared_sizes(rows, members.select("node").distinct(), width), "node"), "minhash-open")
+    smallest = members.groupBy("key").agg(F.min("n").alias("n_least"))
+    members = members.join(smallest, "key").filter(in_reach(F.col("shared"), F.col("n") + F.col("n_least")))
+    members = written(members.filter("node <> first").select("key", "node", "n", "shared"), "minhash-open")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    members = written(members.join(sizes.filter("size > 1"), "key").withColumn("turn", F.pmod(F.xxhash64("node", "key"), F.col("size"))).drop("size"), "minhash-open")
     before, centres = 0, CENTRES
     while True:
-        named = crowded.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-        turn = F.pmod(F.xxhash64("node", "key"), F.col("size"))  # the first node of a key has been compared with all
-        open_ = written(named.join(split, "key").filter((F.col("node") != F.col("first")) & (turn >= before)).withColumn("now", turn < centres), "minhash-open")
-        if open_.filter("now").isEmpty():
-            if open_.isEmpty():
-                return found
-        else:
-            asked = open_.filter("now").select("key", F.col("node").alias("a"), F.col("component").alias("component_a"))
-            pairs = open_.select("key", F.col("node").alias("b"), "component").join(asked, "key").filter("component <> component_a").select("a", "b")
-            more = linked(pairs)
-            if not more.isEmpty():
-                found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+        open_ = written(unsettled(members).filter(F.col("turn") >= before), "minhash-open")
+        if open_.isEmpty():
+            return found
+        asked = open_.filter(F.col("turn") < centres).select("key", F.col("node").alias("a"), F.col("component").alias("component_a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"))
+        possible = (F.col("component") != F.col("component_a")) & in_reach(F.least("shared", "shared_a"), F.col("n") + F.col("n_a"))
+        more = linked(open_.join(asked, "key").filter(possible).select("a", F.col("node").alias("b")))
+        if not more.isEmpty():
+            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
         before, centres = centres, 4 * centres
 
 
