@@ -208,19 +208,31 @@ def node_components(rows: DataFrame, nodes: DataFrame, percent: int, width: int,
     smallest = members.groupBy("key").agg(F.min("n").alias("n_least"))
     members = members.join(smallest, "key").filter(in_reach(F.col("shared"), F.col("n") + F.col("n_least")))
     members = written(members.filter("node <> first").select("key", "node", "n", "shared"), "minhash-open")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    members = written(members.join(sizes.filter("size > 1"), "key").withColumn("turn", F.pmod(F.xxhash64("node", "key"), F.col("size"))).drop("size"), "minhash-open")
-    before, centres = 0, CENTRES
+    # The node with the largest shared part is near the text that a family has in common: it is compared with all.
+    share = F.struct((F.col("shared") / F.col("n")).alias("share"), F.col("node"), F.col("n"), F.col("shared"))
+    heads = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max(share).alias("head")).filter("size > 1")
+    # A pair that meets in several keys is compared in the smallest of them: members carry all their keys.
+    carried = members.join(heads.select("key"), "key", "left_semi").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # at most one a band
+    members = written(
+        members.join(heads, "key").join(carried, "node").withColumn("turn", F.pmod(F.xxhash64("node", "key"), F.col("size")))
+        .withColumn("turn", F.when(F.col("node") == F.col("head.node"), -1).otherwise(F.col("turn"))).drop("size", "head"),
+        "minhash-open",
+    )
+    once = F.array_min(F.array_intersect("keys", "keys_a")) == F.col("key")
+    before, centres = -1, 0
     while True:
         open_ = written(unsettled(members).filter(F.col("turn") >= before), "minhash-open")
         if open_.isEmpty():
             return found
-        asked = open_.filter(F.col("turn") < centres).select("key", F.col("node").alias("a"), F.col("component").alias("component_a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"))
+        asked = open_.filter(F.col("turn") < centres).select(
+            "key", F.col("keys").alias("keys_a"), *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "shared")]
+        )
         possible = (F.col("component") != F.col("component_a")) & in_reach(F.least("shared", "shared_a"), F.col("n") + F.col("n_a"))
-        more = linked(open_.join(asked, "key").filter(possible).select("a", F.col("node").alias("b")))
+        first_turn = F.lit(True) if before < 0 else once  # each key has a head of its own
+        more = linked(open_.join(asked, "key").filter(possible & first_turn).select(F.col("node_a").alias("a"), F.col("node").alias("b")))
         if not more.isEmpty():
             found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-        before, centres = centres, 4 * centres
+        before, centres = centres, max(CENTRES, 4 * centres)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
