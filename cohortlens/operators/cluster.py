@@ -7,12 +7,12 @@ expressions; assignments are JVM-side array expressions (no UDF).
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .experts import sum_vectors
 from .soft import argmin
 
 #: Rows that the starts of K-Means are chosen from; the fit itself uses all rows.
@@ -84,21 +84,18 @@ def kmeans_fit(
     def step(at: np.ndarray) -> np.ndarray:
         """(r, k, d + 1) sums and sizes with the cost in a last row, for centers ``at``; and sums of x and x*x."""
 
-        def run(batches):
-            total = np.zeros(len(at) * (k * (d + 1) + 1) + 2 * d)
-            for batch in batches:
-                X = batch.column(0).flatten().to_numpy().reshape(-1, d)
-                own = (X * X).sum(1)
-                parts = []
-                for c in at:
-                    near = own[:, None] - 2.0 * X @ c.T + (c * c).sum(1)[None, :]
-                    z = near.argmin(1)
-                    Z = np.eye(k)[z]
-                    parts += [(Z.T @ X).ravel(), Z.sum(0), [np.clip(near[np.arange(len(z)), z], 0.0, None).sum()]]
-                total += np.concatenate([*parts, X.sum(0), (X * X).sum(0)])
-            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["s"])
-
-        return np.sum([r["s"] for r in rows.mapInArrow(run, "s array<double>").collect()], axis=0)  # a vector a partition
+        def kernel(batch):
+            X = batch["x"]
+            own = (X * X).sum(1)
+            parts = []
+            for c in at:
+                near = own[:, None] - 2.0 * X @ c.T + (c * c).sum(1)[None, :]
+                z = near.argmin(1)
+                Z = np.eye(k)[z]
+                parts += [(Z.T @ X).ravel(), Z.sum(0), [np.clip(near[np.arange(len(z)), z], 0.0, None).sum()]]
+            return np.concatenate([*parts, X.sum(0), (X * X).sum(0)])
+
+        return sum_vectors(rows, kernel, len(at) * (k * (d + 1) + 1) + 2 * d)
 
     moving, cost = np.arange(R), np.full(R, np.inf)
     for it in range(int(max_iter) + 1):

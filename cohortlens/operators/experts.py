@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,12 +87,33 @@ class Rows:
         return self.columns[name]
 
 
+#: Numbers of a vector that are added up together.
+VECTOR_PART = 8192
+
+
+def _added(batches):
+    """Rows (i, v): the sum of the arrays ``v`` of each ``i``, one array at a time."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+            v = v.values.to_numpy()
+            sums[i] = sums[i] + v if i in sums else v.copy()
+    if sums:
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.list_(pa.float64()))], ["i", "v"])
+
+
 def sum_vectors(df: DataFrame, kernel, length: int) -> np.ndarray:
     """The sum of the vectors of ``length`` numbers that ``kernel(rows)`` gives, over all batches of ``df``.
 
-    A partition adds its batches up and returns one vector; Spark adds these position by position, so
-    what reaches the driver has the vector's size whatever the number of partitions.
+    A partition adds its batches up and returns one vector in parts. Equal parts meet in Arrow tasks that
+    add them one by one, in two levels where the session is wide, so neither a task nor the driver holds
+    a vector of every partition; the driver gets the sum.
     """
+    spark = df.sparkSession
+    length = int(length)
+    parts = -(-length // VECTOR_PART)
+    levels = [64, 1] if spark.sparkContext.defaultParallelism > 256 else [1]
+    width = levels[0]
 
     def run(batches):
         total = None
@@ -100,12 +122,18 @@ def sum_vectors(df: DataFrame, kernel, length: int) -> np.ndarray:
                 v = kernel(Rows(batch))
                 total = v if total is None else total + v
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["v"])
-
-    parts = df.mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("i", "v"))
-    found = parts.groupBy("i").agg(F.sum("v").alias("v")).toArrow()
-    out = np.zeros(length)
-    out[found.column("i").to_numpy()] = found.column("v").to_numpy()
+            group = TaskContext.get().partitionId() % width
+            cut = [total[i * VECTOR_PART:(i + 1) * VECTOR_PART] for i in range(parts)]
+            yield pa.RecordBatch.from_arrays([pa.array([i * width + group for i in range(parts)], pa.int64()), pa.array(cut, pa.list_(pa.float64()))], ["i", "v"])
+
+    found = df.mapInArrow(run, "i long, v array<double>")
+    for level, groups in enumerate(levels):
+        if level:
+            found = found.withColumn("i", F.floor(F.col("i") / width))
+        found = found.repartition(min(parts * groups, 256), "i").mapInArrow(_added, "i long, v array<double>")
+    table, out = found.toArrow(), np.zeros(length)
+    for i, v in zip(table.column("i").to_pylist(), table.column("v")):
+        out[i * VECTOR_PART:i * VECTOR_PART + len(v)] = v.values.to_numpy()
     return out
 
 

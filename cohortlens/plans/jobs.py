@@ -9,7 +9,6 @@ reach the driver.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict
 from itertools import product
 
@@ -17,13 +16,11 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import classify, cluster as clu, ctp, experts, joint, quality, ranking, segment
+from ..operators import classify, cluster as clu, ctp, experts, grid, joint, quality, ranking, segment
 
 from .frames import model_frame
 
 TOP_FRAC = 0.2
-#: Fits of the ablation grid that run at the same time.
-ABLATION_JOBS = 4
 
 
 class JobContext:
@@ -164,29 +161,18 @@ def downstream_table(ctx: JobContext, k: int = 4, seed: int = 42, cfg: joint.Joi
 
 
 def ablation_table(ctx: JobContext, ks=(3, 4, 5, 6), lambdas=(0.0, 0.1, 0.3, 1.0, 3.0), temps=(0.5, 1.0, 2.0), **cfg_kw) -> list[dict]:
-    """M7: grid of joint-model settings evaluated on val at threshold 0.5.
+    """M7: grid of joint-model settings evaluated on val at threshold 0.5, in grid order.
 
-    Settings are independent; ``ABLATION_JOBS`` of them are submitted at a time. Rows come in grid order.
+    All settings are fitted side by side and evaluated together (:mod:`grid`): the number of passes over
+    the rows is that of the slowest setting, not their sum.
     """
-    val = ctx.split("val")
-
-    def one(setting):
-        k, lam, t = setting
-        cfg = joint.JointConfig(n_clusters=k, lambda_=lam, temperature=t, **cfg_kw)
-        prm, trace = joint.fit_joint(ctx.train, cfg)
-        part = val.withColumns(
-            {
-                "score": joint.predict_response(F.col("xb"), F.col("xf"), prm, cfg),
-                "cluster": joint.predict_clusters(F.col("xb"), prm, cfg),
-            }
-        )
-        rep = cluster_report(part, "xb")
-        rep.update(evaluate(part, 0.5))
-        rep.update(n_clusters_cfg=k, lambda_=lam, temperature=t, n_iter=len(trace["change_ratio"]))
-        return rep
-
-    with ThreadPoolExecutor(ABLATION_JOBS) as pool:
-        return list(pool.map(one, product(ks, lambdas, temps)))
+    cfgs = [joint.JointConfig(n_clusters=k, lambda_=lam, temperature=t, **cfg_kw) for k, lam, t in product(ks, lambdas, temps)]
+    fits = grid.fit_grid(ctx.train, cfgs)
+    records = grid.evaluate_grid(ctx.split("val"), fits, cfgs, 0.5, TOP_FRAC)
+    return [
+        dict(rec, n_clusters_cfg=c.n_clusters, lambda_=c.lambda_, temperature=c.temperature, n_iter=len(trace["change_ratio"]))
+        for rec, c, (_, trace) in zip(records, cfgs, fits)
+    ]
 
 
 def elbow_table(spark: SparkSession, sf_dir: str, ks=range(2, 11), n_init: int = 10, seed: int = 42) -> DataFrame:

@@ -1,26 +1,70 @@
-"""The registered ablation query runs every setting of the reference's grid."""
-
-from itertools import product
+"""The ablation grid: settings fitted and evaluated side by side give what each gives alone."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.plans import catalog_fits, jobs
+from cohortlens.operators import experts, grid, joint
+from cohortlens.plans import jobs
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    rng = np.random.default_rng(3)
+    n = 260
+    centers = np.array([[0, 0, 0], [4, 4, 0], [0, 4, 4]], float)
+    X = centers[np.arange(n) % 3] + rng.normal(size=(n, 3))
+    Z = np.hstack([X, rng.normal(size=(n, 1))])
+    y = (rng.random(n) < 1 / (1 + np.exp(-(X[:, 0] - X[:, 2])))).astype(int)
+    rows = [(i, "train" if i % 4 else "val", int(y[i]), X[i].round(2).tolist(), Z[i].round(2).tolist()) for i in range(n)]
+    return spark.createDataFrame(rows, "customer_id long, split string, label int, xb array<double>, xf array<double>").repartition(4).persist()
+
+
+class Context:
+    def __init__(self, frame):
+        self.frame, self.train = frame, frame.filter("split = 'train'")
+
+    def split(self, name):
+        return self.frame.filter(F.col("split") == name)
+
+
+def test_grid_equals_single_fits(frame):
+    ctx = Context(frame)
+    kw = {"max_iter": 3, "kmeans_n_init": 2}
+    rows = jobs.ablation_table(ctx, ks=(2, 3), lambdas=(0.0, 1.0), temps=(0.5, 2.0), **kw)
+    assert [(r["n_clusters_cfg"], r["lambda_"], r["temperature"]) for r in rows] == [(k, lam, t) for k in (2, 3) for lam in (0.0, 1.0) for t in (0.5, 2.0)]
+    for at in (1, 6):
+        row = rows[at]
+        cfg = joint.JointConfig(n_clusters=row["n_clusters_cfg"], lambda_=row["lambda_"], temperature=row["temperature"], **kw)
+        prm, trace = joint.fit_joint(ctx.train, cfg)
+        part = ctx.split("val").withColumns({"score": joint.predict_response(F.col("xb"), F.col("xf"), prm, cfg), "cluster": joint.predict_clusters(F.col("xb"), prm, cfg)})
+        want = jobs.cluster_report(part, "xb")
+        want.update(jobs.evaluate(part, 0.5), n_iter=len(trace["change_ratio"]))
+        for name, value in want.items():
+            if isinstance(value, dict):
+                assert row[name] == pytest.approx(value, rel=1e-6)
+            else:
+                assert row[name] == pytest.approx(value, rel=1e-5, abs=1e-8), name
+
+
+def test_settings_that_cannot_share_are_refused(frame):
+    for cfgs in ([], [joint.JointConfig(model_type="logreg")], [joint.JointConfig(logreg_C=1.0), joint.JointConfig(logreg_C=2.0)]):
+        with pytest.raises(ValueError):
+            grid.fit_grid(frame, cfgs)
 
 
-def test_query_covers_the_grid(spark, monkeypatch):
-    class Context:
-        def __init__(self, spark, sf_dir):
-            self.train = spark.range(1).select(F.array(F.lit(0.0)).alias("xb"), F.array(F.lit(0.0)).alias("xf"))
+def test_lift_cuts_through_ties_by_id(spark):
+    rows = [(i, float(i % 3 == 0), [0.5 if i < 15 else 0.25, 0.75]) for i in range(20)]
+    scored = spark.createDataFrame(rows, "customer_id long, label double, scores array<double>").repartition(3)
+    got = grid._order_metrics(scored, 2, 0.2, "customer_id")
+    base = 7 / 20
+    assert [r["lift_top20"] for r in got] == pytest.approx([2 / 4 / base, 2 / 4 / base])  # ids 0 to 3: two positives
+    assert got[1]["auc"] == 0.5 and got[1]["average_precision"] == pytest.approx(base)
 
-        def split(self, name):
-            return self.train
 
-    monkeypatch.setattr(jobs, "JobContext", Context)
-    monkeypatch.setattr(jobs.joint, "fit_joint", lambda train, cfg: (cfg, {"change_ratio": [0.0]}))
-    monkeypatch.setattr(jobs.joint, "predict_response", lambda xb, xf, prm, cfg: F.lit(0.5))
-    monkeypatch.setattr(jobs.joint, "predict_clusters", lambda xb, prm, cfg: F.lit(cfg.n_clusters))
-    monkeypatch.setattr(jobs, "cluster_report", lambda part, x: {"seen": part.first()["cluster"]})
-    monkeypatch.setattr(jobs, "evaluate", lambda part, threshold: {"threshold": threshold})
-    rows = catalog_fits.q_ablation_table(spark, "").collect()
-    assert [(r.n_clusters_cfg, r.lambda_, r.temperature) for r in rows] == list(product((3, 4, 5, 6), (0.0, 0.1, 0.3, 1.0, 3.0), (0.5, 1.0, 2.0)))
-    assert all(r.seen == r.n_clusters_cfg and r.threshold == 0.5 for r in rows)
+def test_vectors_add_up_in_parts(spark, monkeypatch):
+    df = spark.range(1000).repartition(7).select(F.col("id").cast("double").alias("v"))
+    length = 3 * experts.VECTOR_PART + 5
+    got = experts.sum_vectors(df, lambda rows: np.full(length, rows["v"].sum()), length)
+    assert got.shape == (length,) and np.all(got == 999 * 500)
+    assert not experts.sum_vectors(df.limit(0), lambda rows: np.ones(length), length).any()
