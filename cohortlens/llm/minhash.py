@@ -213,8 +213,9 @@ def node_components(rows: DataFrame, nodes: DataFrame, percent: int, width: int,
     heads = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max(share).alias("head")).filter("size > 1")
     # A pair that meets in several keys is compared in the smallest of them: members carry all their keys.
     carried = members.join(heads.select("key"), "key", "left_semi").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # at most one a band
+    early = F.pmod(F.xxhash64("node"), F.lit(1 << 31)) / float(1 << 31)  # the same nodes are early in all their keys
     members = written(
-        members.join(heads, "key").join(carried, "node").withColumn("turn", F.pmod(F.xxhash64("node", "key"), F.col("size")))
+        members.join(heads, "key").join(carried, "node").withColumn("turn", F.floor(F.col("size") * early))
         .withColumn("turn", F.when(F.col("node") == F.col("head.node"), -1).otherwise(F.col("turn"))).drop("size", "head"),
         "minhash-open",
     )
