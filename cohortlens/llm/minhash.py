@@ -31,8 +31,9 @@ ROWS = 5
 SEED = 13
 #: Standard deviations by which the share of equal minima may stay below the threshold.
 SLACK = 6
-#: Nodes of a crowded key that are compared with the others in its second round; four times as many in each further one.
-CENTRES = 16
+#: Nodes of a crowded key that are compared with the others after its head; GROWTH times as many in each further round.
+CENTRES = 64
+GROWTH = 16
 _WORDS = 1 << 19
 _SHINGLES = 512
 
@@ -233,7 +234,7 @@ def node_components(rows: DataFrame, nodes: DataFrame, percent: int, width: int,
         more = linked(open_.join(asked, "key").filter(possible & first_turn).select(F.col("node_a").alias("a"), F.col("node").alias("b")))
         if not more.isEmpty():
             found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-        before, centres = centres, max(CENTRES, 4 * centres)
+        before, centres = centres, max(CENTRES, GROWTH * centres)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
