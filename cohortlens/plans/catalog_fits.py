@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import cluster as clu, ctp, joint, profiles, segment
-from ..operators.experts import fit_boosted, fit_logistic_mllib
+from ..operators.experts import class_weight_balanced, fit_boosted, fit_logistic_mllib
 from . import jobs
 from .catalog import register, tidy
 from .frames import model_frame
@@ -64,8 +64,8 @@ def q_weighted_logistic(spark, sf_dir):
 @register("boosted_expert")
 def q_boosted_expert(spark, sf_dir):
     mf, _ = model_frame(spark, sf_dir)
-    train = mf.filter(F.col("split") == "train").withColumn("features", array_to_vector("xf"))
-    model = fit_boosted(train, "features", "label", None, rounds=20)
+    train = class_weight_balanced(mf.filter(F.col("split") == "train")).withColumn("features", array_to_vector("xf"))
+    model = fit_boosted(train, "features", "label", "w")
     test = mf.filter(F.col("split") == "test").withColumn("features", array_to_vector("xf"))
     return tidy(model.transform(test).select("customer_id", vector_to_array("probability")[1].alias("p")))
 

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from cohortlens.operators import cluster as clu, experts, joint, quality
@@ -160,3 +160,14 @@ def test_joint_options_that_are_not_supported_raise():
     for bad in ({"expert_type": "boosted"}, {"temperature": 0.0}, {"budget_reweight_alpha": -1.0}, {"budget_top_frac": 0.0}):
         with pytest.raises(ValueError):
             JointConfig(**bad)
+
+
+def test_boosted_expert_stops_on_the_rows_kept_out(spark):
+    df, X, lab, y = _blobs(spark, 400)
+    df = experts.class_weight_balanced(df).withColumn("features", array_to_vector("x"))
+    model = experts.fit_boosted(df, "features", weight_col="w", rounds=60)
+    assert 1 <= model.getNumTrees <= 60
+    p = np.array([r[0] for r in model.transform(df).orderBy("customer_id").select(vector_to_array("probability")[1]).collect()])
+    pos, neg = p[y == 1], p[y == 0]
+    assert ((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :])).mean() > 0.75
+    assert experts.fit_boosted(df, "features", rounds=3, key=None).getNumTrees == 3
