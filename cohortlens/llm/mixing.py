@@ -22,6 +22,8 @@ SIZE_POWER = 0.5
 PART_MEAN = 32.0
 #: Entries of an inverted distribution; the tail beyond them at mean 32 is below 1e-26.
 DISTRIBUTION = 128
+#: Column of ``draws`` with what a row is hashed by.
+NAME = "_mixing_name"
 #: Rate tables up to this many sources (1 KB each, so 8 MB) are broadcast, larger ones are joined by a shuffle.
 BROADCAST_SOURCES = 8000
 
@@ -62,15 +64,22 @@ def uniform(*key: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def row_name() -> Column:
+    """What a row is hashed by: its id, or its place in the table if it has none."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
+
+
 def draws(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` with ``rate`` and ``copies``, the Poisson draw of each row.
 
-    Rows that repeat an id draw the same number; a NULL id is hashed as an empty string.
+    Rows that repeat an id draw the same number. Rows without an id draw each for itself, by their place
+    in ``docs`` (which must then be read from files, so that a retried task finds the same places).
     """
+    docs = docs.withColumn(NAME, row_name())
     rates = written(rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), F.col("parts").alias("_parts"), F.col("cdf").alias("_cdf")), "mixing-rates")
     small = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     joined = docs.join(F.broadcast(rates) if small else rates, docs["source"].eqNullSafe(F.col("_source")))
-    one_part = lambda i: F.size(F.filter("_cdf", lambda c: c <= uniform(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), i.cast("string"))))
+    one_part = lambda i: F.size(F.filter("_cdf", lambda c: c <= uniform(F.lit(str(seed)), F.col(NAME), i.cast("string"))))
     copies = F.when(F.col("_parts") > 0, F.aggregate(F.sequence(F.lit(1), F.greatest("_parts", F.lit(1))), F.lit(0), lambda n, i: n + one_part(i))).otherwise(0)
     return joined.select(*[docs[c] for c in docs.columns], F.col("_rate").alias("rate"), copies.alias("copies"))
 
@@ -82,15 +91,15 @@ def mixture(docs: DataFrame, targets: DataFrame | None = None, size_power: float
     copy), which is a random order of the whole mixture. Documents that draw 0 are absent; an empty
     table gives an empty mixture. ``docs`` must not have the four added columns.
     """
-    clash = {"rate", "copies", "copy", "shuffle_key"} & set(docs.columns)
+    clash = {"rate", "copies", "copy", "shuffle_key", NAME} & set(docs.columns)
     if clash:
         raise ValueError(f"rename {sorted(clash)}: the mixture adds columns of these names")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     drawn = draws(docs, source_rates(docs, targets, size_power, epochs), seed).filter("copies > 0")
     rows = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed}:shuffle"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("copy").cast("string")))
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}:shuffle"), F.col(NAME), F.col("copy").cast("string")))
     place = (F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("long") * n / float(1 << 32)).cast("int")
-    return rows.withColumn("shuffle_key", key).repartitionById(n, place).sortWithinPartitions("shuffle_key")
+    return rows.withColumn("shuffle_key", key).repartitionById(n, place).sortWithinPartitions("shuffle_key").drop(NAME)
 
 
 def op3_mix_poisson(spark, sf_dir):

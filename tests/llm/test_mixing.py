@@ -37,8 +37,11 @@ def test_counts_and_order(spark):
     got = {}
     for r in out:
         got.setdefault((r.doc_id, r.text), []).append(r.copy)
-        assert r.copies == draw(r.doc_id, rates[r.source])
+        assert r.doc_id is None or r.copies == draw(r.doc_id, rates[r.source])
     for d, t, s in rows:
+        if d is None:  # drawn by its place
+            assert len(got[d, t]) > 50 and sorted(got[d, t]) == list(range(1, len(got[d, t]) + 1))
+            continue
         assert sorted(got.get((d, t), [])) == list(range(1, draw(d, rates[s]) + 1))
     keys = [r.shuffle_key for r in out]
     assert keys == sorted(keys)  # partition after partition
@@ -55,3 +58,23 @@ def test_large_rate_table_is_joined(spark, monkeypatch):
     want = sorted((r.doc_id, r.copy) for r in mixing.mixture(df).collect())
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 3)
     assert sorted((r.doc_id, r.copy) for r in mixing.mixture(df).collect()) == want
+
+
+def test_rows_without_an_id_draw_each_for_itself(spark, tmp_path):
+    rows = [(None if i % 3 else i, f"t{i}", "many" if i < 4000 else "few") for i in range(4500)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    rates = {r.source: r.rate for r in mixing.source_rates(df).collect()}
+    out = mixing.mixture(df).collect()
+    assert "_mixing_name" not in out[0].asDict()
+    for source, size in (("many", 4000), ("few", 500)):
+        none = [t for d, t, s in rows if d is None and s == source]
+        copies = {t: 0 for t in none}
+        for r in out:
+            if r.doc_id is None and r.source == source:
+                copies[r.text] += 1
+        assert len(set(copies.values())) > 2
+        assert abs(np.mean(list(copies.values())) - rates[source]) < 5 * math.sqrt(rates[source] / len(none))
+    assert sorted((r.text, r.copy) for r in out) == sorted((r.text, r.copy) for r in mixing.mixture(df).collect())
+    keys = [r.shuffle_key for r in out]
+    assert len(set(keys)) == len(keys)
