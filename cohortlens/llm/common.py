@@ -56,6 +56,17 @@ def without_ids(docs: DataFrame, losers: DataFrame, key: str = "doc_id") -> Data
     return stay.unionByName(doubt.join(losers.select("_loser").distinct(), doubt[key].eqNullSafe(F.col("_loser")), "left_anti"))
 
 
+def sheltered(docs: DataFrame, *read: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` for inner work, and the columns that turn a result of it back.
+
+    Inside, only the columns in ``read`` keep their names; the others are called after their place, so
+    that no helper column can have the name of one of them.
+    """
+    inner = {c: c if c in read else f"given_{i}" for i, c in enumerate(docs.columns)}
+    outer = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    return docs.select(*[outer(c).alias(n) for c, n in inner.items()]), [F.col(n).alias(c) for c, n in inner.items()]
+
+
 #: Rows whose texts are Python objects at the same time.
 ROWS_AT_ONCE = 256
 

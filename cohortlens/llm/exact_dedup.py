@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import may_contain, membership_bitmap, table, whole_text, written
+from .common import may_contain, membership_bitmap, sheltered, table, whole_text, written
 
 WHITE = r"[\x20\x09-\x0D]+"
 PREFIX_CHARS = 64
@@ -78,13 +78,14 @@ def progressive_dedup(docs: DataFrame, prefix_chars: int = PREFIX_CHARS, digest_
 
 
 def kept_documents(docs: DataFrame, verdict: DataFrame | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns, whatever they are called.
 
     Only rows that may belong to a group of copies (bitmap over their ids) are joined; the others
     pass without a shuffle of their texts. A repeated row stays once.
     """
     verdict = written(progressive_dedup(docs) if verdict is None else verdict, "dedup-verdict")
     grouped = verdict.filter("group_size > 1")
+    docs, back = sheltered(docs, "doc_id", "text")
     columns = docs.columns
     ids = membership_bitmap(grouped.select(F.xxhash64("doc_id").alias("_id_hash")), "_id_hash")
     marked = may_contain(docs.withColumn("_id_hash", F.xxhash64("doc_id")), "_id_hash", ids, "_maybe")
@@ -97,7 +98,7 @@ def kept_documents(docs: DataFrame, verdict: DataFrame | None = None) -> DataFra
     # rows outside every group and the one keeper of a group, unless its row is repeated
     plain = joined.filter(F.col("_stays").isNull() | (F.col("_stays") & (F.col("_rows") == 1))).select(*columns)
     repeated = joined.filter(F.col("_stays") & (F.col("_rows") > 1)).dropDuplicates(["doc_id", "_sha"]).select(*columns)
-    return alone.unionByName(plain).unionByName(repeated)
+    return alone.unionByName(plain).unionByName(repeated).select(*back)
 
 
 def op2_exact_dedup(spark, sf_dir):

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import sheltered, table, written
 
 SEED = 20240607
 #: Without targets a source weighs its rows to this power: 1 keeps the shares, 0 makes all sources equal.
@@ -24,6 +24,8 @@ PART_MEAN = 32.0
 DISTRIBUTION = 128
 #: Column of ``draws`` with what a row is hashed by.
 NAME = "_mixing_name"
+#: Columns that a mixture has besides those of its documents.
+ADDED = ("rate", "copies", "copy", "shuffle_key")
 #: Rate tables up to this many sources (1 KB each, so 8 MB) are broadcast, larger ones are joined by a shuffle.
 BROADCAST_SOURCES = 8000
 
@@ -89,17 +91,27 @@ def mixture(docs: DataFrame, targets: DataFrame | None = None, size_power: float
 
     Partition by partition, rows are in the order of ``shuffle_key`` (hex of a hash of seed, id and
     copy), which is a random order of the whole mixture. Documents that draw 0 are absent; an empty
-    table gives an empty mixture. ``docs`` must not have the four added columns.
+    table gives an empty mixture. The four columns replace columns of ``docs`` of these names;
+    ``replicated`` gives the documents as they are.
     """
-    clash = {"rate", "copies", "copy", "shuffle_key", NAME} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename {sorted(clash)}: the mixture adds columns of these names")
+    rows, back = _copies(docs, targets, size_power, epochs, seed)
+    return rows.select(*[b for c, b in zip(docs.columns, back) if c not in ADDED], *ADDED)
+
+
+def replicated(docs: DataFrame, targets: DataFrame | None = None, size_power: float = SIZE_POWER, epochs: float = 1.0, seed: int = SEED) -> DataFrame:
+    """The rows of ``mixture`` in its order, with the columns of ``docs`` alone, whatever they are called."""
+    rows, back = _copies(docs, targets, size_power, epochs, seed)
+    return rows.select(*back)
+
+
+def _copies(docs, targets, size_power, epochs, seed):
+    docs, back = sheltered(docs, "doc_id", "source")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     drawn = draws(docs, source_rates(docs, targets, size_power, epochs), seed).filter("copies > 0")
     rows = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     key = F.md5(F.concat_ws(":", F.lit(f"{seed}:shuffle"), F.col(NAME), F.col("copy").cast("string")))
     place = (F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("long") * n / float(1 << 32)).cast("int")
-    return rows.withColumn("shuffle_key", key).repartitionById(n, place).sortWithinPartitions("shuffle_key").drop(NAME)
+    return rows.withColumn("shuffle_key", key).repartitionById(n, place).sortWithinPartitions("shuffle_key"), back
 
 
 def op3_mix_poisson(spark, sf_dir):

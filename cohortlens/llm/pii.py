@@ -6,8 +6,11 @@ and matches. Patterns are written so that a failed start is never tried again in
 characters (look-behind, possessive repeats), which keeps long texts linear and off the stack; they
 find the same matches as the plain patterns in ``KINDS``.
 
-Kinds ``email, ip, card, phone`` are always reported. The method adds ``iban`` (mod-97) and ``ssn``
-(reported where nearby words lift its score to ``REPORTED``).
+Kinds ``email, ip, card, phone`` are always reported. The method adds ``iban`` (mod-97), ``ssn``
+(reported where nearby words lift its score to ``REPORTED``) and ``secret`` (a value with a digit given
+to a name like token or password). An account number is followed by words that look like more groups of
+it, so the longest part up to a space that passes mod-97 is the span; a second number directly behind
+it, written in groups, may lie in the same match and is then not seen.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, whole_text
+from .common import sheltered, table, whole_text
 
 #: Characters before a span in which context words count.
 CONTEXT_CHARS = 40
@@ -42,6 +45,9 @@ class Kind:
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _NOT_IN_WORD, _WORD_ENDS = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
 _IBAN = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+#: Letters and digits that the shortest account number has.
+_IBAN_LEAST = 15
+_SECRET = r"(?i:token|passwd|password|secret|api[_-]?key)[\"']? ?[:=] ?[\"']?[A-Za-z0-9_/+.-]{12,}"
 _SSN = "[0-9]{3}-[0-9]{2}-[0-9]{4}"
 
 KINDS = (
@@ -58,6 +64,7 @@ KINDS = (
          "[0-9]", 75, "iban|bank|account|konto|compte|cuenta", False),
     Kind("ssn", rf"\b{_SSN}\b", f"{_NOT_IN_WORD}{_SSN}{_WORD_ENDS}",
          "[0-9]", 40, "ssn|social security", False),
+    Kind("secret", _SECRET, _SECRET, "[:=]", 65, "login|user|auth|config|credential", False),
 )
 #: Words before a span that make personal data unlikely.
 UNLIKELY = "version|release|isbn|invoice no|example"
@@ -88,6 +95,19 @@ def mod97(code: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), step) == 1
 
 
+def _account(match: Column) -> Column:
+    """Length of the longest part of ``match``, whole or up to a space, that is an account number."""
+    parts = F.split(match, " ")
+    part = lambda i, between: F.array_join(F.slice(parts, 1, i), between)
+    passes = lambda i: _bound(part(i, ""), lambda code: (F.length(code) >= _IBAN_LEAST) & mod97(code))
+    return F.length(part(F.array_max(F.filter(F.sequence(F.lit(1), F.size(parts)), passes)), " "))
+
+
+def _kept(kind: str, match: Column) -> Column:
+    """How much of a match is personal data: its length, NULL if it is not confirmed."""
+    return _account(match) if kind == "iban" else F.when(_confirmed(kind, match), F.length(match))
+
+
 def _confirmed(kind: str, match: Column) -> Column:
     if kind == "ip":
         return match.rlike(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$")
@@ -95,8 +115,8 @@ def _confirmed(kind: str, match: Column) -> Column:
         return F.length(_digits(match)).between(14, 19) & luhn(_digits(match))
     if kind == "phone":
         return F.length(_digits(match)).between(10, 15)
-    if kind == "iban":
-        return mod97(F.replace(match, F.lit(" "), F.lit("")))
+    if kind == "secret":
+        return match.rlike("[:=][^0-9]*[0-9]")
     return F.lit(True)
 
 
@@ -124,16 +144,16 @@ def _spans(kind: Kind, order: int, matches: Column, gaps: Column) -> Column:
     def step(acc: Column, i: Column) -> Column:
         here = F.struct(
             (acc["at"] + F.length(gaps[i])).alias("start"),
-            (acc["at"] + F.length(gaps[i]) + F.length(matches[i])).alias("end"),
+            (acc["at"] + F.length(gaps[i]) + F.length(matches[i])).alias("at"),
             tail(F.concat(acc["before"], gaps[i])).alias("near"),
-            _confirmed(kind.name, matches[i]).alias("confirmed"),
+            _kept(kind.name, matches[i]).alias("kept"),
         )
 
         def grown(x: Column) -> Column:
-            span = F.struct(x["start"].alias("start"), F.lit(order).alias("order"), x["end"].alias("end"), F.lit(kind.name).alias("kind"), scored(F.lower(x["near"])).alias("score"))
+            span = F.struct(x["start"].alias("start"), F.lit(order).alias("order"), (x["start"] + x["kept"]).alias("end"), F.lit(kind.name).alias("kind"), scored(F.lower(x["near"])).alias("score"))
             return F.struct(
-                x["end"].alias("at"), tail(F.concat(x["near"], matches[i])).alias("before"),
-                F.when(x["confirmed"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
+                x["at"].alias("at"), tail(F.concat(x["near"], matches[i])).alias("before"),
+                F.when(x["kept"].isNotNull(), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
             )
 
         return _bound(here, grown)
@@ -156,22 +176,23 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``pii``: array of (start, order, end, kind, score) by start, then kind.
 
     Positions are code points, ends exclusive; scores are percent. Spans of different kinds may
-    overlap. NULL and empty texts have an empty array; each row stands by itself.
+    overlap. NULL and empty texts have an empty array; each row stands by itself, so repeated rows have
+    equal arrays and an empty table has none. Texts of any length are searched whole. ``pii`` replaces a
+    column of that name; all others stay as they are.
     """
+    kept = [c for c in docs.columns if c != "pii" or c == text]
+    docs, back = sheltered(docs.select(*[f"`{c}`" for c in kept]), text)
     df = docs.withColumn("_pii_text", whole_text(text))
-    made = ["_pii_text"]
     for kind in KINDS:
         possible = F.col("_pii_text").rlike(kind.gate)
         df = df.withColumn(f"_{kind.name}_found", F.when(possible, F.regexp_extract_all("_pii_text", F.lit(kind.fast), 0)).otherwise(F.array().cast("array<string>")))
-        made.append(f"_{kind.name}_found")
     for kind in KINDS:
         gaps = F.when(F.size(f"_{kind.name}_found") > 0, F.split("_pii_text", kind.fast, -1))
         df = df.withColumn(f"_{kind.name}_gaps", gaps)
-        made.append(f"_{kind.name}_gaps")
     for order, kind in enumerate(KINDS):
         df = df.withColumn(f"_{kind.name}_spans", _spans(kind, order, F.col(f"_{kind.name}_found"), F.col(f"_{kind.name}_gaps")))
-        made.append(f"_{kind.name}_spans")
-    return df.withColumn("pii", F.array_sort(F.concat(*[f"_{k.name}_spans" for k in KINDS]))).drop(*made)
+    spans = F.array_sort(F.concat(*[f"_{k.name}_spans" for k in KINDS]))
+    return df.select(*[b for c, b in zip(kept, back) if c != "pii"], spans.alias("pii"))
 
 
 def _joined(spans: Column) -> Column:
@@ -189,6 +210,7 @@ def op5_pii_native(spark, sf_dir):
         _joined(F.col("pii")).alias("spans"),
         *[count(k.name) for k in KINDS if not k.base],
         F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",").alias("scores"),
+        (F.size("pii") > 0).alias("found"),
     )
 
 
@@ -198,16 +220,21 @@ def _oracle() -> str:
         "card": "len(d) BETWEEN 14 AND 19 AND list_sum(list_transform(range(0, len(d)), lambda j: CASE WHEN j % 2 = 0 THEN CAST(d[len(d) - j] AS INT) "
                 "WHEN 2 * CAST(d[len(d) - j] AS INT) > 9 THEN 2 * CAST(d[len(d) - j] AS INT) - 9 ELSE 2 * CAST(d[len(d) - j] AS INT) END)) % 10 = 0",
         "phone": "len(d) BETWEEN 10 AND 15",
-        "iban": "list_reduce(list_transform(string_split(array_to_string(list_transform(string_split(substr(replace(m, ' ', ''), 5) || substr(replace(m, ' ', ''), 1, 4), ''), "
-                "lambda c: CASE WHEN c >= 'A' THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), ''), ''), lambda c: CAST(c AS INT)), lambda a, b: (a * 10 + b) % 97) = 1",
+        "secret": "regexp_matches(m, '[:=][^0-9]*[0-9]')",
     }
+    code = "array_to_string(string_split(m, ' ')[1:k], '')"
+    account = (
+        f"length({code}) >= {_IBAN_LEAST} AND list_reduce(list_transform(string_split(array_to_string(list_transform(string_split(substr({code}, 5) || substr({code}, 1, 4), ''), "
+        "lambda c: CASE WHEN c >= 'A' THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), ''), ''), lambda c: CAST(c AS INT)), lambda a, b: (a * 10 + b) % 97) = 1"
+    )
+    accounts = f"list_max(list_transform(list_filter(range(1, len(string_split(m, ' ')) + 1), lambda k: {account}), lambda k: length(array_to_string(string_split(m, ' ')[1:k], ' '))))"
     quoted = lambda p: "'" + p.replace("'", "''") + "'"
     found = " UNION ALL ".join(
         f"SELECT doc_id, t, '{k.name}' AS kind, {i} AS ord, {k.score} AS score, {quoted('(?:^|[^a-z])(?:' + k.near + ')')} AS near_words, {k.base} AS base, "
         f"regexp_extract_all(t, {quoted(k.plain)}) AS ms, string_split_regex(t, {quoted(k.plain)}) AS gs FROM d"
         for i, k in enumerate(KINDS)
     )
-    confirm = " ".join(f"WHEN kind = '{k}' THEN {sql}" for k, sql in checks.items())
+    confirm = " ".join(f"WHEN kind = '{k}' AND NOT ({sql}) THEN NULL" for k, sql in checks.items())
     n = sum(k.base for k in KINDS)
     counted = lambda base: ", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in KINDS if k.base == base)
     return rf"""
@@ -215,9 +242,10 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 found AS ({found}),
 each AS (SELECT doc_id, t, kind, ord, score, near_words, base, ms, gs, ms[i] AS m, regexp_replace(ms[i], '[^0-9]', '', 'g') AS d, i
          FROM found, range(1, len(ms) + 1) AS r(i)),
-placed AS (SELECT *, CAST(list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
-           FROM each WHERE CASE {confirm} ELSE true END),
-near AS (SELECT *, s + length(m) AS e, lower(substr(t, greatest(s - {CONTEXT_CHARS}, 0) + 1, least(s, {CONTEXT_CHARS}))) AS w FROM placed),
+placed AS (SELECT *, CAST(list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s,
+                  CASE {confirm} WHEN kind = 'iban' THEN {accounts} ELSE length(m) END AS kept
+           FROM each),
+near AS (SELECT *, s + kept AS e, lower(substr(t, greatest(s - {CONTEXT_CHARS}, 0) + 1, least(s, {CONTEXT_CHARS}))) AS w FROM placed WHERE kept IS NOT NULL),
 scored AS (SELECT *, score + CASE WHEN regexp_matches(w, near_words) THEN {CONTEXT_GAIN} ELSE 0 END
                    - CASE WHEN regexp_matches(w, '(?:^|[^a-z])(?:{UNLIKELY})') THEN {CONTEXT_LOSS} ELSE 0 END AS sc FROM near),
 spans AS (SELECT doc_id, kind, ord, s, e, sc, kind || ':' || s || ':' || e AS span FROM scored WHERE base OR sc >= {REPORTED}),
@@ -226,7 +254,7 @@ joined AS (SELECT doc_id, {counted(True)}, {counted(False)},
                   string_agg(CAST(sc AS VARCHAR), ',' ORDER BY s, ord, e) AS scores
            FROM spans GROUP BY doc_id)
 SELECT d.doc_id, {", ".join(f"coalesce(n_{k.name}, 0) AS n_{k.name}" for k in KINDS)},
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores, spans IS NOT NULL AS found
 FROM d LEFT JOIN joined j ON d.doc_id = j.doc_id
 """
 

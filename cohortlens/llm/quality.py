@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliced, table, whole_text, written
+from .common import sheltered, sliced, table, whole_text, written
 
 FEATURES = 2048
 #: Expected number of rows a class gives to the fit of the scorer: the fit's cost is bounded, all counts cover all rows.
@@ -214,7 +214,8 @@ def fit(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> WeakLabelModel:
 
 
 def judge(docs: DataFrame, model: WeakLabelModel, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of ``docs`` and ``quality_judgement``: struct of posterior, score, kept.
+    """All columns of ``docs`` and ``quality_judgement``: struct of posterior, score, kept (it replaces a
+    column of that name).
 
     NULL and empty texts have every statistic zero and are judged by them like any other row; each
     row is judged by itself, so ties and repeats need no rule.
@@ -238,8 +239,12 @@ def judge(docs: DataFrame, model: WeakLabelModel, threshold: float = THRESHOLD)
 
 
 def good_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier, fitted on ``docs`` itself, does not reject; columns unchanged."""
-    return judge(docs, fit(docs), threshold).filter("quality_judgement.kept").select(*docs.columns)
+    """The documents that the classifier, fitted on ``docs`` itself, does not reject; columns unchanged.
+
+    An empty table gives no rows.
+    """
+    inside, back = sheltered(docs, "text")
+    return judge(inside, fit(docs), threshold).filter("quality_judgement.kept").select(*back)
 
 
 def op4_quality_weak_labels(spark, sf_dir):

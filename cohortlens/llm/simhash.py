@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import sliced, table, whole_text, without_ids, written
+from .common import sheltered, sliced, table, whole_text, without_ids, written
 from .components import connected_components
 from .golay import codeword_indices
 
@@ -142,18 +142,19 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_distance: i
 
 
 def representatives(docs: DataFrame, width: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """Exactly one row of each component, with all columns of ``docs``: the one with the smallest ``doc_id``.
+    """Exactly one row of each component, with all columns of ``docs`` as they are: the one with the smallest ``doc_id``.
 
     Rows without an id come last; of rows with the same id the smallest fingerprint stays, then the
     first row. Rows are told apart by a number of their own, written with them, so neither NULL nor
     shared ids touch rows of other components.
     """
+    docs, back = sheltered(docs, "doc_id", "text")
     own = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "simhash-docs")
     rows = written(fingerprints(own, width, ("doc_id", ROW)), "simhash-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", ROW))
     by_fp = _first_of_components(rows, first, max_distance).select("fp", F.col(f"first.{ROW}").alias("_kept"))
     losers = written(rows.join(by_fp, "fp").filter(F.col(ROW) != F.col("_kept")).select(ROW), "simhash-losers")
-    return without_ids(own, losers, ROW).select(*docs.columns)
+    return without_ids(own, losers, ROW).select(*back)
 
 
 def op7_simhash_golay(spark, sf_dir):

@@ -35,6 +35,8 @@ TEXTS = [
     None, "", " ", "a@b.c%d@e.f x@y z@w..q mail me: é.a+b@c-d.e.f. @x.y a@b@c.d", "1.2.3.4.5.6.7.8 256.1.1.1 0000255.0.0.1 1.2.3 01.02.03.04",
     "4111 1111 1111 1111 4111-1111-1111-1111 4111  1111 41111111111111111111111 5 4111111111111111", "+1 (555) 123-4567 +12 +1234567890123456 ++49 30 1234567.",
     "IBAN GB82 WEST 1234 5698 7654 32, DE89370400440532013000 DE00370400440532013000", "ssn 123-45-6789 and 123-45-6789 version 1.2.3.4 example a@b.cd",
+    "to ES91 2100 0418 4502 0005 1332 BIC CAIX or BE68 5390 0754 7034 EUR 20, not ES92 2100 0418 4502 0005 1332 BIC",
+    "token = \"1beb58b8af68854f0e01\" Password=b7db7aa4a5fcc783 password: strengthening secret=abc1 my_API_KEY:'x-y_z.0123456789'",
     "日本 👍 a@b.co 日本 1.1.1.1", "x" * 200_000, "1" * 100_000, "1 " * 50_000, "1.1." * 30_000, "a@" * 30_000, "+1 " + " " * 50_000 + "2", "9-" * 30_000,
 ]
 
@@ -54,6 +56,29 @@ def test_rows(spark):
     assert pii.find_personal_data(df.limit(0)).count() == 0
 
 
+def test_oracle_and_clashing_names(spark):
+    import duckdb
+    import pandas as pd
+
+    docs = pd.DataFrame({"doc_id": range(len(TEXTS)), "text": [t if t is None or len(t) < 5000 else t[:40] for t in TEXTS]})
+    con = duckdb.connect()
+    con.register("documents", docs)
+    want = {r[0]: r for r in con.sql(f"SELECT doc_id, spans, scores, found FROM ({pii.ORACLE})").fetchall()}
+    rows = [(int(i), t, "p", "x", 7) for i, t in docs.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, pii string, _email_found string, `_pii.text` int")
+    out = pii.find_personal_data(df)
+    assert out.columns == ["doc_id", "text", "_email_found", "_pii.text", "pii"]
+    found = {}
+    for r in out.collect():
+        if r.text and r.text.startswith(("to ES91", "token")):
+            found.update({(r.text[:8], s.kind, s.start): r.text[s.start:s.end] for s in r.pii})
+        spans = ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.pii)
+        assert (r.doc_id, spans, ",".join(str(s.score) for s in r.pii), bool(r.pii)) == want[r.doc_id], r.text
+        assert (r["_email_found"], r["_pii.text"]) == ("x", 7)
+    assert [t for (_, kind, _), t in sorted(found.items()) if kind == "iban"] == ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"]
+    assert [t for (_, kind, _), t in sorted(found.items()) if kind == "secret"] == ['token = "1beb58b8af68854f0e01', "Password=b7db7aa4a5fcc783", "API_KEY:'x-y_z.0123456789"]
+
+
 def test_query(spark):
     from conftest import MID
 
