@@ -71,6 +71,14 @@ def balance_factors(pos_mass: np.ndarray, neg_mass: np.ndarray, rule: str | None
     return ones, ones
 
 
+def expert_kind(pos_mass: float, neg_mass: float) -> str:
+    """``fallback`` (no mass), ``constant`` (one class alone) or ``fitted``."""
+    total = pos_mass + neg_mass
+    if not np.isfinite(total) or total <= 1e-12:
+        return "fallback"
+    return "constant" if min(pos_mass, neg_mass) <= 1e-12 else "fitted"
+
+
 class Rows:
     """Columns of an Arrow batch: arrays as (n, d) matrices without copies, numbers as series."""
 
@@ -227,14 +235,14 @@ def fit_experts(
     neg, pos = st[:, 0, -1], st[:, 1, -1]
     if masses is not None:
         pos, neg = np.asarray(masses[0], float), np.asarray(masses[1], float)
-    tot = pos + neg
     experts: list = [None] * n_experts
     active = []
     for e in range(n_experts):
-        if not np.isfinite(tot[e]) or tot[e] <= 1e-12:
+        kind = expert_kind(pos[e], neg[e])
+        if kind == "fallback":
             experts[e] = Expert(const=fallback_p)
-        elif pos[e] <= 1e-12 or neg[e] <= 1e-12:
-            experts[e] = Expert(const=pos[e] / max(tot[e], 1e-12))
+        elif kind == "constant":
+            experts[e] = Expert(const=pos[e] / max(pos[e] + neg[e], 1e-12))
         else:
             active.append(e)
     if not active:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import soft
 from .cluster import distances, kmeans_fit
-from .experts import Expert, _to_arrays, expert_stats_np, fit_experts, stats_length, sum_vectors
+from .experts import Expert, _to_arrays, balance_factors, expert_kind, expert_stats_np, fit_experts, stats_length, sum_vectors
 from .quantile import exact_quantiles
 
 P_CLIP = 1e-7
@@ -545,6 +545,27 @@ def _mstep_gating(train, cfg, cur, st, n, d, K, it, x, xf, label):
     return pi, mu, var
 
 
+def m_step(df: DataFrame, prm: JointParams, cfg: JointConfig, x: str = "xb", xf: str = "xf", label: str = "label") -> DataFrame:
+    """G14, G15, G22 at given parameters, one row a component, from the pass that the fit runs.
+
+    ``mass, pi, mu, var`` are the gating after the step; ``pos_mass, neg_mass`` the class masses of the
+    component's expert, ``pos_weight`` the factor of its positive rows and ``expert`` what is fitted to it.
+    """
+    K, d = prm.mu.shape
+    D = df.select(F.size(xf)).first()[0]
+    n = df.count()
+    st = _ramoe_pass(df, cfg, prm, None, prm.mu, K, d, x, xf, label, np.zeros((K, D + 1)), False)
+    pi, mu, var = _mstep_gating(df, cfg, prm, st, n, d, K, 0, x, xf, label)
+    pos_weight = balance_factors(st["pos"], st["neg"], "mass" if cfg.expert_class_weight == "balanced" else None)[1]
+    rows = [
+        (k, float(st["N"][k]), float(pi[k]), mu[k].tolist(), var[k].tolist(), float(st["pos"][k]), float(st["neg"][k]), float(pos_weight[k]),
+         expert_kind(st["pos"][k], st["neg"][k]))
+        for k in range(K)
+    ]
+    kinds = "cluster int, mass double, pi double, mu array<double>, var array<double>, pos_mass double, neg_mass double, pos_weight double, expert string"
+    return df.sparkSession.createDataFrame(rows, kinds)
+
+
 # ------------------------------------------------------------------ outputs of a fitted model
 def train_assignments(df: DataFrame, prm: JointParams, cfg: JointConfig, x="xb", xf="xf", label="label") -> DataFrame:
     """Stored train assignments: of the last iteration's parameters and with the labels (mixture: argmax of

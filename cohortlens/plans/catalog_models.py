@@ -179,6 +179,46 @@ def q_em_loglik(spark, sf_dir):
     return tidy(_estep(mf).agg(F.sum("loglik").alias("loglik")))
 
 
+def _soft_train_sql():
+    """One row a train row and component, with the component's share of the row."""
+    shares = _arr_sql(_sql_softmax(_sql_tempered(), 1.0))
+    return f"{_BASE}, soft AS (SELECT {', '.join(XS)}, CAST(label AS DOUBLE) AS y, unnest({shares}) AS q, unnest(range(4)) AS k FROM rf WHERE split = 'train')"
+
+
+def _m_step(spark, sf_dir):
+    mf = _xrfm(_frame(spark, sf_dir)).filter(F.col("split") == "train")
+    return joint.m_step(mf.withColumn("xf", F.col("x")), _params(), _cfg(), x="x")
+
+
+_MEANS = [f"sum(q * {c}) / sum(q)" for c in XS]
+_VARS = [f"greatest(sum(q * {c} * {c}) / sum(q) - ({m}) * ({m}) + {dbl(1e-6)}, {dbl(1e-6)})" for c, m in zip(XS, _MEANS)]
+
+
+@register(
+    "m_step_gating",
+    with_base(
+        f"SELECT {si('k', 'cluster')}, {sd('sum(q)', 'mass')}, {sd('sum(q) / sum(sum(q)) OVER ()', 'pi')}, {sa(_arr_sql(_MEANS), 'mu')}, {sa(_arr_sql(_VARS), 'var')} "
+        "FROM soft GROUP BY k",
+        _soft_train_sql(),
+    ),
+)
+def q_m_step_gating(spark, sf_dir):
+    return tidy(_m_step(spark, sf_dir).select("cluster", "mass", "pi", "mu", "var"))
+
+
+@register(
+    "expert_guard_masses",
+    with_base(
+        f"SELECT {si('k', 'cluster')}, {sd('pos', 'pos_mass')}, {sd('neg', 'neg_mass')}, {sd('CASE WHEN least(pos, neg) > 1e-12 THEN neg / pos ELSE 1 END', 'pos_weight')}, "
+        "CASE WHEN pos + neg <= 1e-12 THEN 'fallback' WHEN least(pos, neg) <= 1e-12 THEN 'constant' ELSE 'fitted' END AS expert "
+        "FROM (SELECT k, sum(q * y) AS pos, sum(q * (1 - y)) AS neg FROM soft GROUP BY k) t",
+        _soft_train_sql(),
+    ),
+)
+def q_expert_guard_masses(spark, sf_dir):
+    return tidy(_m_step(spark, sf_dir).select("cluster", "pos_mass", "neg_mass", "pos_weight", "expert"))
+
+
 @register("moe_clusters", with_base(f"SELECT {si('customer_id', 'customer_id')}, {si(_sql_argmax(_sql_logits('diag')), 'cluster')} FROM rf", _BASE))
 def q_moe_clusters(spark, sf_dir):
     mf = _xrfm(_frame(spark, sf_dir))
