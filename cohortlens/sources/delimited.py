@@ -1,8 +1,8 @@
 """Delimited campaign source with delimiter fallback.
 
-Only the header line is read on the driver to pick the separator (the one of
-``, \\t ; |`` that yields the most columns, comma first on ties); the data are
-then read by Spark's CSV reader with an explicit schema, so nothing but one
+Only the header line is read on the driver to pick the separator (comma if it
+yields the expected columns, else the one of tab, ``;`` and ``|`` that yields the
+most); the data are then read by Spark's CSV reader with an explicit schema, so nothing but one
 line crosses to the driver.
 """
 
@@ -35,6 +35,8 @@ def _header(spark: SparkSession, path: str) -> str:
 
 def pick_separator(header: str, min_expected_columns: int = 10) -> str:
     best, width = ",", len(header.split(","))
+    if width >= min_expected_columns:
+        return best
     for sep in CANDIDATE_SEPARATORS[1:]:
         w = len(header.split(sep))
         if w > width:

@@ -79,6 +79,11 @@ def test_delimited_fallback(spark):
         delimited.load_campaign_csv(spark, os.path.join(d, "narrow.csv"))
 
 
+def test_comma_comes_first():
+    assert delimited.pick_separator(",".join("abcdefghij") + ";;;;;;;;;;;;") == ","
+    assert delimited.pick_separator("|".join("abcdefghijkl") + ",") == "|"
+
+
 def test_labels(spark):
     df = spark.createDataFrame([(0, 0, 0, 0, 1, 0), (0, 0, 0, 0, 0, 0)], "AcceptedCmp1 int, AcceptedCmp2 int, AcceptedCmp3 int, AcceptedCmp4 int, AcceptedCmp5 int, Response int")
     assert [r["label"] for r in clean.add_label(df, "any").collect()] == [1, 0]
