@@ -64,10 +64,11 @@ def histogram(df: DataFrame, col: str, n_bins: int = 30, lo=None, hi=None) -> Da
 
 def rfm_boxstats(df: DataFrame, features, cluster: str = "cluster") -> DataFrame:
     """Quartiles and 1.5 IQR whiskers per cluster and feature (outliers hidden)."""
+    found = grouped_quantiles(df.filter(F.col(cluster).isNotNull()), [cluster], {f: F.col(f) for f in features}, (0.25, 0.5, 0.75))
+    rows = [(key[0], f, q) for key, of in found.items() for f, q in of.items() if q]
     long = df.select(cluster, F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])).alias("p")).select(
         cluster, "p.feature", "p.v"
     ).filter(F.col("v").isNotNull())
-    rows = [(*key, q) for key, q in grouped_quantiles(long, [cluster, "feature"], "v", (0.25, 0.5, 0.75)).items()]
     q = df.sparkSession.createDataFrame(rows, f"{cluster} {dict(long.dtypes)[cluster]}, feature string, q array<double>")
     j = long.join(F.broadcast(q), [cluster, "feature"])  # one row a segment and feature
     iqr = F.col("q")[2] - F.col("q")[0]

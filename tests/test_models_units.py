@@ -115,8 +115,51 @@ def test_exact_quantiles_match_numpy(spark):
     got = exact_quantiles(df, {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None)}, qs)
     assert np.allclose(got["a"], np.quantile([r[1] for r in rows], qs)) and got["none"] is None
     assert np.allclose(got["b"], np.quantile([r[2] for r in rows if r[2] is not None], qs))
-    by = grouped_quantiles(df.withColumn("g", F.col("id") % 3), ["g"], "b", [0.5])
-    assert all(np.isclose(by[(g,)][0], np.median([r[2] for r in rows if r[0] % 3 == g and r[2] is not None])) for g in range(3))
+    by = grouped_quantiles(df.withColumn("g", F.col("id") % 3), ["g"], {"b": F.col("b"), "a": F.col("a")}, [0.5])
+    for g in range(3):
+        assert np.isclose(by[(g,)]["b"][0], np.median([r[2] for r in rows if r[2] is not None and r[0] % 3 == g]))
+        assert np.isclose(by[(g,)]["a"][0], np.median([r[1] for r in rows if r[0] % 3 == g]))
+
+
+def test_quantiles_of_wide_bands_and_sketches_beyond_their_error(spark, monkeypatch):
+    """Bands too large to gather are searched as a table; bands that miss their place are widened."""
+    from cohortlens.operators import quantile
+
+    rng = np.random.default_rng(5)
+    v = np.where(rng.random(30000) < 0.4, 7.0, np.round(rng.normal(7.0, 3.0, 30000), 3))
+    df = spark.createDataFrame([(i % 2, float(x)) for i, x in enumerate(v)], "g int, v double").repartition(5)
+    df = df.unionAll(spark.createDataFrame([(None, 1.5), (None, 2.5), (0, None), (1, float("nan"))], "g int, v double"))
+    qs = [0.0, 0.01, 0.35, 0.5, 0.9137, 1.0]
+
+    def same():
+        got = quantile.grouped_quantiles(df, ["g"], {"v": F.col("v")}, qs)
+        for g in range(2):
+            assert got[(g,)]["v"] == pytest.approx(np.quantile(v[g::2], qs).tolist(), rel=1e-12)
+        assert got[(None,)]["v"] == pytest.approx(np.quantile([1.5, 2.5], qs).tolist())
+
+    same()
+    monkeypatch.setattr(quantile, "GATHERED", 300)
+    same()
+    monkeypatch.setattr(quantile, "GATHERED", 100_000)
+    monkeypatch.setattr(quantile, "ACCURACY", 20)
+    select = quantile._select
+    monkeypatch.setattr(quantile, "_select", lambda rows, k, c, near, asked, margin=0.0005: select(rows, k, c, near, asked, margin))
+    same()
+
+
+def test_quantile_plan_has_no_sort_and_no_nested_loop(spark):
+    from cohortlens.operators import quantile
+
+    rows = spark.range(1000).select(*quantile._values([F.col("id"), F.col("id") * 2]))
+    numbered = quantile._numbered(rows, [], [()])
+    bands = [(0, 0, 0, 10.0, 20.0, (15,), 1000), (0, 1, 0, 10.0, 20.0, (7,), 1000)]
+    scan = quantile._scan(numbered, bands, [True, False])
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "rangepartitioning" not in plan and plan.count("MapInArrow") == 1
+    got = {r["band"]: r for r in scan.collect()}
+    assert (got[0]["below"], got[0]["at_lo"], got[0]["at_hi"], sorted(got[0]["inside"])) == (10, 1, 1, [float(x) for x in range(11, 20)])
+    assert (got[1]["below"], got[1]["size"], got[1]["inside"], got[1]["prev"], got[1]["next"]) == (5, 4, [], 8.0, 22.0)
+
 
 
 def test_kmeans_restarts_find_planted_centers(spark):
