@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import finite
 from .quantile import exact_quantiles
-from .rank import with_running_sums
+from .rank import rank_within, with_running_sums
 
 PROB_EPS = 1e-15
 ECE_EPS = 1e-12
@@ -91,9 +91,9 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score")
         g.crossJoin(F.broadcast(totals))  # one-row total
         .agg(
             F.first("P").alias("P"),
-            F.sum(F.col("pos") / F.col("P") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("_ap"),
+            F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("_ap"),
         )
-        .select(F.when(F.col("P") > 0, F.col("_ap")).alias("average_precision"))
+        .select(F.when(F.col("P") > 0, F.col("_ap") / F.col("P")).alias("average_precision"))
     )
 
 
@@ -111,10 +111,10 @@ def curve_metrics(df: DataFrame, label: str = "label", score: str = "score") ->
         F.first("P").alias("P"),
         F.first("N").alias("N"),
         F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.lit(0.5) * F.col("neg"))).alias("_u"),
-        F.sum(F.col("pos") / F.col("P") * dpos / (dpos + dneg)).alias("_ap"),
+        F.sum(F.col("pos") * dpos / (dpos + dneg)).alias("_ap"),
     ).select(
         F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_u") / (F.col("P") * F.col("N"))).alias("auc"),
-        F.when(F.col("P") > 0, F.col("_ap")).alias("average_precision"),
+        F.when(F.col("P") > 0, F.col("_ap") / F.col("P")).alias("average_precision"),
     )
 
 
@@ -272,21 +272,115 @@ def choose_threshold_value(df: DataFrame, label: str = "label", score: str = "sc
     return 0.5 if row is None or row["threshold"] is None else float(row["threshold"])
 
 
-def prediction_report(df: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.5) -> DataFrame:
-    """K7: the 13-field metric record (one row) with ``pred = score >= threshold``."""
-    v = df.withColumn("pred", (F.col(score) >= F.lit(float(threshold))).cast("int"))
-    parts = [
-        curve_metrics(v, label, score),
-        classification_metrics(valid_pairs(v, label, score).withColumnRenamed("y", label), label, "pred"),
-        log_loss_brier(v, label, score),
-        expected_calibration_error(
-            v.withColumn(score, F.least(F.greatest(F.col(score), F.lit(PROB_EPS)), F.lit(1.0 - PROB_EPS))), label, score
-        ).select("ece"),
+RECORD = (
+    "auc", "average_precision", "f1", "log_loss", "brier", "ece", "accuracy", "precision", "recall",
+    "balanced_accuracy", "specificity", "support_pos", "support_neg",
+)
+
+
+def _clipped(p, eps: float):
+    return F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps))
+
+
+def score_table(df: DataFrame, label: str, score: str, threshold: float, by: str | None = None) -> DataFrame:
+    """One row per group and distinct clipped score ``s``, with every sum the metric record needs.
+
+    Running sums go along (group, score). The table is written, so all metrics are read off it and the
+    rows themselves are scanned once.
+    """
+    v = _by_group(valid_pairs(df, label, score), by)
+    y, p, s = F.col("y"), F.col("p"), _clipped(F.col("p"), PROB_EPS)
+    one, zero, said = y.cast("int") == 1, y.cast("int") == 0, p >= F.lit(float(threshold))
+    counts = {"n": F.lit(True), "pos": y > 0, "neg": y <= 0, "tp": one & said, "fp": zero & said, "tn": zero & ~said, "fn": one & ~said}
+    table = v.groupBy("_by", s.alias("s")).agg(
+        *[F.count(F.when(c, 1)).alias(name) for name, c in counts.items()],
+        F.sum("y").alias("ys"),
+        F.sum(-(y * F.log(s) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - s))).alias("ll"),
+        F.sum(F.pow(s - y, 2)).alias("sq"),
+    )
+    return with_running_sums(table, [("_by", True), ("s", True)], ["n", "pos", "neg"])
+
+
+def _by_group(v: DataFrame, by: str | None) -> DataFrame:
+    return v.withColumn("_by", F.col(by) if by else F.lit(0))
+
+
+def metric_records(
+    df: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.5, by: str | None = None,
+    top_frac: float | None = None, key: str = "customer_id", n_bins: int = 10,
+) -> DataFrame:
+    """K7: the 13-field record with ``pred = score >= threshold``, one row or one row per value of ``by``.
+
+    With ``top_frac`` also ``lift_at_frac`` (K8): rows above the cut score count by their sums, and only
+    where equal scores straddle the cut are those rows read again and ordered by ``key``. Without ``by``
+    an empty frame gives one row: supports of 0, NULL where a metric has no rows.
+    """
+    groups = ["_by"] if by else []
+    table = score_table(df, label, score, threshold, by)
+    totals = table.groupBy(*groups).agg(
+        *[F.sum(c).alias(f"all_{c}") for c in ("n", "pos", "neg")],
+        *[F.min(F.col(f"cum_{c}") - F.col(c)).alias(f"off_{c}") for c in ("n", "pos", "neg")],
+    )
+    if by:
+        t = totals.withColumnRenamed("_by", "_of")
+        j = table.join(F.broadcast(t), F.col("_by").eqNullSafe(F.col("_of")))  # one row a group
+    else:
+        j = table.crossJoin(F.broadcast(totals))  # one-row total
+    upto = {c: F.col(f"cum_{c}") - F.col(f"off_{c}") for c in ("n", "pos", "neg")}
+    down = {c: F.col(f"all_{c}") - upto[c] + F.col(c) for c in upto}
+    top = F.ceil(F.col("all_n") * F.lit(float(top_frac or 1.0)))
+    whole = down["n"] <= top
+    cut = ~whole & (down["n"] - F.col("n") < top)
+    edges = uniform_edges(n_bins)[1:-1]
+    e, b = _clipped(F.col("s"), ECE_EPS), bin_index(_clipped(F.col("s"), ECE_EPS), edges)
+    aggs = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "pos", "neg", "tp", "fp", "tn", "fn")]
+    aggs += [F.sum(c).alias(c) for c in ("ll", "sq")]
+    aggs += [
+        F.sum(F.col("pos") * (upto["neg"] - F.col("neg") + F.lit(0.5) * F.col("neg"))).alias("u"),
+        F.sum(F.col("pos") * down["pos"] / (down["pos"] + down["neg"])).alias("ap"),
+        F.coalesce(F.sum(F.when(whole, F.col("ys"))), F.lit(0.0)).alias("top_y"),
+        F.max(F.when(cut, F.struct("s", (top - (down["n"] - F.col("n"))).cast("long").alias("take")))).alias("cut"),
+        F.max(top).cast("long").alias("k"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)  # one-row frames
-    return out.select(
-        "auc", "average_precision", "f1", "log_loss", "brier", "ece", "accuracy", "precision", "recall",
-        "balanced_accuracy", "specificity", "support_pos", "support_neg",
+    for i in range(len(edges) + 1):
+        inside = b == i
+        aggs += [F.sum(F.when(inside, F.col("n"))).alias(f"bn{i}"), F.sum(F.when(inside, F.col("pos"))).alias(f"bp{i}"),
+                 F.sum(F.when(inside, F.col("n") * e)).alias(f"bs{i}")]
+    a = j.groupBy(*groups).agg(*aggs)
+    gaps = [F.coalesce(F.abs(F.col(f"bp{i}") - F.col(f"bs{i}")), F.lit(0.0)) for i in range(len(edges) + 1)]
+    rates = _rates_from_counts(*[F.col(c) for c in ("tp", "fp", "tn", "fn")])
+    some = F.col("n") > 0
+    fields = dict(
+        rates,
+        auc=F.when((F.col("pos") > 0) & (F.col("neg") > 0), F.col("u") / (F.col("pos") * F.col("neg"))),
+        average_precision=F.when(F.col("pos") > 0, F.col("ap") / F.col("pos")),
+        log_loss=F.when(some, F.col("ll") / F.col("n")),
+        brier=F.when(some, F.col("sq") / F.col("n")),
+        ece=F.when(some, sum(gaps[1:], gaps[0]) / F.col("n")),
     )
+    names = [F.col("_by").alias(by)] if by else []
+    if top_frac is None:
+        return a.select(*names, *[fields[c].alias(c) for c in RECORD])
+    rows = [(r["_by"] if by else 0, r["cut"]["s"], r["cut"]["take"]) for r in a.collect() if r["cut"]]  # one row a group
+    tied = _tied_positives(_by_group(valid_pairs(df, label, score), by), rows, key) if rows else {}
+    extra = F.lit(0.0)
+    for value, y in tied.items():
+        extra = F.when(F.col("_by").eqNullSafe(F.lit(value)), F.lit(y)).otherwise(extra) if by else F.lit(y)
+    base = F.col("pos") / F.col("n")
+    lift = F.when(some & (F.col("pos") > 0), (F.col("top_y") + extra) / F.col("k") / base)
+    return a.select(*names, *[fields[c].alias(c) for c in RECORD], lift.alias("lift_at_frac"))
+
+
+def _tied_positives(v: DataFrame, cuts, key: str) -> dict:
+    """Sum of labels over the first ``take`` rows, by ``key``, of those with the cut score of their group."""
+    few = v.sparkSession.createDataFrame(cuts, f"_of {dict(v.dtypes)['_by']}, _cut double, _take long")
+    at_cut = F.col("_by").eqNullSafe(F.col("_of")) & (_clipped(F.col("p"), PROB_EPS) == F.col("_cut"))
+    ties = v.join(F.broadcast(few), at_cut).select("_by", "_take", "y", "p", F.col(key).alias("_key"))  # one row a group
+    ranked = rank_within(ties, "_by", [("p", False), ("_key", True)], "_rank")
+    sums = ranked.filter(F.col("_rank") <= F.col("_take")).groupBy("_by").agg(F.sum("y").alias("y"))
+    return {r["_by"]: float(r["y"]) for r in sums.collect()}
+
+
+def prediction_report(df: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.5) -> DataFrame:
+    """K7: the 13-field metric record (one row) with ``pred = score >= threshold``."""
+    return metric_records(df, label, score, threshold)

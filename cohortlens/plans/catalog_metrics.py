@@ -399,9 +399,8 @@ def q_ranking_metrics(spark, sf_dir):
 )
 def q_evaluate_scored(spark, sf_dir):
     s = scored(spark, sf_dir)
-    rep = classify.prediction_report(s, threshold=PRED_THRESHOLD)
-    lift = ranking.lift_at_frac(s, top_frac=0.2).select(F.col("lift_at_frac").alias("lift_top20"))
-    return tidy(rep.crossJoin(lift).withColumn("threshold", F.lit(PRED_THRESHOLD)))
+    rep = classify.metric_records(s, threshold=PRED_THRESHOLD, top_frac=0.2).withColumnRenamed("lift_at_frac", "lift_top20")
+    return tidy(rep.withColumn("threshold", F.lit(PRED_THRESHOLD)))
 
 
 # ---------------------------------------------------------------- A rows

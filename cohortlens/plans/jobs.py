@@ -38,11 +38,20 @@ class JobContext:
 
 def evaluate(scored: DataFrame, threshold: float, score: str = "score") -> dict:
     """K8: 13-field record + lift@20% + threshold (one row)."""
-    rep = classify.prediction_report(scored, "label", score, threshold).first().asDict()
-    lift = ranking.lift_at_frac(scored, "label", score, TOP_FRAC).first()
-    rep["lift_top20"] = None if lift is None else lift["lift_at_frac"]
-    rep["threshold"] = float(threshold)
-    return rep
+    return _evaluated(classify.metric_records(scored, "label", score, threshold, top_frac=TOP_FRAC).first(), threshold)
+
+
+def evaluate_splits(scored: DataFrame, threshold: float, splits, score: str = "score") -> dict[str, dict]:
+    """K8 of several splits from one scan of their rows."""
+    rows = classify.metric_records(
+        scored.filter(F.col("split").isin(*splits)), "label", score, threshold, by="split", top_frac=TOP_FRAC
+    ).collect()  # one row a split
+    return {r["split"]: _evaluated(r, threshold) for r in rows}
+
+
+def _evaluated(row, threshold: float) -> dict:
+    rep = {f: row[f] for f in classify.RECORD}
+    return dict(rep, lift_top20=row["lift_at_frac"], threshold=float(threshold))
 
 
 def cluster_report(df: DataFrame, x: str, cluster: str = "cluster") -> dict:
@@ -109,10 +118,10 @@ def main_report(ctx: JobContext, cfg: joint.JointConfig | None = None) -> tuple[
     prm, trace, scored = fit_main(ctx, cfg)
     thr = classify.choose_threshold_value(scored.filter(F.col("split") == "val"), metric="f1")
     out = []
+    metrics = evaluate_splits(scored, thr, ("val", "test"))
     for split in ("val", "test"):
-        part = scored.filter(F.col("split") == split)
-        rep = cluster_report(part, "xb")
-        rep.update(evaluate(part, thr))
+        rep = cluster_report(scored.filter(F.col("split") == split), "xb")
+        rep.update(metrics[split])
         rep.update(split=split, model=cfg.model_type, n_iter=len(trace["change_ratio"]), **{f"cfg_{k}": v for k, v in asdict(cfg).items()})
         out.append(rep)
     train_assign = joint.train_assignments(ctx.train, prm, cfg).select("customer_id", "split", "cluster")

@@ -47,6 +47,8 @@ def test_average_precision_stepwise(spark):
 def test_one_class_auc_null(spark):
     df = _frame(spark, [(i, 0, i / 10) for i in range(1, 6)])
     assert classify.roc_auc(df).first()["auc"] is None
+    assert classify.average_precision(df).first()["average_precision"] is None
+    assert classify.curve_metrics(df).first()["average_precision"] is None
     r = ranking.ranking_summary(df, fractions=[0.2]).first()
     assert r["recall"] is None and r["lift"] is None
 
@@ -160,3 +162,61 @@ def test_softmax_is_computed_once_a_row(spark):
     for i, x in enumerate(r, 1):
         z = np.arange(4) * i / 10
         assert np.allclose(x["p"], np.exp(z) / np.exp(z).sum()) and x["a"] == 3 and np.isclose(x["l"], np.log(np.exp(z).sum()))
+
+
+def _record(pairs, threshold, frac):
+    """Metric record of (id, label, score) rows by the definitions, row by row."""
+    rows = sorted([(i, y, s) for i, y, s in pairs if y is not None and s is not None and math.isfinite(s)], key=lambda t: (-t[2], t[0]))
+    y, p = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
+    s = np.clip(p, 1e-15, 1 - 1e-15)
+    pred, n = p >= threshold, len(rows)
+    tp, fp, tn, fn = ((pred & (y == 1)).sum(), (pred & (y == 0)).sum(), (~pred & (y == 0)).sum(), (~pred & (y == 1)).sum())
+    out = {"support_pos": tp + fn, "support_neg": tn + fp, "accuracy": (tp + tn) / n, "recall": tp / (tp + fn),
+           "precision": tp / (tp + fp), "specificity": tn / (tn + fp), "f1": 2 * tp / (2 * tp + fp + fn)}
+    out["balanced_accuracy"] = (out["recall"] + out["specificity"]) / 2
+    out["auc"] = np.mean([(a > b) + 0.5 * (a == b) for a in s[y == 1] for b in s[y == 0]])
+    out["average_precision"] = sum(((s == t) & (y == 1)).sum() / y.sum() * y[s >= t].mean() for t in set(s))
+    out["log_loss"] = float(np.mean(-(y * np.log(s) + (1 - y) * np.log(1 - s))))
+    out["brier"] = float(np.mean((s - y) ** 2))
+    bins = np.minimum((np.clip(p, 1e-12, 1 - 1e-12)[:, None] >= np.linspace(0, 1, 11)[None, 1:-1]).sum(1), 9)
+    out["ece"] = sum((bins == b).mean() * abs(y[bins == b].mean() - p[bins == b].mean()) for b in set(bins))
+    k = math.ceil(n * frac)
+    out["lift_at_frac"] = y[:k].mean() / y.mean()
+    return out
+
+
+@pytest.mark.parametrize("digits", [1, 6])
+def test_metric_records_by_group_match_definitions(spark, digits):
+    """One decimal: equal scores straddle the cut, and only the smaller ids of them count for the lift."""
+    rng = np.random.default_rng(digits)
+    rows = [(int(i), ("val", "test", None)[i % 3], int(rng.random() < 0.4), round(float(rng.random()), digits)) for i in rng.permutation(400)]
+    rows += [(1000, "val", 1, None), (1001, "test", None, 0.3), (1002, "test", 0, float("nan")), (1003, "test", 1, 0.0), (1004, "test", 0, 1.0)]
+    df = spark.createDataFrame(rows, "customer_id long, split string, label int, score double").repartition(7)
+    got = {r["split"]: r for r in classify.metric_records(df, threshold=0.5, by="split", top_frac=0.2).collect()}
+    assert set(got) == {"val", "test", None}
+    for split, r in got.items():
+        for name, value in _record([(i, y, s) for i, g, y, s in rows if g == split], 0.5, 0.2).items():
+            assert r[name] == pytest.approx(value, rel=1e-9), (split, name)
+    whole = classify.metric_records(df, threshold=0.5, top_frac=0.2).first()
+    for name, value in _record([(i, y, s) for i, _, y, s in rows], 0.5, 0.2).items():
+        assert whole[name] == pytest.approx(value, rel=1e-9), name
+    assert whole["lift_at_frac"] == pytest.approx(ranking.lift_at_frac(df).first()["lift_at_frac"])
+
+
+def test_metric_records_of_no_rows_and_one_class(spark):
+    none = classify.metric_records(_frame(spark, []), top_frac=0.2).collect()
+    assert len(none) == 1 and none[0]["auc"] is None and none[0]["support_pos"] == 0 and none[0]["lift_at_frac"] is None
+    assert classify.metric_records(_frame(spark, []), by="customer_id").collect() == []
+    r = classify.metric_records(_frame(spark, [(i, 0, 0.1) for i in range(5)]), top_frac=0.2).first()
+    assert r["auc"] is None and r["average_precision"] is None and r["lift_at_frac"] is None and r["specificity"] == 1.0
+
+
+def test_metric_record_scans_the_rows_once(spark, monkeypatch):
+    """The table of scores is the only thing made from the rows; the record is read off it."""
+    seen = []
+    build = classify.with_running_sums
+    monkeypatch.setattr(classify, "with_running_sums", lambda t, *a, **k: seen.append(t) or build(t, *a, **k))
+    rec = classify.metric_records(_frame(spark, TINY))
+    assert len(seen) == 1
+    plan = rec._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan  # nothing but the written table
