@@ -7,16 +7,19 @@ expressions; assignments are JVM-side array expressions (no UDF).
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .experts import sum_vectors
+from .experts import Rows, sum_vectors
 from .soft import argmin
 
-#: Rows that the starts of K-Means are chosen from; the fit itself uses all rows.
-START_ROWS = 4096
+#: Passes that draw start candidates from all rows, and candidates of a pass per cluster.
+ROUNDS = 2
+OVERSAMPLING = 4
 
 
 def _lit_array(v) -> Column:
@@ -43,21 +46,130 @@ def renumber(centers: np.ndarray) -> np.ndarray:
     return np.lexsort(centers.T[::-1])
 
 
-def _starts(df: DataFrame, x: str, k: int, seed: int, n_init: int) -> np.ndarray:
-    """(n_init, k, d) starts: k-means++ on a sample of at most ``START_ROWS`` rows with the smallest hashes."""
-    h = F.xxhash64(F.lit(int(seed)), F.col(x))
-    sample = np.array([r[0] for r in df.select(x, h.alias("h")).orderBy("h", x).limit(START_ROWS).select(x).collect()], dtype=float)
-    out = []
-    for i in range(n_init):
-        rng = np.random.default_rng([int(seed), i])
-        chosen = [sample[rng.integers(len(sample))]]
-        near = ((sample - chosen[0]) ** 2).sum(1)
-        while len(chosen) < k:
-            total = near.sum()
-            chosen.append(sample[rng.choice(len(sample), p=near / total) if total > 0 else rng.integers(len(sample))])
-            near = np.minimum(near, ((sample - chosen[-1]) ** 2).sum(1))
-        out.append(chosen)
-    return np.array(out)
+def _uniform(h: np.ndarray, *salt: int) -> np.ndarray:
+    """Numbers in (0, 1) from 64-bit hashes, other ones for each salt."""
+    z = h.astype(np.uint64)
+    for n in salt:
+        z = z + np.uint64((n + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+        z = z ^ (z >> np.uint64(31))
+    return ((z >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+
+
+def _smallest(e: np.ndarray, X: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``size`` points with the smallest keys, in their order; equal keys by coordinates."""
+    if len(e) > 4 * size:
+        few = e <= np.partition(e, size - 1)[size - 1]
+        e, X = e[few], X[few]
+    first = np.lexsort([*X.T[::-1], e])[:size]
+    return e[first], X[first]
+
+
+def _draw(rows: DataFrame, candidates, size: int, turn: int) -> list[np.ndarray]:
+    """For each restart ``size`` rows of all, drawn in proportion to the squared distance to its candidates.
+
+    A row's key is an exponential draw over that distance; the rows with the smallest keys are drawn, so a
+    partition returns at most ``size`` of them and Arrow tasks merge them in up to two levels. Rows on a
+    candidate are not drawn; without candidates all rows weigh the same.
+    """
+    R, spark = len(candidates), rows.sparkSession
+    width = 64 if spark.sparkContext.defaultParallelism > 256 else 1
+
+    def emit(kept):
+        for i, (e, X) in kept.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(e), i, np.int64)), pa.array(e), pa.array(X.tolist(), pa.list_(pa.float64()))], names=["i", "e", "x"]
+            )
+
+    def drawn(batches):
+        kept, own = {}, TaskContext.get().partitionId() % width
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            X = Rows(batch)["x"]
+            h = batch.column(batch.schema.get_field_index("h")).to_numpy(zero_copy_only=False).view(np.uint64)
+            for r, c in enumerate(candidates):
+                e, Y = -np.log(_uniform(h, r, turn)), X
+                if len(c):
+                    near = np.full(len(X), np.inf)
+                    for center in c:
+                        near = np.minimum(near, ((X - center) ** 2).sum(1))
+                    e, Y = e[near > 0] / near[near > 0], X[near > 0]
+                old = kept.get(r * width + own)
+                if old:
+                    e, Y = np.concatenate([old[0], e]), np.concatenate([old[1], Y])
+                kept[r * width + own] = _smallest(e, Y, size)
+        yield from emit(kept)
+
+    def merged(batches):
+        kept = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers, e, X = batch.column(0).to_numpy(), batch.column(1).to_numpy(), Rows(batch)["x"]
+            for i in np.unique(numbers):
+                at = numbers == i
+                old = kept.get(int(i), (np.zeros(0), np.zeros((0, X.shape[1]))))
+                kept[int(i)] = _smallest(np.concatenate([old[0], e[at]]), np.concatenate([old[1], X[at]]), size)
+        yield from emit(kept)
+
+    schema = "i long, e double, x array<double>"
+    found = rows.mapInArrow(drawn, schema)
+    for groups in [width, 1] if width > 1 else [1]:
+        if groups == 1 and width > 1:
+            found = found.withColumn("i", F.floor(F.col("i") / width))
+        found = found.repartition(min(R * groups, 256), "i").mapInArrow(merged, schema)
+    out = [[] for _ in range(R)]
+    for r in found.orderBy("i", "e").collect():  # at most `size` rows a restart
+        out[r["i"]].append(r["x"])
+    return [np.array(o, dtype=float) for o in out]
+
+
+def _starts(rows: DataFrame, k: int, seed: int, n_init: int) -> np.ndarray:
+    """(n_init, k, d) starts from all rows: a few rounds of oversampling by distance, then a weighted reduction.
+
+    Each restart begins with one row and draws ``OVERSAMPLING`` x k rows in each of ``ROUNDS`` passes, all
+    restarts in the same pass. One more pass counts the rows nearest to each candidate; with these weights
+    k-means++ and Lloyd steps over the candidates give the starts.
+    """
+    candidates = _draw(rows, [np.zeros((0, 0))] * n_init, 1, 0)
+    if not len(candidates[0]):
+        raise ValueError("K-Means needs at least one row")
+    for turn in range(ROUNDS):
+        drawn = _draw(rows, candidates, OVERSAMPLING * k, turn + 1)
+        candidates = [np.concatenate([c, new]) if len(new) else c for c, new in zip(candidates, drawn)]
+    ends = np.cumsum([len(c) for c in candidates])
+
+    def nearest(batch):
+        X = batch["x"]
+        return np.concatenate([np.bincount(_to_centers(X, c).argmin(1), minlength=len(c)).astype(float) for c in candidates])
+
+    weights = np.split(sum_vectors(rows, nearest, int(ends[-1])), ends[:-1])
+    return np.array([_reduced(c, w, k, np.random.default_rng([int(seed), r])) for r, (c, w) in enumerate(zip(candidates, weights))])
+
+
+def _to_centers(X: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return (X * X).sum(1)[:, None] - 2.0 * X @ centers.T + (centers * centers).sum(1)[None, :]
+
+
+def _reduced(points: np.ndarray, weights: np.ndarray, k: int, rng) -> np.ndarray:
+    """k centers of weighted points: k-means++, then Lloyd steps until nothing moves."""
+    chosen = [points[rng.choice(len(points), p=weights / weights.sum())]]
+    near = ((points - chosen[0]) ** 2).sum(1)
+    while len(chosen) < k:
+        mass = weights * near
+        chosen.append(points[rng.choice(len(points), p=mass / mass.sum()) if mass.sum() > 0 else rng.integers(len(points))])
+        near = np.minimum(near, ((points - chosen[-1]) ** 2).sum(1))
+    centers = np.array(chosen)
+    for _ in range(30):
+        Z = np.eye(k)[_to_centers(points, centers).argmin(1)] * weights[:, None]
+        size = Z.sum(0)[:, None]
+        new = np.where(size > 0, Z.T @ points / np.maximum(size, 1e-300), centers)
+        if np.array_equal(new, centers):
+            break
+        centers = new
+    return centers
 
 
 def kmeans_fit(
@@ -68,17 +180,23 @@ def kmeans_fit(
     n_init: int = 10,
     max_iter: int = 300,
     tol: float = 1e-4,
+    key: str = "customer_id",
 ) -> tuple[np.ndarray, float]:
     """G1: K-Means with ``n_init`` restarts, lowest cost kept.
 
     All restarts move together: one pass over the rows per iteration adds up, for every restart that
     still moves, the sums and sizes of its clusters and its cost, so 30 restarts cost as many jobs as
     one. Only R x K x d numbers reach the driver. A restart stops when its centers move by less than
-    ``tol`` times the mean variance; an empty cluster keeps its center. Starts come from k-means++ on
-    a bounded sample. Returns centers renumbered by :func:`renumber` and the training cost.
+    ``tol`` times the mean variance; an empty cluster keeps its center. Starts are drawn from all rows
+    (:func:`_starts`) by hashes of ``key`` and coordinates; in a frame without ``key`` equal rows draw
+    the same number. Returns centers renumbered by :func:`renumber` and the training cost.
     """
-    rows = df.select(F.transform(F.col(x), lambda v: v.cast("double")).alias("x"))
-    centers = _starts(df, x, k, seed, max(1, int(n_init)))
+    own = [F.col(key).cast("string")] if key in df.columns else []
+    rows = df.select(
+        F.transform(F.col(x), lambda v: v.cast("double")).alias("x"), F.xxhash64(F.lit(int(seed)), *own, F.col(x)).alias("h")
+    )
+    centers = _starts(rows, k, seed, max(1, int(n_init)))
+    rows = rows.select("x")
     R, _, d = centers.shape
 
     def step(at: np.ndarray) -> np.ndarray:

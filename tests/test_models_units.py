@@ -214,3 +214,34 @@ def test_boosted_expert_stops_on_the_rows_kept_out(spark):
     pos, neg = p[y == 1], p[y == 0]
     assert ((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :])).mean() > 0.75
     assert experts.fit_boosted(df, "features", rounds=3, key=None).getNumTrees == 3
+
+
+def test_kmeans_starts_see_every_row(spark):
+    """Twelve far rows of 60,000 get a center of their own; a hot third of equal rows and two orders of rows change nothing."""
+    rng = np.random.default_rng(9)
+    X = np.concatenate([np.zeros((20000, 2)), rng.normal(6.0, 1.0, (20000, 2)), rng.normal(-6.0, 1.0, (19988, 2)), rng.normal(900.0, 0.5, (12, 2))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(X)], "customer_id long, x array<double>")
+    for parts, n_init in ((3, 1), (11, 4)):
+        centers, cost = clu.kmeans_fit(df.repartition(parts), "x", 4, 7, n_init)
+        assert np.allclose(centers[-1], X[-12:].mean(0))
+        labels = ((X[:, None, :] - centers[None]) ** 2).sum(2)
+        assert cost == pytest.approx(labels.min(1).sum(), rel=1e-6)
+    assert np.allclose(centers[[0, 1, 2]], [X[40000:59988].mean(0), [0, 0], X[20000:40000].mean(0)], atol=0.05)
+    a, b = (clu._starts(df.repartition(p).select("x", F.xxhash64("customer_id", "x").alias("h")), 4, 7, 3) for p in (2, 9))
+    assert np.allclose(a, b)
+
+
+def test_kmeans_draw_is_in_proportion_to_squared_distance(spark):
+    df = spark.range(40000).select(F.array((F.col("id") % 2 + 1).cast("double")).alias("x"), F.xxhash64("id").alias("h"))
+    got = clu._draw(df, [np.zeros((1, 1))], 2000, 1)[0][:, 0]
+    assert len(got) == 2000 and abs((got == 2.0).mean() - 0.8) < 0.04  # 4 : 1
+    none = clu._draw(df, [np.array([[1.0], [2.0]])], 5, 1)[0]
+    assert len(none) == 0
+
+
+def test_kmeans_of_few_and_no_rows(spark):
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(6)], "customer_id long, x array<double>")
+    centers, cost = clu.kmeans_fit(same, "x", 3, 1, 2)
+    assert centers.tolist() == [[1.0, 2.0]] * 3 and cost == 0.0
+    with pytest.raises(ValueError):
+        clu.kmeans_fit(same.limit(0), "x", 3, 1, 2)
