@@ -1,4 +1,4 @@
-"""Segmentation baselines (G1-G5): K-Means with all restarts in one pass, MLlib mixture, the Lloyd step.
+"""Segmentation baselines (G1-G3): K-Means with all restarts in one pass, the Lloyd step.
 
 Centers are tiny (K x d doubles) and travel as literals inside column
 expressions; assignments are JVM-side array expressions (no UDF).
@@ -9,8 +9,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.ml.clustering import GaussianMixture
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -257,16 +255,3 @@ def md5_start(df: DataFrame, k: int, x: str = "xb", key: str = "customer_id", ta
     h = F.md5(F.concat(F.lit(f"{tag}|"), F.col(key).cast("string")))
     rows = df.select(h.alias("h"), F.col(key), F.col(x)).orderBy("h", key).limit(k).collect()  # top-k by design
     return np.array([r[x] for r in rows], dtype=float)
-
-
-def gmm_fit(df: DataFrame, x: str = "xb", k: int = 4, seed: int = 42, max_iter: int = 200, tol: float = 1e-3):
-    """Full-covariance Gaussian mixture (MLlib)."""
-    vec = df.select(array_to_vector(F.col(x)).alias("features"))
-    return GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=tol).fit(vec)
-
-
-def gmm_posteriors(model, df: DataFrame, x: str = "xb", keep=("customer_id",)) -> DataFrame:
-    """Hard label and responsibilities ``q`` (array) per row."""
-    vec = df.select(*keep, array_to_vector(F.col(x)).alias("features"))
-    out = model.transform(vec)
-    return out.select(*keep, F.col("prediction").cast("int").alias("cluster"), vector_to_array("probability").alias("q"))

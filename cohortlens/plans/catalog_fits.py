@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import cluster as clu, ctp, joint, profiles, segment
+from ..operators import cluster as clu, ctp, joint, mixture, profiles, segment
 from ..operators.experts import class_weight_balanced, fit_boosted, fit_logistic_mllib
 from . import jobs
 from .catalog import register, tidy
@@ -31,16 +31,16 @@ def q_kmeans_segments(spark, sf_dir):
 @register("gmm_segments")
 def q_gmm_segments(spark, sf_dir):
     ctx = _ctx(spark, sf_dir)
-    model = clu.gmm_fit(ctx.train, "xb", 4, 42)
-    post = clu.gmm_posteriors(model, ctx.split("test"), "xb", keep=("customer_id", "label"))
+    model = mixture.gmm_fit(ctx.train, "xb", 4, 42)
+    post = mixture.gmm_posteriors(model, ctx.split("test"), "xb", keep=("customer_id", "label"))
     return tidy(segment.segmentation_table(post))
 
 
 @register("gmm_posteriors")
 def q_gmm_posteriors(spark, sf_dir):
     ctx = _ctx(spark, sf_dir)
-    model = clu.gmm_fit(ctx.train, "xb", 4, 42)
-    return tidy(clu.gmm_posteriors(model, ctx.split("test"), "xb"))
+    model = mixture.gmm_fit(ctx.train, "xb", 4, 42)
+    return tidy(mixture.gmm_posteriors(model, ctx.split("test"), "xb"))
 
 
 @register("cluster_then_predict_fit")

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators import cluster as clu
-from ..operators import joint, quality, soft
+from ..operators import joint, mixture, quality, soft
 from ..operators.experts import Expert
 from .catalog import register, sa, sd, si, tidy
 from .catalog_transform import CATS, NUMERIC, _TF
@@ -390,6 +390,64 @@ def q_kmeans_inertia(spark, sf_dir):
     return tidy(clu.inertia(mf, c, "x"))
 
 
+# ---------------------------------------------------------------- unrolled iterations of the full-covariance mixture (U)
+_TRI = [(a, b) for a in range(3) for b in range(a, 3)]
+
+
+def _sql_mixture(steps: int = 2):
+    """Two components: starts by md5 order, equal weights, identity covariances; closed-form 3 x 3 inverses."""
+    start = ", ".join(
+        [f"{dbl(0.5)} AS w{k}" for k in range(2)]
+        + [f"max(CASE WHEN k = {k} THEN {x} END) AS m{k}_{j}" for k in range(2) for j, x in enumerate(XS)]
+        + [f"CAST({int(a == b)} AS DOUBLE) AS s{k}_{a}{b}" for k in range(2) for a, b in _TRI]
+    )
+    ctes = [f"g0 AS (SELECT {start} FROM c0)"]
+    for s in range(steps + 1):
+        dens = []
+        for k in range(2):
+            e = {(a, b): f"p.s{k}_{min(a, b)}{max(a, b)}" for a in range(3) for b in range(3)}
+
+            def minor(a, b, e=e):
+                r, c = [i for i in range(3) if i != a], [j for j in range(3) if j != b]
+                return f"({(-1) ** (a + b)} * ({e[r[0], c[0]]} * {e[r[1], c[1]]} - {e[r[0], c[1]]} * {e[r[1], c[0]]}))"
+
+            det = "(" + " + ".join(f"{e[0, b]} * {minor(0, b)}" for b in range(3)) + ")"
+            d = [f"(t.{x} - p.m{k}_{j})" for j, x in enumerate(XS)]
+            quad = "(" + " + ".join(f"{d[a]} * {d[b]} * {minor(a, b)}" for a in range(3) for b in range(3)) + f") / {det}"
+            dens.append(f"ln(p.w{k}) - 0.5 * (3 * ln(2 * pi()) + ln({det}) + {quad})")
+        source = "rf" if s == steps else "(SELECT * FROM rf WHERE split = 'train')"
+        ctes.append(f"l{s} AS (SELECT t.customer_id, {', '.join('t.' + x for x in XS)}, {dens[0]} AS l0, {dens[1]} AS l1 FROM {source} t, g{s} p)")
+        ctes.append(f"r{s} AS (SELECT *, 1 / (1 + exp(least(l1 - l0, 700))) AS r0, 1 / (1 + exp(least(l0 - l1, 700))) AS r1 FROM l{s})")
+        if s < steps:
+            means = ", ".join([f"avg(r{k}) AS w{k}, sum(r{k}) AS n{k}" for k in range(2)] + [f"sum(r{k} * {x}) / sum(r{k}) AS m{k}_{j}" for k in range(2) for j, x in enumerate(XS)])
+            ctes.append(f"h{s} AS (SELECT {means} FROM r{s})")
+            second = ", ".join(
+                f"sum(r{k} * ({XS[a]} - m{k}_{a}) * ({XS[b]} - m{k}_{b})) / max(n{k}) + {dbl(1e-6) if a == b else 0} AS s{k}_{a}{b}"
+                for k in range(2) for a, b in _TRI
+            )
+            kept = ", ".join(f"max({c}) AS {c}" for k in range(2) for c in [f"w{k}", *[f"m{k}_{j}" for j in range(3)]])
+            ctes.append(f"g{s + 1} AS (SELECT {kept}, {second} FROM r{s}, h{s})")
+    return ", ".join(ctes)
+
+
+@register(
+    "gmm_em_2steps",
+    with_base(
+        f"SELECT {si('customer_id', 'customer_id')}, {si('CASE WHEN r0 >= r1 THEN 0 ELSE 1 END', 'cluster')}, {sd('r0', 'q0')}, {sd('r1', 'q1')} FROM r2",
+        _BASE + ", " + _sql_lloyd(0) + ", " + _sql_mixture(2),
+    ),
+)
+def q_gmm_em_2steps(spark, sf_dir):
+    mf = _xrfm(_frame(spark, sf_dir))
+    train = mf.filter(F.col("split") == "train")
+    means = clu.md5_start(train, 2, "x")
+    state = mixture.Mixture(np.full(2, 0.5), means, np.stack([np.eye(3)] * 2))
+    for _ in range(2):
+        state = mixture.em_steps(train.select("x"), [state])[0][0]
+    post = mixture.gmm_posteriors(state, mf, "x")
+    return tidy(post.select("customer_id", "cluster", F.col("q")[0].alias("q0"), F.col("q")[1].alias("q1")))
+
+
 # ---------------------------------------------------------------- quality indices on embeddings (V rows)
 def _emb(spark, sf_dir):
     from ..session import table

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import classify, cluster as clu, ctp, experts, grid, joint, quality, ranking, segment
+from ..operators import classify, cluster as clu, ctp, experts, grid, joint, mixture, quality, ranking, segment
 
 from .frames import model_frame
 
@@ -83,8 +83,8 @@ def baseline_table(ctx: JobContext, k: int = 4, n_init: int = BASELINE_PRESET["n
         rep["inertia"] = clu.inertia(ctx.train, centers, x).first()[0]
         rep.update(model=name, n_clusters=float(k))
         rows.append(rep)
-    gmm = clu.gmm_fit(ctx.train, "xb", k, seed, gmm_iter)
-    post = clu.gmm_posteriors(gmm, test, "xb", keep=("customer_id", "label", "xb"))
+    gmm = mixture.gmm_fit(ctx.train, "xb", k, seed, gmm_iter)
+    post = mixture.gmm_posteriors(gmm, test, "xb", keep=("customer_id", "label", "xb"))
     rep = cluster_report(post, "xb")
     rep.update(model="gmm", n_clusters=float(k))
     rows.append(rep)
@@ -156,8 +156,8 @@ def downstream_table(ctx: JobContext, k: int = 4, seed: int = 42, cfg: joint.Joi
     centers, _ = clu.kmeans_fit(ctx.train, "xb", k, seed, 10)
     km = onehot_ids(_assign(base, centers, "xb"), k, "km")
     rows.append(dict(_logistic_variant(km, [f"km_{j}" for j in range(k)]), model="base_plus_kmeans"))
-    gmm = clu.gmm_fit(ctx.train, "xb", k, seed)
-    post = clu.gmm_posteriors(gmm, base, "xb", keep=tuple(base.columns))
+    gmm = mixture.gmm_fit(ctx.train, "xb", k, seed)
+    post = mixture.gmm_posteriors(gmm, base, "xb", keep=tuple(base.columns))
     gm = onehot_ids(post, k, "gm")
     rows.append(dict(_logistic_variant(gm, [f"gm_{j}" for j in range(k)]), model="base_plus_gmm"))
     cfg = cfg or joint.JointConfig.preset("yaml")
