@@ -46,3 +46,29 @@ def md5_unit(*parts) -> Column:
     """Deterministic number in [0, 1) from the first 8 hex digits of an md5 digest."""
     text = F.concat_ws("|", *[F.lit(p) if not isinstance(p, Column) else p.cast("string") for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def column_name(df, name: str, aliases=()) -> str:
+    """The column of ``df`` called ``name`` or, failing that, an alias.
+
+    Exact spellings win over other letter cases, the name over its aliases, an earlier alias over a later
+    one; of columns that differ in case alone the first. KeyError names what was tried.
+    """
+    wanted = [name, *aliases]
+    for w in wanted:
+        if w in df.columns:
+            return w
+    first = {}
+    for c in df.columns:
+        first.setdefault(c.lower(), c)
+    for w in wanted:
+        if w.lower() in first:
+            return first[w.lower()]
+    raise KeyError(f"no column {name!r}; tried {wanted}, the frame has {df.columns[:20]}")
+
+
+def resolved(df, names, aliases: dict | None = None):
+    """``df`` with each of ``names`` present under that name, found by :func:`column_name`."""
+    found = {n: column_name(df, n, (aliases or {}).get(n, ())) for n in names}
+    others = [c for c in df.columns if c not in found.values() and c.lower() not in {n.lower() for n in names}]
+    return df.select(*[F.col(f"`{c}`") for c in others], *[F.col(f"`{c}`").alias(n) for n, c in found.items()])

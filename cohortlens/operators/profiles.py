@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import resolved
 from .classify import score_groups, uniform_edges, bin_index, valid_pairs
 from .quantile import grouped_quantiles
 from .rank import rank_within, with_running_sums
@@ -62,8 +63,9 @@ def histogram(df: DataFrame, col: str, n_bins: int = 30, lo=None, hi=None) -> Da
     )
 
 
-def rfm_boxstats(df: DataFrame, features, cluster: str = "cluster") -> DataFrame:
-    """Quartiles and 1.5 IQR whiskers per cluster and feature (outliers hidden)."""
+def rfm_boxstats(df: DataFrame, features, cluster: str = "cluster", aliases: dict | None = None) -> DataFrame:
+    """Quartiles and 1.5 IQR whiskers per cluster and feature (outliers hidden); ``aliases`` as in :func:`channel_mix`."""
+    df = resolved(df, features, aliases)
     found = grouped_quantiles(df.filter(F.col(cluster).isNotNull()), [cluster], {f: F.col(f) for f in features}, (0.25, 0.5, 0.75))
     rows = [(key[0], f, q) for key, of in found.items() for f, q in of.items() if q]
     long = df.select(cluster, F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])).alias("p")).select(
@@ -79,8 +81,12 @@ def rfm_boxstats(df: DataFrame, features, cluster: str = "cluster") -> DataFrame
     ).select(cluster, "feature", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "whisker_lo", "whisker_hi")
 
 
-def channel_mix(df: DataFrame, cluster: str = "cluster", channels=CHANNELS) -> DataFrame:
-    """Mean purchases per channel, normalised to shares per cluster (missing -> 0)."""
+def channel_mix(df: DataFrame, cluster: str = "cluster", channels=CHANNELS, aliases: dict | None = None) -> DataFrame:
+    """Mean purchases per channel, normalised to shares per cluster (missing -> 0).
+
+    Channels may have other letter cases or the names that ``aliases`` lists for them.
+    """
+    df = resolved(df, channels, aliases)
     means = df.groupBy(cluster).agg(*[F.avg(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c) for c in channels])
     tot = sum((F.col(c) for c in channels[1:]), F.col(channels[0]))
     return means.select(cluster, *[F.coalesce(F.try_divide(F.col(c), F.nullif(tot, F.lit(0.0))), F.lit(0.0)).alias(c) for c in channels])

@@ -1,7 +1,7 @@
 """Segment-level business tables.
 
 Inputs are one frame with a cluster column and a response column (align two
-keyed frames first with :func:`align`). Everything is one partial aggregation
+keyed frames first with :func:`with_labels`). Everything is one partial aggregation
 per cluster; the per-cluster tables have K rows, so windows and cross joins
 below run over K rows only.
 """
@@ -14,9 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def align(clusters: DataFrame, responses: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Inner alignment of two keyed frames (the reference aligns on the index)."""
-    return clusters.join(responses, key, "inner")
+def with_labels(df: DataFrame, labels: DataFrame, key: str = "customer_id", cluster: str = "cluster") -> DataFrame:
+    """Every row of ``df`` with its cluster from ``labels``; an error where a row would have none or two."""
+    of = labels.select(key, cluster).filter(F.col(cluster).isNotNull())
+    bad = of.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).limit(1).count()
+    if bad or df.join(of, key, "left_anti").limit(1).count():
+        raise ValueError(f"{cluster} cannot be aligned: a row has no label or {key} is repeated among the labels")
+    return df.drop(cluster).join(of, key)
 
 
 def _valid(df: DataFrame, cluster: str, response: str) -> DataFrame:

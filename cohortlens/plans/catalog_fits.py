@@ -94,8 +94,9 @@ def q_elbow_table(spark, sf_dir):
 @register("pca_scatter")
 def q_pca_scatter(spark, sf_dir):
     mf, _ = model_frame(spark, sf_dir)
-    pts, _ = profiles.pca_scatter(mf, "xb")
-    return tidy(pts.select("customer_id", "pc1", "pc2"))
+    pts, shares = profiles.pca_scatter(mf, "xb")
+    explained = [F.lit(v).alias(f"explained{i + 1}") for i, v in enumerate(shares)]
+    return tidy(pts.select("customer_id", "pc1", "pc2", *explained))
 
 
 @register("baseline_table")

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import classify, cluster as clu, ctp, experts, grid, joint, mixture, quality, ranking, segment
+from ..operators import classify, cluster as clu, ctp, experts, grid, joint, mixture, quality, ranking, segment, soft
 
 from .frames import model_frame
 
@@ -138,12 +138,7 @@ def _logistic_variant(frame: DataFrame, extra: list[str]) -> dict:
     """Balanced L2 logistic (C = 1, sklearn ``class_weight='balanced'``) on the full features plus
     ``extra`` columns; F1 threshold on val, test report. Fitted with the fused Newton solver
     (a handful of scans instead of hundreds of L-BFGS jobs)."""
-    cols = F.concat(F.col("xf"), F.array(*[F.col(c) for c in extra])) if extra else F.col("xf")
-    f = frame.withColumn("xf", cols)
-    train = f.filter(F.col("split") == "train").select("label", "xf")
-    D = train.select(F.size("xf")).first()[0]
-    model = experts.fit_experts(train, lambda pdf: np.ones((len(pdf), 1)), 1, D, 1.0, "class_weight", 0.5)[0]
-    scored = f.withColumn("score", joint._expert_col(model, F.col("xf")))
+    scored = _newton_scores(frame, extra)
     thr = classify.choose_threshold_value(scored.filter(F.col("split") == "val"), metric="f1")
     return evaluate(scored.filter(F.col("split") == "test"), thr)
 
@@ -236,7 +231,8 @@ def _newton_scores(frame: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def curve_tables(ctx: JobContext, k: int = 4, seed: int = 42, cfg: joint.JointConfig | None = None) -> DataFrame:
-    """M8: four predictors scored on the held-out rows; ROC, PR, reliability and lift points per model.
+    """M8: four predictors scored on the held-out rows; ROC, PR, reliability, lift and threshold points per
+    model, and histograms of the entropy and the largest value of the train responsibilities.
 
     ``ctx`` should hold a two-way split (``JobContext(..., two_way=True)``): fit on train, curves on val.
     Returns one long frame (model, curve, x, y); each curve is computed by the distributed operators
@@ -266,6 +262,13 @@ def curve_tables(ctx: JobContext, k: int = 4, seed: int = 42, cfg: joint.JointCo
         parts.append(rel.select(F.lit(name).alias("model"), F.lit("reliability").alias("curve"), F.col("mean_score").alias("x"), F.col("frac_pos").alias("y")))
         lift = ranking.lift_curve(hold)
         parts.append(lift.select(F.lit(name).alias("model"), F.lit("lift").alias("curve"), F.col("frac").alias("x"), F.col("lift").alias("y")))
+        sweep = classify.threshold_sweep(hold)
+        for metric in ("f1", "balanced_accuracy", "youden_j"):
+            parts.append(sweep.select(F.lit(name).alias("model"), F.lit(f"threshold_{metric}").alias("curve"), F.col("threshold").alias("x"), F.col(metric).alias("y")))
+    q = joint.estep_frame(ctx.train, prm, cfg).select("q")
+    for curve, value, lo, hi in (("entropy", soft.assignment_entropy, None, None), ("maxprob", soft.assignment_maxprob, 0.0, 1.0)):
+        bars = profiles.histogram(q.select(value(F.col("q")).alias("v")), "v", 30, lo, hi)
+        parts.append(bars.select(F.lit("responsibilities").alias("model"), F.lit(curve).alias("curve"), F.col("left").alias("x"), F.col("count").cast("double").alias("y")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

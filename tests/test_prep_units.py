@@ -104,3 +104,29 @@ def test_sinks_write_and_read_back(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{tmp_path}/csv").first()["rates"].startswith("{")
     sinks.write_table(metrics, f"{tmp_path}/parquet")
     assert spark.read.parquet(f"{tmp_path}/parquet").first()["rates"] == {"0": 0.5}
+
+
+def test_columns_are_found_by_case_and_alias(spark):
+    from cohortlens.functions.columns import column_name, resolved
+    from cohortlens.operators import profiles
+
+    df = spark.createDataFrame([(0, 3.0, 1.0, 0.0), (1, 1.0, 1.0, 2.0)], "cluster int, NUMWEBPURCHASES double, catalog double, NumStorePurchases double")
+    assert column_name(df, "NumWebPurchases") == "NUMWEBPURCHASES"
+    assert column_name(df, "NumCatalogPurchases", ("Catalogue", "Catalog")) == "catalog"
+    assert column_name(df, "catalog", ("NumStorePurchases",)) == "catalog"
+    with pytest.raises(KeyError):
+        column_name(df, "Recency", ("days",))
+    assert resolved(df, ["numwebpurchases"]).columns == ["cluster", "catalog", "NumStorePurchases", "numwebpurchases"]
+    mix = {r["cluster"]: r for r in profiles.channel_mix(df, aliases={"NumCatalogPurchases": ["Catalog"]}).collect()}
+    assert mix[0]["NumWebPurchases"] == 0.75 and mix[1]["NumStorePurchases"] == 0.5
+
+
+def test_labels_align_by_key_or_raise(spark):
+    from cohortlens.operators import segment
+
+    df = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "customer_id long, label int")
+    labels = spark.createDataFrame([(3, 2), (1, 0), (2, 0), (9, 1)], "customer_id long, cluster int")
+    assert {(r["customer_id"], r["cluster"]) for r in segment.with_labels(df, labels).collect()} == {(1, 0), (2, 0), (3, 2)}
+    for bad in (labels.filter("customer_id <> 2"), labels.unionAll(labels.limit(1))):
+        with pytest.raises(ValueError):
+            segment.with_labels(df, bad)
