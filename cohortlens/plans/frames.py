@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import md5_unit
 from ..operators.clean import add_label, clean_campaign
 from ..operators.features import derive_features
-from ..shared import written
+from ..shared import dealt, written
 from ..sources.campaign import CUTOFF, REFERENCE_YEAR, campaign_raw
 
 # Fixed values of the scored fixture (FIXTURES.md §3).
@@ -120,7 +120,7 @@ def model_frame(spark: SparkSession, sf_dir: str, exact: bool = True, two_way: b
     """Transformed rows with ``xb`` (behaviour) and ``xf`` (full) arrays, persisted.
 
     Returns (frame, fitted transform). The frame is the one cached input every
-    model iterates over; iterations only ship small parameters to it.
+    model iterates over, dealt over all cores; iterations only ship small parameters to it.
     """
     table, ft = transformed(spark, sf_dir, exact=exact, two_way=two_way)
     q = lambda n: F.col(f"`{n}`")
@@ -130,4 +130,4 @@ def model_frame(spark: SparkSession, sf_dir: str, exact: bool = True, two_way: b
         F.array(*[q(n) for n in ft.all_feature_names]).alias("xf"),
         F.array(*[q(n) for n in ("recency", "frequency", "monetary")]).alias("xrfm"),
     )
-    return frame.persist(), ft
+    return dealt(frame).persist(), ft

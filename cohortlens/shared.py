@@ -7,6 +7,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a part of a frame that models read again and again: at most, and at least where there are cores to spare.
+PART_ROWS = (1_000, 50_000)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` in parts of equal size, for a frame that many passes read: a part for every core, more
+    where a part would exceed ``PART_ROWS``.
+
+    Files and adaptive shuffles make parts of so many bytes; packed columns or a few large files leave most
+    cores idle, and the task of a part reads most of the table.
+    """
+    fewest, most = PART_ROWS
+    n = df.count()
+    parts = min(max(df.sparkSession.sparkContext.defaultParallelism, -(-n // most)), max(1, -(-n // fewest)))
+    return df.repartition(parts)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names.
