@@ -6,6 +6,8 @@ expressions; assignments are JVM-side array expressions (no UDF).
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -64,12 +66,12 @@ def _smallest(e: np.ndarray, X: np.ndarray, size: int) -> tuple[np.ndarray, np.n
     return e[first], X[first]
 
 
-def _draw(rows: DataFrame, candidates, size: int, turn: int) -> list[np.ndarray]:
-    """For each restart ``size`` rows of all, drawn in proportion to the squared distance to its candidates.
+def _draw(rows: DataFrame, candidates, sizes: list[int], salts: list[int], turn: int) -> list[np.ndarray]:
+    """For each restart its number of ``sizes`` rows of all, drawn in proportion to the squared distance to its candidates.
 
     A row's key is an exponential draw over that distance; the rows with the smallest keys are drawn, so a
-    partition returns at most ``size`` of them and Arrow tasks merge them in up to two levels. Rows on a
-    candidate are not drawn; without candidates all rows weigh the same.
+    partition returns at most that many of them and Arrow tasks merge them in up to two levels. Rows on a
+    candidate are not drawn; without candidates all rows weigh the same. Equal ``salts`` draw the same numbers.
     """
     R, spark = len(candidates), rows.sparkSession
     width = 64 if spark.sparkContext.defaultParallelism > 256 else 1
@@ -87,8 +89,9 @@ def _draw(rows: DataFrame, candidates, size: int, turn: int) -> list[np.ndarray]
                 continue
             X = Rows(batch)["x"]
             h = batch.column(batch.schema.get_field_index("h")).to_numpy(zero_copy_only=False).view(np.uint64)
+            draws = {salt: -np.log(_uniform(h, salt, turn)) for salt in set(salts)}
             for r, c in enumerate(candidates):
-                e, Y = -np.log(_uniform(h, r, turn)), X
+                e, Y = draws[salts[r]], X
                 if len(c):
                     near = np.full(len(X), np.inf)
                     for center in c:
@@ -97,10 +100,10 @@ def _draw(rows: DataFrame, candidates, size: int, turn: int) -> list[np.ndarray]
                 old = kept.get(r * width + own)
                 if old:
                     e, Y = np.concatenate([old[0], e]), np.concatenate([old[1], Y])
-                kept[r * width + own] = _smallest(e, Y, size)
+                kept[r * width + own] = _smallest(e, Y, sizes[r])
         yield from emit(kept)
 
-    def merged(batches):
+    def merged(batches, groups):
         kept = {}
         for batch in batches:
             if not batch.num_rows:
@@ -109,7 +112,7 @@ def _draw(rows: DataFrame, candidates, size: int, turn: int) -> list[np.ndarray]
             for i in np.unique(numbers):
                 at = numbers == i
                 old = kept.get(int(i), (np.zeros(0), np.zeros((0, X.shape[1]))))
-                kept[int(i)] = _smallest(np.concatenate([old[0], e[at]]), np.concatenate([old[1], X[at]]), size)
+                kept[int(i)] = _smallest(np.concatenate([old[0], e[at]]), np.concatenate([old[1], X[at]]), sizes[int(i) // groups])
         yield from emit(kept)
 
     schema = "i long, e double, x array<double>"
@@ -117,25 +120,30 @@ def _draw(rows: DataFrame, candidates, size: int, turn: int) -> list[np.ndarray]
     for groups in [width, 1] if width > 1 else [1]:
         if groups == 1 and width > 1:
             found = found.withColumn("i", F.floor(F.col("i") / width))
-        found = found.repartition(min(R * groups, 256), "i").mapInArrow(merged, schema)
+        merge = partial(merged, groups=groups)
+        found = found.repartition(min(R * groups, spark.sparkContext.defaultParallelism, 256), "i").mapInArrow(merge, schema)
     out = [[] for _ in range(R)]
-    for r in found.orderBy("i", "e").collect():  # at most `size` rows a restart
+    for r in found.orderBy("i", "e").collect():  # at most `sizes` rows a restart
         out[r["i"]].append(r["x"])
     return [np.array(o, dtype=float) for o in out]
 
 
-def _starts(rows: DataFrame, k: int, seed: int, n_init: int) -> np.ndarray:
-    """(n_init, k, d) starts from all rows: a few rounds of oversampling by distance, then a weighted reduction.
+def _starts(rows: DataFrame, ks: list[int], seed: int, n_init: int) -> list[np.ndarray]:
+    """For each number of clusters ``n_init`` starts (k, d) from all rows: a few rounds of oversampling by distance,
+    then a weighted reduction.
 
     Each restart begins with one row and draws ``OVERSAMPLING`` x k rows in each of ``ROUNDS`` passes, all
     restarts in the same pass. One more pass counts the rows nearest to each candidate; with these weights
     k-means++ and Lloyd steps over the candidates give the starts.
     """
-    candidates = _draw(rows, [np.zeros((0, 0))] * n_init, 1, 0)
-    if not len(candidates[0]):
+    own = [(k, r) for k in ks for r in range(n_init)]
+    salts = [r for _, r in own]
+    first = _draw(rows, [np.zeros((0, 0))] * n_init, [1] * n_init, list(range(n_init)), 0)
+    if not len(first[0]):
         raise ValueError("K-Means needs at least one row")
+    candidates = [first[r] for r in salts]
     for turn in range(ROUNDS):
-        drawn = _draw(rows, candidates, OVERSAMPLING * k, turn + 1)
+        drawn = _draw(rows, candidates, [OVERSAMPLING * k for k, _ in own], salts, turn + 1)
         candidates = [np.concatenate([c, new]) if len(new) else c for c, new in zip(candidates, drawn)]
     ends = np.cumsum([len(c) for c in candidates])
 
@@ -144,7 +152,7 @@ def _starts(rows: DataFrame, k: int, seed: int, n_init: int) -> np.ndarray:
         return np.concatenate([np.bincount(_to_centers(X, c).argmin(1), minlength=len(c)).astype(float) for c in candidates])
 
     weights = np.split(sum_vectors(rows, nearest, int(ends[-1])), ends[:-1])
-    return np.array([_reduced(c, w, k, np.random.default_rng([int(seed), r])) for r, (c, w) in enumerate(zip(candidates, weights))])
+    return [_reduced(c, w, k, np.random.default_rng([int(seed), r])) for (k, r), c, w in zip(own, candidates, weights)]
 
 
 def _to_centers(X: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -180,25 +188,40 @@ def kmeans_fit(
     tol: float = 1e-4,
     key: str = "customer_id",
 ) -> tuple[np.ndarray, float]:
-    """G1: K-Means with ``n_init`` restarts, lowest cost kept.
+    """G1: K-Means with ``n_init`` restarts, lowest cost kept (:func:`kmeans_fits` with one number of clusters)."""
+    return kmeans_fits(df, x, [k], seed, n_init, max_iter, tol, key)[0]
+
+
+def kmeans_fits(
+    df: DataFrame,
+    x: str,
+    ks,
+    seed: int = 42,
+    n_init: int = 10,
+    max_iter: int = 300,
+    tol: float = 1e-4,
+    key: str = "customer_id",
+) -> list[tuple[np.ndarray, float]]:
+    """G1 for several numbers of clusters, fitted side by side: (centers, cost) of each, as alone.
 
-    All restarts move together: one pass over the rows per iteration adds up, for every restart that
-    still moves, the sums and sizes of its clusters and its cost, so 30 restarts cost as many jobs as
-    one. Only R x K x d numbers reach the driver. A restart stops when its centers move by less than
+    All restarts of all ``ks`` move together: one pass over the rows per iteration adds up, for every
+    restart that still moves, the sums and sizes of its clusters and its cost, so 30 restarts cost as many
+    jobs as one. Only R x K x d numbers reach the driver. A restart stops when its centers move by less than
     ``tol`` times the mean variance; an empty cluster keeps its center. Starts are drawn from all rows
     (:func:`_starts`) by hashes of ``key`` and coordinates; in a frame without ``key`` equal rows draw
-    the same number. Returns centers renumbered by :func:`renumber` and the training cost.
+    the same number. Centers are renumbered by :func:`renumber`; the cost is that of the training rows.
     """
+    ks, n_init = [int(k) for k in ks], max(1, int(n_init))
     own = [F.col(key).cast("string")] if key in df.columns else []
     rows = df.select(
         F.transform(F.col(x), lambda v: v.cast("double")).alias("x"), F.xxhash64(F.lit(int(seed)), *own, F.col(x)).alias("h")
     )
-    centers = _starts(rows, k, seed, max(1, int(n_init)))
+    centers = _starts(rows, ks, seed, n_init)
     rows = rows.select("x")
-    R, _, d = centers.shape
+    d = centers[0].shape[1]
 
-    def step(at: np.ndarray) -> np.ndarray:
-        """(r, k, d + 1) sums and sizes with the cost in a last row, for centers ``at``; and sums of x and x*x."""
+    def step(at: list) -> np.ndarray:
+        """For each of the centers ``at`` (k, d) sums, k sizes and the cost; then the sums of x and x*x."""
 
         def kernel(batch):
             X = batch["x"]
@@ -207,31 +230,35 @@ def kmeans_fit(
             for c in at:
                 near = own[:, None] - 2.0 * X @ c.T + (c * c).sum(1)[None, :]
                 z = near.argmin(1)
-                Z = np.eye(k)[z]
+                Z = np.eye(len(c))[z]
                 parts += [(Z.T @ X).ravel(), Z.sum(0), [np.clip(near[np.arange(len(z)), z], 0.0, None).sum()]]
             return np.concatenate([*parts, X.sum(0), (X * X).sum(0)])
 
-        return sum_vectors(rows, kernel, len(at) * (k * (d + 1) + 1) + 2 * d)
+        return sum_vectors(rows, kernel, sum(len(c) * (d + 1) + 1 for c in at) + 2 * d)
 
-    moving, cost = np.arange(R), np.full(R, np.inf)
+    moving, cost = list(range(len(centers))), np.full(len(centers), np.inf)
     for it in range(int(max_iter) + 1):
-        s = step(centers[moving])
-        moments, per = s[-2 * d:], s[:-2 * d].reshape(len(moving), -1)
-        cost[moving] = per[:, -1]
-        if it == int(max_iter):
-            break
-        sums, sizes = per[:, : k * d].reshape(-1, k, d), per[:, k * d : k * (d + 1)]
-        n = max(sizes[0].sum(), 1.0)
-        variance = float(np.mean(moments[d:] / n - (moments[:d] / n) ** 2))
-        new = np.where(sizes[:, :, None] > 0, sums / np.maximum(sizes, 1.0)[:, :, None], centers[moving])
-        shift = ((new - centers[moving]) ** 2).sum((1, 2))
-        still = shift > tol * variance
-        centers[moving[still]] = new[still]  # a restart at rest keeps the centers that its cost belongs to
-        moving = moving[still]
-        if not len(moving):
+        s = step([centers[i] for i in moving])
+        moments, at, still = s[-2 * d:], 0, []
+        for i in moving:
+            k = len(centers[i])
+            sums, sizes = s[at:at + k * d].reshape(k, d), s[at + k * d:at + k * (d + 1)]
+            cost[i] = s[at + k * (d + 1)]
+            at += k * (d + 1) + 1
+            n = max(sizes.sum(), 1.0)
+            variance = float(np.mean(moments[d:] / n - (moments[:d] / n) ** 2))
+            new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1.0)[:, None], centers[i])
+            if it < int(max_iter) and ((new - centers[i]) ** 2).sum() > tol * variance:
+                centers[i] = new  # a restart at rest keeps the centers that its cost belongs to
+                still.append(i)
+        moving = still
+        if not moving:
             break
-    best = int(np.lexsort((np.arange(R), cost))[0])
-    return centers[best][renumber(centers[best])], float(cost[best])
+    out = []
+    for j in range(len(ks)):
+        best = min(range(j * n_init, (j + 1) * n_init), key=lambda i: cost[i])
+        out.append((centers[best][renumber(centers[best])], float(cost[best])))
+    return out
 
 
 def inertia(df: DataFrame, centers, x: str = "xb") -> DataFrame:

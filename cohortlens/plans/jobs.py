@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify, cluster as clu, ctp, experts, grid, joint, mixture, quality, ranking, segment, soft
-
+from ..shared import dealt, written
 from .frames import model_frame
 
 TOP_FRAC = 0.2
@@ -185,11 +185,10 @@ def elbow_table(spark: SparkSession, sf_dir: str, ks=range(2, 11), n_init: int =
 
     f = campaign_features(spark, sf_dir).select(
         F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("Recency", "Frequency", "Monetary")]).alias("x")
-    ).persist()
-    rows = []
-    for k in ks:
-        centers, cost = clu.kmeans_fit(f, "x", int(k), seed, n_init)
-        rows.append((int(k), float(cost)))
+    )
+    f = dealt(written(f, "elbow")).persist()
+    ks = [int(k) for k in ks]
+    rows = [(k, cost) for k, (_, cost) in zip(ks, clu.kmeans_fits(f, "x", ks, seed, n_init))]
     f.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double")
 
