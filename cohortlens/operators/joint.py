@@ -95,17 +95,18 @@ class JointParams:
 # ------------------------------------------------------------------ numpy kernels (inside tasks)
 def log_gating_np(X: np.ndarray, prm: JointParams, cfg: JointConfig) -> np.ndarray:
     log_pi = np.log(np.clip(prm.pi.reshape(1, -1), LOG_EPS, 1.0))
-    diff2 = (X[:, None, :] - prm.mu[None, :, :]) ** 2
-    if cfg.gating_type == "soft_kmeans":
-        return log_pi - diff2.sum(2)
     d = X.shape[1]
+    diag = cfg.gating_type != "soft_kmeans" and cfg.covariance_type == "diag"
+    scale = 1.0 / prm.var if diag else np.ones_like(prm.mu)
+    # component by component: no array of rows x components x features
+    sq = np.column_stack([np.square(X - m) @ w for m, w in zip(prm.mu, scale)])
+    if cfg.gating_type == "soft_kmeans":
+        return log_pi - sq
     const = d * math.log(2 * math.pi)
-    if cfg.covariance_type == "diag":
-        quad = (diff2 / prm.var[None, :, :]).sum(2)
-        logdet = np.log(prm.var).sum(1)[None, :]
-        return log_pi - 0.5 * (const + logdet + quad)
+    if diag:
+        return log_pi - 0.5 * (const + np.log(prm.var).sum(1)[None, :] + sq)
     v = prm.var.mean(1)[None, :]
-    return log_pi - 0.5 * (const + d * np.log(v) + diff2.sum(2) / v)
+    return log_pi - 0.5 * (const + d * np.log(v) + sq / v)
 
 
 def expert_matrix_np(Xf: np.ndarray, experts) -> np.ndarray:
@@ -130,6 +131,16 @@ def estep_np(Xb, Xf, y, prm: JointParams, cfg: JointConfig):
     return softmax_np(logits), lse
 
 
+def constant_cost_np(Xb, y, centers, probs, cfg: JointConfig) -> np.ndarray:
+    """G10 as :func:`response_aware_cost`; the squared distances alone without ``probs``."""
+    sq = np.column_stack([((Xb - c) ** 2).sum(1) for c in centers])
+    if probs is None:
+        return sq
+    p = np.clip(np.asarray(probs, float), LOG_EPS, None)
+    ce = -(np.outer(y, np.log(p)) + np.outer(1 - y, np.log(np.clip(1 - np.asarray(probs, float), LOG_EPS, None))))
+    return sq + cfg.lambda_ * ce + cfg.gamma * (np.asarray(probs) * (1 - np.asarray(probs)))[None, :]
+
+
 def hard_cost_np(Xb, Xf, y, prm: JointParams, cfg: JointConfig) -> np.ndarray:
     sq = ((Xb[:, None, :] - prm.mu[None, :, :]) ** 2).sum(2)
     P = expert_matrix_np(Xf, prm.experts)
@@ -287,30 +298,29 @@ def _fit_constant(train, cfg, centers, global_rate, x, label, trace) -> JointPar
     z_prev = soft.argmin(distances(F.col(x), centers))
     rates = smoothed_cluster_rates(train.select(z_prev.alias("cluster"), F.col(label).alias("label")), K, smoothing=cfg.smoothing)
     probs = np.array([r["p"] for r in rates.orderBy("cluster").collect()])
+    before = (centers, None)  # nearest centers, then the assignments of the iteration before
     for it in range(int(cfg.max_iter)):
-        cost = response_aware_cost(F.col(x), F.col(label), centers, probs, cfg.lambda_, cfg.gamma)
-        a = train.select(
-            soft.argmin(cost).alias("k"), z_prev.alias("z0"), F.col(x).alias("x"), F.col(label).cast("double").alias("y")
-        )
-        rows = a.groupBy("k").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"),
-            F.sum((F.col("k") != F.col("z0")).cast("int")).alias("chg"),
-            *[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(d)],
-        ).collect()  # K rows
+
+        def kernel(rows, now=(centers, probs), before=before):
+            X, y = _to_arrays(rows, x), rows[label].to_numpy(float)
+            k, k0 = (np.argmin(constant_cost_np(X, y, c, p, cfg), 1) for c, p in (now, before))
+            Z = np.eye(K)[k]
+            return np.concatenate([Z.sum(0), Z.T @ y, (Z.T @ X).ravel(), [float((k != k0).sum())]])
+
+        s = sum_vectors(train.select(label, x), kernel, 2 * K + K * d + 1)
+        sizes, positives, sums = s[:K], s[K:2 * K], s[2 * K:-1].reshape(K, d)
         last = JointParams(pi=np.full(K, 1.0 / K), mu=centers, var=None, cluster_probs=probs)  # behind this iteration's assignments
-        n_all = sum(r["n"] for r in rows)
-        change = sum(r["chg"] for r in rows) / float(n_all)
+        change = s[-1] / float(sizes.sum())
+        before = (centers, probs)  # this iteration's assignment is the next one's reference
         new_c = np.array(centers, dtype=float).copy()
         probs = np.full(K, global_rate)
-        got = {r["k"]: r for r in rows}
         for k in range(K):
-            if k in got:
-                new_c[k] = [got[k][f"m{j}"] for j in range(d)]
-                probs[k] = (got[k]["pos"] + cfg.smoothing) / (got[k]["n"] + 2 * cfg.smoothing)
+            if sizes[k] > 0:
+                new_c[k] = sums[k] / sizes[k]
+                probs[k] = (positives[k] + cfg.smoothing) / (sizes[k] + 2 * cfg.smoothing)
             else:
                 new_c[k] = _md5_row(train, f"{cfg.random_state}|{it}|{k}", x)
         probs = np.clip(probs, P_CLIP, 1 - P_CLIP)
-        z_prev = soft.argmin(cost)  # this iteration's assignment is the next one's reference
         centers = new_c
         trace["change_ratio"].append(change)
         if change < cfg.tol:
