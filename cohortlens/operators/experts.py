@@ -159,6 +159,11 @@ def stats_length(dim: int) -> int:
     return D1 + D1 * (D1 + 1) // 2 + 2
 
 
+#: From this number of experts the products of two features are formed once and serve all Hessians.
+MANY_EXPERTS = 16
+PRODUCT_ROWS = 2048  # rows whose products are formed at once
+
+
 def expert_stats_np(X: np.ndarray, y: np.ndarray, W: np.ndarray, B: np.ndarray) -> np.ndarray:
     """(A, 2, L) sums per expert and class (0 = negative, 1 = positive rows) at coefficients B (A, D+1).
 
@@ -177,6 +182,17 @@ def expert_stats_np(X: np.ndarray, y: np.ndarray, W: np.ndarray, B: np.ndarray)
         if not m.any():
             continue
         Xc, yc = X1[m], y[m]
+        if B.shape[0] >= MANY_EXPERTS:
+            Wc, pc, ec = W[m], p[m], eta[m]
+            out[:, c, :D1] = (Wc * (pc - yc[:, None])).T @ Xc
+            H, curve = np.zeros((B.shape[0], len(tri[0]))), Wc * pc * (1 - pc)
+            for at in range(0, len(Xc), PRODUCT_ROWS):
+                part = Xc[at:at + PRODUCT_ROWS]
+                H += curve[at:at + PRODUCT_ROWS].T @ (part[:, tri[0]] * part[:, tri[1]])
+            out[:, c, D1:-2] = H
+            out[:, c, -2] = (Wc * (np.logaddexp(0.0, ec) - yc[:, None] * ec)).sum(0)
+            out[:, c, -1] = Wc.sum(0)
+            continue
         for j in range(B.shape[0]):
             w = W[m, j]
             pj = p[m, j]

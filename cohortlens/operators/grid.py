@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..shared import written
 from . import joint
 from .classify import ECE_EPS, PROB_EPS, uniform_edges
-from .cluster import kmeans_fit
+from .cluster import kmeans_fits
 from .experts import expert_stats_np, fit_experts, stats_length, sum_vectors
 from .quality import BLOCK_ROWS, valid_rows
 from .rank import with_global_rank, with_running_sums
@@ -62,7 +62,7 @@ def fit_grid(train: DataFrame, cfgs: list[joint.JointConfig], x: str = "xb", xf:
     rate, rows = float(positives) / float(n), train.select(label, x, xf)
     balance = "mass" if common.expert_class_weight == "balanced" else None
     ks = sorted({int(c.n_clusters) for c in cfgs})
-    centers = {k: kmeans_fit(train, x, k, common.random_state, common.kmeans_n_init)[0] for k in ks}
+    centers = {k: c for k, (c, _) in zip(ks, kmeans_fits(train, x, ks, common.random_state, common.kmeans_n_init))}
 
     def hard(batch):
         X = batch[x]
