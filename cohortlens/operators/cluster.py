@@ -66,14 +66,15 @@ def _smallest(e: np.ndarray, X: np.ndarray, size: int) -> tuple[np.ndarray, np.n
     return e[first], X[first]
 
 
-def _draw(rows: DataFrame, candidates, sizes: list[int], salts: list[int], turn: int) -> list[np.ndarray]:
-    """For each restart its number of ``sizes`` rows of all, drawn in proportion to the squared distance to its candidates.
+def _draw(rows: DataFrame, candidates, size, turn: int, salts: list[int] | None = None) -> list[np.ndarray]:
+    """For each restart ``size`` rows of all (one number, or one a restart), drawn in proportion to the squared distance to its candidates.
 
     A row's key is an exponential draw over that distance; the rows with the smallest keys are drawn, so a
     partition returns at most that many of them and Arrow tasks merge them in up to two levels. Rows on a
     candidate are not drawn; without candidates all rows weigh the same. Equal ``salts`` draw the same numbers.
     """
     R, spark = len(candidates), rows.sparkSession
+    sizes, salts = [int(n) for n in np.broadcast_to(size, R)], salts or list(range(R))
     width = 64 if spark.sparkContext.defaultParallelism > 256 else 1
 
     def emit(kept):
@@ -128,7 +129,12 @@ def _draw(rows: DataFrame, candidates, sizes: list[int], salts: list[int], turn:
     return [np.array(o, dtype=float) for o in out]
 
 
-def _starts(rows: DataFrame, ks: list[int], seed: int, n_init: int) -> list[np.ndarray]:
+def _starts(rows: DataFrame, k: int, seed: int, n_init: int) -> np.ndarray:
+    """(n_init, k, d) starts of :func:`_starts_of` for one number of clusters."""
+    return np.array(_starts_of(rows, [k], seed, n_init))
+
+
+def _starts_of(rows: DataFrame, ks: list[int], seed: int, n_init: int) -> list[np.ndarray]:
     """For each number of clusters ``n_init`` starts (k, d) from all rows: a few rounds of oversampling by distance,
     then a weighted reduction.
 
@@ -138,12 +144,12 @@ def _starts(rows: DataFrame, ks: list[int], seed: int, n_init: int) -> list[np.n
     """
     own = [(k, r) for k in ks for r in range(n_init)]
     salts = [r for _, r in own]
-    first = _draw(rows, [np.zeros((0, 0))] * n_init, [1] * n_init, list(range(n_init)), 0)
+    first = _draw(rows, [np.zeros((0, 0))] * n_init, 1, 0)
     if not len(first[0]):
         raise ValueError("K-Means needs at least one row")
     candidates = [first[r] for r in salts]
     for turn in range(ROUNDS):
-        drawn = _draw(rows, candidates, [OVERSAMPLING * k for k, _ in own], salts, turn + 1)
+        drawn = _draw(rows, candidates, [OVERSAMPLING * k for k, _ in own], turn + 1, salts)
         candidates = [np.concatenate([c, new]) if len(new) else c for c, new in zip(candidates, drawn)]
     ends = np.cumsum([len(c) for c in candidates])
 
@@ -208,7 +214,7 @@ def kmeans_fits(
     restart that still moves, the sums and sizes of its clusters and its cost, so 30 restarts cost as many
     jobs as one. Only R x K x d numbers reach the driver. A restart stops when its centers move by less than
     ``tol`` times the mean variance; an empty cluster keeps its center. Starts are drawn from all rows
-    (:func:`_starts`) by hashes of ``key`` and coordinates; in a frame without ``key`` equal rows draw
+    (:func:`_starts_of`) by hashes of ``key`` and coordinates; in a frame without ``key`` equal rows draw
     the same number. Centers are renumbered by :func:`renumber`; the cost is that of the training rows.
     """
     ks, n_init = [int(k) for k in ks], max(1, int(n_init))
@@ -216,7 +222,7 @@ def kmeans_fits(
     rows = df.select(
         F.transform(F.col(x), lambda v: v.cast("double")).alias("x"), F.xxhash64(F.lit(int(seed)), *own, F.col(x)).alias("h")
     )
-    centers = _starts(rows, ks, seed, n_init)
+    centers = _starts_of(rows, ks, seed, n_init)
     rows = rows.select("x")
     d = centers[0].shape[1]
 
