@@ -62,7 +62,10 @@ def assign_splits(
     h = F.md5(F.concat(F.lit(str(seed)), F.lit("|"), F.col(key).cast("string")))
     base = df.withColumns({"_stratum": F.coalesce(stratum, F.lit("~null")), "_h": h})
 
-    counts = base.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_ns"))
+    ranked = with_global_rank(base, [("_stratum", True), ("_h", True), (key, True)], rank_col="_grank")
+
+    # counted in the written table of the ranks, so ``df`` is not derived a second time
+    counts = ranked.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_ns"))
     w_all = Window.partitionBy(F.lit(1))  # one row per stratum
     counts = counts.withColumn("_n", F.sum("_ns").over(w_all))
     if two_way:
@@ -83,8 +86,8 @@ def assign_splits(
     counts = counts.withColumn("_off", F.coalesce(F.sum("_ns").over(w_off), F.lit(0))).select(
         "_stratum", "_off", "_a", "_b"
     )
-    ranked = with_global_rank(base, [("_stratum", True), ("_h", True), (key, True)], rank_col="_grank")
-    out = ranked.join(counts, "_stratum")  # one row per stratum; broadcast by Spark if it is small
+    # one row per stratum, which Spark cannot know beforehand: a shuffle by stratum would send a class to one task
+    out = ranked.join(F.broadcast(counts), "_stratum")
     r = F.col("_grank") - F.col("_off")
     split = F.when(r <= F.col("_a"), F.lit(first))
     if second:

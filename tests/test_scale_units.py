@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cohortlens import shared
-from cohortlens.operators import cluster, experts, joint, quality
+from cohortlens.operators import cluster, experts, joint, quality, split
 
 
 def test_dealt_uses_every_core_and_bounds_a_part(spark, monkeypatch):
@@ -85,3 +85,19 @@ def test_silhouette_sends_a_row_to_a_bounded_number_of_blocks(spark):
     b = np.array([d[i, y != y[i]].mean() for i in range(120)])
     got = {r["customer_id"]: r["silhouette"] for r in out.collect()}
     np.testing.assert_allclose([got[i] for i in range(120)], (b - a) / np.maximum(a, b), atol=1e-9)
+
+
+def test_splits_send_no_class_to_one_task(spark):
+    rows = spark.range(0, 4000).select(F.col("id").alias("customer_id"), (F.col("id") % 10 == 0).cast("int").alias("label"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = split.assign_splits(rows)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        table = {(r["split"], r["label"]): r["n"] for r in out.groupBy("split", "label").agg(F.count("*").alias("n")).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert max(sizes) < 2000  # 3,600 rows are of one class
+    assert table == {("test", 0): 720, ("test", 1): 80, ("val", 0): 360, ("val", 1): 40, ("train", 0): 2520, ("train", 1): 280}
