@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cohortlens import shared
-from cohortlens.operators import cluster, experts, joint, quality, split
+from cohortlens.operators import classify, cluster, experts, joint, quality, split
 
 
 def test_dealt_uses_every_core_and_bounds_a_part(spark, monkeypatch):
@@ -101,3 +101,26 @@ def test_splits_send_no_class_to_one_task(spark):
             spark.conf.set(k, v)
     assert max(sizes) < 2000  # 3,600 rows are of one class
     assert table == {("test", 0): 720, ("test", 1): 80, ("val", 0): 360, ("val", 1): 40, ("train", 0): 2520, ("train", 1): 280}
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_score_is_binned_from_one_computation_a_row(spark):
+    scored = spark.createDataFrame([(0.09,), (0.25,), (0.3,), (None,)], "z double").select(F.sqrt("z").alias("p"))
+    for closed, bins in ((False, [1, 2, 2, 0]), (True, [0, 1, 2, 0])):
+        out = scored.select(classify.bin_index(F.col("p"), [0.3, 0.5, 0.9], closed).alias("b"))
+        assert re.search(r"array\(SQRT\(", _optimized(out))  # the element of an array of one, not an operand beside each edge
+        assert [r["b"] for r in out.collect()] == bins
+
+
+def test_a_predicted_response_is_computed_once_a_row(spark):
+    _, _, df = _points(spark, 20)
+    model = lambda w: experts.Expert(coef=np.array([w, 0.5, 0.5, 0.5]))
+    prm = joint.JointParams(pi=np.array([0.5, 0.5]), mu=np.zeros((2, 3)), var=np.ones((2, 3)), experts=[model(0.1234567), model(-1.0)],
+                            global_expert=model(0.0), global_rate=0.25)
+    out = df.select(joint.predict_response(F.col("xb"), F.col("xb"), prm, joint.JointConfig(n_clusters=2)).alias("p"))
+    assert _optimized(out).count("0.1234567") == 1
+    odd = spark.createDataFrame([([float("nan")] * 3,)], "xb array<double>")
+    assert odd.select(joint.predict_response(F.col("xb"), F.col("xb"), prm, joint.JointConfig(n_clusters=2))).first()[0] == 0.25
