@@ -3,11 +3,12 @@
 A document is its set of distinct word shingles. Equal sets are one node, so copies cost nothing. Nodes
 that agree in all minima of a band share a key. A key of two nodes is a candidate pair. In a larger key
 all nodes are compared with the smallest one. If its nodes are then still in several components, those
-that have too much text of their own to be linked with anything leave, and more and more of the others,
-chosen by a hash, are compared with the nodes outside their component, until one component is left or
-every node has been compared: all links count, and no group is turned into pairs that its components
-already settle. Candidates are checked by their signatures and then by their full sets, so every link is
-exact; what banding can miss is bounded by ``miss_bound``, the signature check allows for SLACK deviations.
+that have too much text of their own to be linked with anything leave, and the others are compared with
+the node nearest to what they share. If several components are left after that, the nodes outside the
+key's largest component meet all its nodes in blocks of bounded size, where products of the sets' incidence
+matrices count what each two have in common: all links count, and no group is turned into a table of pairs.
+Candidate pairs are checked by their signatures and then by their full sets, blocks by the full sets alone, so
+every link is exact; what banding can miss is bounded by ``miss_bound``, the signature check allows for SLACK deviations.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ ROWS = 5
 SEED = 13
 #: Standard deviations by which the share of equal minima may stay below the threshold.
 SLACK = 6
-#: Nodes of a crowded key that are compared with the others after its head; GROWTH times as many in each further round.
-CENTRES = 64
-GROWTH = 16
+#: Nodes, and shingles of all of them, that a side of a block may be expected to hold.
+BLOCK_NODES = 1024
+BLOCK_SHINGLES = 1 << 19
+#: Shingles that are columns of the incidence matrices at the same time.
+_COLUMNS = 2048
 _WORDS = 1 << 19
 _SHINGLES = 512
 
@@ -133,6 +136,11 @@ def band_keys(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    """``node``: the nodes of the pairs (a, b), once each."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
 def alike(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) of nodes with at least ``least`` equal minima."""
     def run(batches):
@@ -140,8 +148,11 @@ def alike(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
             left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(batch.num_rows, -1) for c in (2, 3))
             yield batch.select(["a", "b"]).filter(pa.array((left == right).sum(axis=1) >= least))
 
-    with_sigs = pairs.join(nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b").join(
-        nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a"
+    # signatures of nodes without a pair are not shuffled
+    hashes = pairs.select(F.xxhash64("a").alias("_h")).unionByName(pairs.select(F.xxhash64("b").alias("_h")))
+    maybe = may_contain(nodes.withColumn("_h", F.xxhash64("node")), "_h", membership_bitmap(hashes, "_h"), "_maybe").filter("_maybe")
+    with_sigs = pairs.join(maybe.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b").join(
+        maybe.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a"
     )
     return with_sigs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
@@ -160,10 +171,8 @@ def shingle_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return maybe.select("node", "text").join(wanted.select("node"), "node", "left_semi").mapInArrow(run, "node long, own array<bigint>")
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are at least ``percent`` alike."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = written(shingle_sets(rows, wanted, width), "minhash-sets")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets, all in ``sets``, are at least ``percent`` alike."""
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("own").alias("own_b")), "b").join(
         sets.select(F.col("node").alias("a"), F.col("own").alias("own_a")), "a"
     )
@@ -171,70 +180,119 @@ def confirmed(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
     return shared.filter(F.col("shared") * 100 >= percent * (F.col("sizes") - F.col("shared"))).select("a", "b")
 
 
-def shared_sizes(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``node, n, shared``: set sizes, and how many of a node's shingles another node of ``wanted`` has too."""
-    sets = written(shingle_sets(rows, wanted, width), "minhash-open-sets")
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """``node, n, shared``: set sizes, and how many of a node's shingles another node of ``sets`` has too."""
     alone = sets.select("node", F.explode("own").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).filter("times = 1")
     own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
     sized = sets.select("node", F.size("own").cast("long").alias("n")).join(own, "node", "left")
     return sized.select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``left`` has in common with each of ``right``."""
+    counts = np.zeros((len(left), len(right)), dtype=np.int64)
+    values = [np.concatenate(side) for side in (left, right)]
+    places = [np.repeat(np.arange(len(side)), [len(own) for own in side]) for side in (left, right)]
+    both = np.intersect1d(*values)
+    kept = [np.isin(v, both) for v in values]
+    columns = [np.searchsorted(both, v[k]) for v, k in zip(values, kept)]
+    places = [p[k] for p, k in zip(places, kept)]
+    for at in range(0, len(both), _COLUMNS):
+        ones = []
+        for side, column, place in zip((left, right), columns, places):
+            here = (column >= at) & (column < at + _COLUMNS)
+            ones.append(np.zeros((len(side), min(_COLUMNS, len(both) - at)), dtype=np.float32))
+            ones[-1][place[here], column[here] - at] = 1
+        counts += (ones[0] @ ones[1].T).astype(np.int64)
+    return counts
+
+
+def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of each key; ``members`` has ``key, node, component, n``.
+
+    In each key the nodes outside its largest component (the left side) are compared with all its nodes (the right
+    side). Both sides are dealt into blocks by a hash, and each left block meets each right one in a task, so no task
+    holds a key whole. Of the links of a node with a component one is returned.
+    """
+    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
+    blocks = lambda size, total: F.ceil(F.greatest(size / BLOCK_NODES, total / BLOCK_SHINGLES, F.lit(1)))
+    keys = sizes.groupBy("key").agg(F.max(F.struct("size", "component", "total")).alias("main"), F.sum("size").alias("size"), F.sum("total").alias("total"))
+    keys = keys.select(
+        "key", F.col("main.component").alias("main"), blocks(F.col("size"), F.col("total")).alias("n_right"),
+        blocks(F.col("size") - F.col("main.size"), F.col("total") - F.col("main.total")).alias("n_left"),
+    )
+    unit = F.pmod(F.xxhash64("node"), F.lit(1 << 31)) / float(1 << 31)
+    dealt = members.join(keys, "key").select(
+        "key", "node", "component", (F.col("component") != F.col("main")).alias("asked"), "n_left", "n_right",
+        F.floor(F.col("n_left") * unit).alias("in_left"), F.floor(F.col("n_right") * unit).alias("in_right"),
+    ).join(sets.select("node", "own"), "node")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = dealt.filter("asked").select("key", "node", "component", "own", F.lit(True).alias("left"), F.col("in_left").alias("i"), each("n_right").alias("j"))
+    right = dealt.select("key", "node", "component", "own", F.lit(False).alias("left"), each("n_left").alias("i"), F.col("in_right").alias("j"))
+
+    def run(block: pa.Table) -> pa.Table:
+        is_left = block.column("left").to_numpy()
+        node, component = block.column("node").to_numpy(), block.column("component").to_numpy()
+        own = block.column("own").combine_chunks()
+        values, at = own.values.to_numpy(), own.offsets.to_numpy()
+        a, b = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+        n, found = np.diff(at), ([], [])
+        if len(a) and len(b):
+            shared = common([values[at[x]:at[x + 1]] for x in a], [values[at[x]:at[x + 1]] for x in b])
+            linked = (shared * 100 >= percent * (n[a][:, None] + n[b] - shared)) & (component[a][:, None] != component[b])
+            x, y = np.nonzero(linked)
+            _, once = np.unique(np.stack([x, component[b][y]]), axis=1, return_index=True)
+            found = (node[a][x[once]], node[b][y[once]])
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    return left.unionByName(right).groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def node_components(rows: DataFrame, nodes: DataFrame, percent: int, width: int, bands: int, rows_: int) -> DataFrame:
     """``node, component`` of every node that has a link."""
     least = least_equal(percent, bands * rows_)
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        near = written(alike(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), nodes, least), "minhash-alike")
-        return written(confirmed(near, rows, percent, width), "minhash-links")
+    def candidates(pairs: DataFrame) -> DataFrame:
+        ordered = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return written(alike(written(ordered, "minhash-pairs"), nodes, least), "minhash-alike")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return written(shingle_sets(rows, wanted, width), "minhash-sets")
+
+    def joined(found: DataFrame, links: DataFrame) -> DataFrame:
+        links = written(links, "minhash-links")
+        return found if links.isEmpty() else components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
 
     def unsettled(members: DataFrame) -> DataFrame:
         """The members of keys whose nodes are in several components."""
         named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-        return named.join(split, "key")
+        return written(named.join(split, "key"), "minhash-open")
 
     keys = band_keys(nodes, bands, rows_)
     met = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b")).filter("size > 1"), "minhash-keys")
     crowded = written(keys.join(met.filter("size > 2").select("key", F.col("a").alias("first")), "key"), "minhash-crowded")
-    links = linked(met.filter("size = 2").select("a", "b").unionByName(crowded.select(F.col("first").alias("a"), F.col("node").alias("b"))))
-    found = components(links)
-    members = written(unsettled(crowded).drop("component"), "minhash-open")
+    near = candidates(met.filter("size = 2").select("a", "b").unionByName(crowded.select(F.col("first").alias("a"), F.col("node").alias("b"))))
+    found = components(written(confirmed(near, sets_of(ends(near)), percent), "minhash-links"))
+    members = unsettled(crowded).drop("component")
     if members.isEmpty():
         return found
     # Two sets have at most the smaller of their ``shared`` shingles in common. That settles most nodes of a family
     # that are linked with nothing: too much of their text is theirs alone.
     in_reach = lambda shared, sizes: shared * 100 >= percent * (sizes - shared)
-    members = written(members.join(shared_sizes(rows, members.select("node").distinct(), width), "node"), "minhash-open")
+    sets = sets_of(members.select("node").distinct())
+    members = written(members.join(shared_sizes(sets), "node"), "minhash-open")
     smallest = members.groupBy("key").agg(F.min("n").alias("n_least"))
     members = members.join(smallest, "key").filter(in_reach(F.col("shared"), F.col("n") + F.col("n_least")))
     members = written(members.filter("node <> first").select("key", "node", "n", "shared"), "minhash-open")
     # The node with the largest shared part is near the text that a family has in common: it is compared with all.
-    share = F.struct((F.col("shared") / F.col("n")).alias("share"), F.col("node"), F.col("n"), F.col("shared"))
-    heads = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max(share).alias("head")).filter("size > 1")
-    # A pair that meets in several keys is compared in the smallest of them: members carry all their keys.
-    carried = members.join(heads.select("key"), "key", "left_semi").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # at most one a band
-    early = F.pmod(F.xxhash64("node"), F.lit(1 << 31)) / float(1 << 31)  # the same nodes are early in all their keys
-    members = written(
-        members.join(heads, "key").join(carried, "node").withColumn("turn", F.floor(F.col("size") * early))
-        .withColumn("turn", F.when(F.col("node") == F.col("head.node"), -1).otherwise(F.col("turn"))).drop("size", "head"),
-        "minhash-open",
-    )
-    once = F.array_min(F.array_intersect("keys", "keys_a")) == F.col("key")
-    before, centres = -1, 0
-    while True:
-        open_ = written(unsettled(members).filter(F.col("turn") >= before), "minhash-open")
-        if open_.isEmpty():
-            return found
-        asked = open_.filter(F.col("turn") < centres).select(
-            "key", F.col("keys").alias("keys_a"), *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "shared")]
-        )
-        possible = (F.col("component") != F.col("component_a")) & in_reach(F.least("shared", "shared_a"), F.col("n") + F.col("n_a"))
-        first_turn = F.lit(True) if before < 0 else once  # each key has a head of its own
-        more = linked(open_.join(asked, "key").filter(possible & first_turn).select(F.col("node_a").alias("a"), F.col("node").alias("b")))
-        if not more.isEmpty():
-            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-        before, centres = centres, max(CENTRES, GROWTH * centres)
+    open_ = unsettled(members)
+    share = F.struct((F.col("shared") / F.col("n")).alias("share"), *[F.col(c) for c in ("node", "component", "n", "shared")])
+    heads = open_.groupBy("key").agg(F.max(share).alias("head"))
+    possible = (F.col("component") != F.col("head.component")) & in_reach(F.least("shared", "head.shared"), F.col("n") + F.col("head.n"))
+    near = candidates(open_.join(heads, "key").filter(possible).select(F.col("head.node").alias("a"), F.col("node").alias("b")))
+    found = joined(found, confirmed(near, sets, percent))
+    return joined(found, block_links(unsettled(members).select("key", "node", "component", "n"), sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -139,6 +139,52 @@ def test_crowded_keys_of_several_components(spark):
     assert len({r[2] for r in have}) >= 12
 
 
+def test_shared_counts_of_two_lists_of_sets(monkeypatch):
+    monkeypatch.setattr(minhash, "_COLUMNS", 7)
+    rng = np.random.default_rng(3)
+    left, right = ([np.unique(rng.integers(-60, 60, rng.integers(1, 50))) for _ in range(n)] for n in (5, 9))
+    assert minhash.common(left, right).tolist() == [[len(set(x) & set(y)) for y in right] for x in left]
+
+
+def test_blocks_find_what_joins_components(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 3)
+    rnd = random.Random(2)
+    sets = {i: set(rnd.sample(range(24), 20)) for i in range(30)}
+    component = {i: 0 if i < 12 else i for i in sets}
+    members = spark.createDataFrame([(7, i, component[i], len(s)) for i, s in sets.items()], "key long, node long, component long, n long")
+    own = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "node long, own array<bigint>")
+    got_links = [tuple(r) for r in minhash.block_links(members, own, 75).collect()]
+    linked = lambda a, b: component[a] != component[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    want, have = Forest(), Forest()
+    for a in sets:
+        for b in sets:
+            if linked(a, b):
+                want.link(a, b)
+    assert got_links and all(linked(a, b) for a, b in got_links)
+    for a, b in got_links:
+        have.link(a, b)
+    for a in range(12):  # a component is one already
+        want.link(0, a)
+        have.link(0, a)
+    assert [want.find(i) for i in sets] == [have.find(i) for i in sets]
+
+
+def test_near_copies_without_links_are_no_table_of_pairs(spark, monkeypatch):
+    """Each has 92 of 100 shingles in common with the others' core: too much to leave, too little for links."""
+    rnd = random.Random(5)
+    core, rows = [f"c{i}" for i in range(204)], []
+    for i in range(300):
+        own = list(core)
+        for at in rnd.sample(range(5, 200, 10), 3):
+            own[at] = f"o{i}x{at}"
+        rows.append((i, " ".join(own)))
+    asked, alike = [], minhash.alike
+    monkeypatch.setattr(minhash, "alike", lambda pairs, *a: asked.append(pairs.count()) or alike(pairs, *a))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(minhash.near_duplicates(df)) == brute(rows)
+    assert sum(asked) < 40 * len(rows)  # of 44,850 pairs
+
+
 def test_whole_table(spark):
     from conftest import MID
 
