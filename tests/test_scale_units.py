@@ -1,12 +1,14 @@
 """Steps that many passes share: dealing of rows, fits side by side, kernels, blocks of the silhouette."""
 
 import re
+from types import SimpleNamespace
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from cohortlens import shared
 from cohortlens.operators import classify, cluster, experts, joint, quality, split
+from cohortlens.plans import frames
 
 
 def test_dealt_uses_every_core_and_bounds_a_part(spark, monkeypatch):
@@ -18,6 +20,22 @@ def test_dealt_uses_every_core_and_bounds_a_part(spark, monkeypatch):
     assert shared.dealt(one.limit(50)).rdd.getNumPartitions() == 1
 
 
+def test_no_part_of_a_model_frame_grows_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(shared, "PART_ROWS", (100, 500))
+    number = F.col("id").cast("double")
+    columns = [number.alias(n) for n in ("recency", "frequency", "monetary")]
+    one = spark.range(0, 20_000, 1, 1).select(F.col("id").alias("customer_id"), F.lit("train").alias("split"), F.lit(0).alias("label"), *columns)
+    names = SimpleNamespace(behavior_feature_names=["recency"], all_feature_names=["recency", "frequency"])
+    monkeypatch.setattr(frames, "transformed", lambda *a, **k: (one, names))
+    frame, _ = frames.model_frame(spark, "")
+    try:
+        parts = frame.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum("customer_id").alias("ids")).collect()
+    finally:
+        frame.unpersist()
+    assert len(parts) == 40 and max(r["n"] for r in parts) <= 540
+    assert sum(r["n"] for r in parts) == 20_000 and sum(r["ids"] for r in parts) == 20_000 * 19_999 // 2
+
+
 def _points(spark, n=240):
     g = np.random.default_rng(3)
     X = g.normal(size=(n, 3)) + 4.0 * g.integers(0, 4, size=(n, 1))
