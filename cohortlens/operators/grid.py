@@ -3,7 +3,8 @@
 ``fit_grid`` runs the EM of :mod:`joint` for all settings side by side. Settings of one K share the K-Means
 start and its experts; the global expert does not depend on the setting and is fitted once. A pass over
 the rows carries the parameters of every live setting and returns their statistics as one vector, and the
-Newton passes fit the experts of all live settings together. A setting leaves when it has converged.
+Newton passes fit the experts of all live settings together. A setting leaves when it has converged. Inside
+a pass the components of all settings lie side by side, so densities, moments and Hessians are matrix products.
 
 ``evaluate_grid`` scores all settings in one pass, writes the scores, and reads every metric of the record
 off a fixed number of passes, whatever the number of settings. The distances of the Euclidean silhouette
@@ -24,11 +25,12 @@ from ..shared import written
 from . import joint
 from .classify import ECE_EPS, PROB_EPS, uniform_edges
 from .cluster import kmeans_fits
-from .experts import expert_stats_np, fit_experts, stats_length, sum_vectors
-from .quality import BLOCK_ROWS, valid_rows
+from .experts import fit_experts, kept, stats_length, sum_vectors
+from .quality import BLOCK_ROWS, MEETINGS, MOST_ROWS, distances_from, distances_to, tiles, valid_rows
 from .rank import with_global_rank, with_running_sums
 
 ECE_BINS = 10
+PRODUCT_ROWS = 512  # rows whose products of two features are formed at once
 #: What all settings of a grid have in common, since their fits share starts and passes.
 SHARED = ("random_state", "kmeans_n_init", "expert_class_weight", "logreg_C", "use_global_expert", "max_iter", "covariance_reg")
 
@@ -48,6 +50,137 @@ def _coefs(experts, D: int) -> np.ndarray:
     return np.stack([e.coef if e.coef is not None else np.zeros(D + 1) for e in experts])
 
 
+class _Beside:
+    """The components of several settings, one after the other, as matrices for products with the rows.
+
+    Rows and means are taken from ``origin``, a point among the means, so that products lose no digits far from zero.
+    """
+
+    def __init__(self, prms: list, cfgs: list, origin: np.ndarray):
+        self.starts, self.origin = np.cumsum([0, *(len(p.pi) for p in prms)]), origin
+        scale, add = [], []
+        for p, c in zip(prms, cfgs):
+            d, log_pi = p.mu.shape[1], np.log(np.clip(p.pi, joint.LOG_EPS, 1.0))
+            if c.gating_type == "soft_kmeans":
+                scale.append(np.ones_like(p.mu))
+                add.append(log_pi)
+            elif c.covariance_type == "diag":
+                scale.append(0.5 / p.var)
+                add.append(log_pi - 0.5 * (d * math.log(2 * math.pi) + np.log(p.var).sum(1)))
+            else:
+                v = p.var.mean(1)
+                scale.append(np.repeat(0.5 / v[:, None], d, 1))
+                add.append(log_pi - 0.5 * d * (math.log(2 * math.pi) + np.log(v)))
+        s, self.mu = np.concatenate(scale), np.concatenate([p.mu for p in prms]) - origin
+        self.gating, self.add = np.hstack([2 * s * self.mu, -s]), np.concatenate(add) - (s * self.mu ** 2).sum(1)
+        experts = [e for p in prms for e in p.experts]
+        width = next((len(e.coef) for e in experts if e.coef is not None), 1)
+        self.constant = np.array([e.coef is None for e in experts])
+        self.coefs = np.zeros((len(experts), width))
+        for row, e in zip(self.coefs, experts):
+            row[:] = e.coef if e.coef is not None else 0.0
+            if e.coef is None:
+                p = float(np.clip(e.const, joint.P_CLIP, 1 - joint.P_CLIP))
+                row[0] = math.log(p / (1 - p))
+        own = [c for p, c in zip(prms, cfgs) for _ in p.experts]
+        self.lam, self.temperature = (np.array([[getattr(c, f)] for c in own], dtype=float) for f in ("lambda_", "temperature"))
+
+    def logits(self, rows: "_Sorted", eta: np.ndarray, soft: np.ndarray) -> np.ndarray:
+        """(components, rows) tempered logits of the E-step."""
+        out = rows.y * eta
+        out -= soft
+        np.clip(out, math.log(joint.P_CLIP), math.log1p(-joint.P_CLIP), out=out)
+        odd = np.flatnonzero((rows.y != 0) & (rows.y != 1))
+        if len(odd):
+            e = np.clip(eta[:, odd], -math.log(1 / joint.P_CLIP - 1), math.log(1 / joint.P_CLIP - 1))
+            out[:, odd] = rows.y[odd] * e - np.logaddexp(0.0, e)
+        out *= self.lam
+        out += self.gating @ rows.squares
+        out += self.add[:, None]
+        out /= self.temperature
+        return out
+
+    def eta(self, rows: "_Sorted") -> np.ndarray:
+        return self.coefs[:, :1] + self.coefs[:, 1:] @ rows.Z1[:, 1:self.coefs.shape[1]].T
+
+    def segments(self):
+        return zip(self.starts[:-1], self.starts[1:])
+
+
+class _Sorted:
+    """The rows of a chunk in the order of their labels, so that a class is a slice."""
+
+    def __init__(self, batch, x: str, xf: str, label: str, origin: np.ndarray):
+        y = batch[label].to_numpy(float)
+        order = np.argsort(y, kind="stable")
+        X, Z = batch[x][order] - origin, batch[xf][order]
+        self.X, self.y, self.Z1 = X, y[order], np.hstack([np.ones((len(y), 1)), Z])
+        self.squares = np.vstack([X.T, np.square(X.T)])
+
+    def classes(self):
+        for c in (0, 1):
+            a, b = np.searchsorted(self.y, [c, c], "left")[0], np.searchsorted(self.y, c, "right")
+            if b > a:
+                yield c, slice(a, b)
+
+
+def _softplus(eta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``exp(-|eta|)`` and, with it, ``ln(1 + exp(eta))``."""
+    small = np.exp(-np.abs(eta))
+    return small, np.maximum(eta, 0.0) + np.log1p(small)
+
+
+def _sigmoid(eta: np.ndarray, small: np.ndarray) -> np.ndarray:
+    return np.where(eta >= 0, 1.0, small) / (1.0 + small)
+
+
+def _largest(logits: np.ndarray) -> np.ndarray:
+    """Number of the first largest of each column."""
+    best, at = logits[0].copy(), np.zeros(logits.shape[1], np.int32)
+    for k in range(1, len(logits)):
+        at[logits[k] > best] = k
+        np.maximum(best, logits[k], out=best)
+    return at
+
+
+def _to_shares(logits: np.ndarray, side: _Beside) -> np.ndarray:
+    """Softmax of the components of each setting, in place; the sum of the log-sum-exps of each."""
+    out = []
+    for a, b in side.segments():
+        part = logits[a:b]
+        top = part.max(0)
+        part -= top
+        np.exp(part, out=part)
+        total = part.sum(0)
+        out.append((top + np.log(total)).sum())
+        part /= np.maximum(total, joint.LOG_EPS)
+    return np.array(out)
+
+
+def _expert_sums(rows: _Sorted, W: np.ndarray, eta: np.ndarray, p: np.ndarray, soft: np.ndarray) -> np.ndarray:
+    """(experts, 2, L) as :func:`experts.expert_stats_np`, for weights (experts, rows): products of features serve all experts."""
+    D1 = rows.Z1.shape[1]
+    out = np.zeros((len(W), 2, stats_length(D1 - 1)))
+    products = np.empty((D1 * (D1 + 1) // 2, PRODUCT_ROWS))
+    for c, at in rows.classes():
+        Z, w, prob = rows.Z1[at], W[:, at], p[:, at]
+        out[:, c, :D1] = (w * (prob - c)) @ Z
+        curve = w * prob
+        curve *= 1.0 - prob
+        H = np.zeros((len(W), len(products)))
+        for i in range(0, len(Z), PRODUCT_ROWS):
+            part = np.ascontiguousarray(Z[i:i + PRODUCT_ROWS].T)
+            first, n = 0, part.shape[1]
+            for f in range(D1):  # rows of the upper triangle
+                np.multiply(part[f], part[f:], out=products[first:first + D1 - f, :n])
+                first += D1 - f
+            H += curve[:, i:i + n] @ products[:, :n].T
+        out[:, c, D1:-2] = H
+        out[:, c, -2] = (w * (soft[:, at] - c * eta[:, at])).sum(1)
+        out[:, c, -1] = w.sum(1)
+    return out
+
+
 def fit_grid(train: DataFrame, cfgs: list[joint.JointConfig], x: str = "xb", xf: str = "xf", label: str = "label") -> list[tuple[joint.JointParams, dict]]:
     """``(params, trace)`` of every setting, as ``joint.fit_joint`` gives them one by one (up to rounding).
 
@@ -59,7 +192,7 @@ def fit_grid(train: DataFrame, cfgs: list[joint.JointConfig], x: str = "xb", xf:
     first = train.select(F.size(x).alias("d"), F.size(xf).alias("D")).first()
     d, D = first["d"], first["D"]
     n, positives = train.agg(F.count(F.lit(1)), F.sum(F.col(label).cast("double"))).first()
-    rate, rows = float(positives) / float(n), train.select(label, x, xf)
+    rate = float(positives) / float(n)
     balance = "mass" if common.expert_class_weight == "balanced" else None
     ks = sorted({int(c.n_clusters) for c in cfgs})
     centers = {k: c for k, (c, _) in zip(ks, kmeans_fits(train, x, ks, common.random_state, common.kmeans_n_init))}
@@ -69,6 +202,16 @@ def fit_grid(train: DataFrame, cfgs: list[joint.JointConfig], x: str = "xb", xf:
         near = [np.eye(k)[np.argmin(((X[:, None, :] - centers[k][None, :, :]) ** 2).sum(2), 1)] for k in ks]
         return np.hstack([*near, np.ones((len(X), 1))])
 
+    origin = np.concatenate([centers[k] for k in ks]).mean(0)
+    with kept(train.select(label, x, xf)) as rows:
+        current, previous, traces = _fitted(train, rows, cfgs, common, centers, hard, ks, n, d, D, rate, balance, origin, x, xf, label)
+    for prm, old in zip(current, previous):
+        prm.global_rate, prm.last_estep = rate, old
+    return list(zip(current, traces))
+
+
+def _fitted(train, rows, cfgs, common, centers, hard, ks, n, d, D, rate, balance, origin, x, xf, label):
+    """Parameters after the last iteration, those of its E-step, and the trace of every setting."""
     fitted = fit_experts(rows, hard, sum(ks) + 1, D, common.logreg_C, balance, rate, xf=xf, label=label)
     glob, starts, at = (fitted[-1] if common.use_global_expert else None), {}, 0
     for k in ks:
@@ -88,34 +231,60 @@ def fit_grid(train: DataFrame, cfgs: list[joint.JointConfig], x: str = "xb", xf:
         now, before, own = [current[s] for s in live], [previous[s] for s in live], [cfgs[s] for s in live]
         init = [e for prm in now for e in prm.experts]
         B0, L = _coefs(init, D), stats_length(D)
-
-        def responsibilities(batch):
-            return [joint.estep_np(batch[x], batch[xf], batch[label].to_numpy(float), prm, cfg) for prm, cfg in zip(now, own)]
+        side = _Beside(now, own, origin)
+        past = None if before[0] is None else _Beside(before, own, origin)  # all live settings have had the same number of iterations
+        A, S = len(init), len(live)
 
         def kernel(batch):
-            X, y = batch[x], batch[label].to_numpy(float)
-            out, Q = [], []
-            for (q, lse), prm, old, cfg in zip(responsibilities(batch), now, before, own):
-                moved = np.argmax(q, 1) != joint._prev_assign(X, batch[xf], y, old, centers[int(cfg.n_clusters)], cfg, hard=False)
-                diff = X[:, None, :] - prm.mu[None, :, :]
-                out += [q.sum(0), np.einsum("nk,nkd->kd", q, diff).ravel(), np.einsum("nk,nkd->kd", q, diff * diff).ravel(),
-                        (q * y[:, None]).sum(0), [lse.sum(), float(moved.sum())]]
-                Q.append(q)
-            return np.concatenate([*out, expert_stats_np(batch[xf], y, np.hstack(Q), B0).ravel()])
-
-        widths = [int(c.n_clusters) * (2 + 2 * d) + 2 for c in own]
-        v = sum_vectors(rows, kernel, sum(widths) + len(init) * 2 * L)
-        gating, at = [], 0
-        for s, prm, cfg, width in zip(live, now, own, widths):
-            K, part = int(cfg.n_clusters), v[at:at + width]
-            stats = {"N": part[:K], "S1": part[K:K + K * d].reshape(K, d), "S2": part[K + K * d:K + 2 * K * d].reshape(K, d)}
-            traces[s]["loglik"].append(part[-2])
-            traces[s]["change_ratio"].append(part[-1] / float(n))
-            gating.append((joint._mstep_gating(train, cfg, prm, stats, n, d, K, it, x, xf, label), stats["N"], part[K + 2 * K * d:-2]))
-            at += width
+            r = _Sorted(batch, x, xf, label, origin)
+            eta = side.eta(r)
+            small, soft = _softplus(eta)
+            p, Q = _sigmoid(eta, small), side.logits(r, eta, soft)
+            if past is not None:
+                e = past.eta(r)
+                was = past.logits(r, e, _softplus(e)[1])
+            moved = np.zeros(S)
+            for i, (a, b) in enumerate(side.segments()):
+                z = _largest(was[a:b]) if past is not None else joint._prev_assign(r.X + origin, None, None, None, centers[b - a], None, hard=False)
+                moved[i] = (_largest(Q[a:b]) != z).sum()
+            loglik = _to_shares(Q, side)
+            moments = Q @ np.hstack([np.ones((len(r.y), 1)), r.y[:, None], r.X, r.X * r.X])
+            eta[side.constant], p[side.constant], soft[side.constant] = 0.0, 0.5, math.log(2.0)  # as fit_experts starts from there
+            return np.concatenate([moments.ravel(), loglik, moved, _expert_sums(r, Q, eta, p, soft).ravel()])
+
+        v = sum_vectors(rows, kernel, A * (2 + 2 * d) + 2 * S + A * 2 * L)
+        moments, ends = v[:A * (2 + 2 * d)].reshape(A, -1), v[A * (2 + 2 * d):A * (2 + 2 * d) + 2 * S].reshape(2, S)
+        N, mu = moments[:, :1], side.mu
+        S1 = moments[:, 2:2 + d] - N * mu
+        S2 = moments[:, 2 + d:] - 2 * mu * moments[:, 2:2 + d] + N * mu * mu
+        gating = []
+        for i, (s, prm, cfg, (a, b)) in enumerate(zip(live, now, own, side.segments())):
+            stats = {"N": moments[a:b, 0], "S1": S1[a:b], "S2": S2[a:b]}
+            traces[s]["loglik"].append(ends[0, i])
+            traces[s]["change_ratio"].append(ends[1, i] / float(n))
+            gating.append((joint._mstep_gating(train, cfg, prm, stats, n, d, int(cfg.n_clusters), it, x, xf, label), stats["N"], moments[a:b, 1]))
+        owner = np.repeat(np.arange(S), np.diff(side.starts))
+
+        def newton(rows, cols, B):
+            """Only the settings of the experts that still move take part."""
+            some = np.unique(owner[cols])
+            part = _Beside([now[i] for i in some], [own[i] for i in some], origin)
+            place = {e: j for j, e in enumerate(np.flatnonzero(np.isin(owner, some)))}
+            at = np.array([place[e] for e in cols])
+
+            def sums(batch):
+                r = _Sorted(batch, x, xf, label, origin)
+                eta = part.eta(r)
+                Q = part.logits(r, eta, _softplus(eta)[1])
+                _to_shares(Q, part)
+                eta = B @ r.Z1.T
+                small, soft = _softplus(eta)
+                return _expert_sums(r, Q[at], eta, _sigmoid(eta, small), soft).ravel()
+
+            return sum_vectors(rows, sums, len(cols) * 2 * L).reshape(len(cols), 2, L)
+
         # the first Newton statistics of all live experts came out of the pass above
-        experts = fit_experts(rows, lambda batch: np.hstack([q for q, _ in responsibilities(batch)]), len(init), D, common.logreg_C, balance, rate,
-                              xf=xf, label=label, init=init, first=v[at:].reshape(len(init), 2, L))
+        experts = fit_experts(rows, None, A, D, common.logreg_C, balance, rate, xf=xf, label=label, init=init, first=v[-A * 2 * L:].reshape(A, 2, L), stats=newton)
         at, still = 0, []
         for s, prm, cfg, ((pi, mu, var), N, pos) in zip(live, now, own, gating):
             K = int(cfg.n_clusters)
@@ -126,9 +295,7 @@ def fit_grid(train: DataFrame, cfgs: list[joint.JointConfig], x: str = "xb", xf:
             if traces[s]["change_ratio"][-1] >= cfg.tol:
                 still.append(s)
         live = still
-    for prm, old in zip(current, previous):
-        prm.global_rate, prm.last_estep = rate, old
-    return list(zip(current, traces))
+    return current, previous, traces
 
 
 def score_grid(df: DataFrame, fits: list, cfgs: list[joint.JointConfig], key: str = "customer_id", x: str = "xb", xf: str = "xf", label: str = "label") -> DataFrame:
@@ -226,18 +393,15 @@ def _order_metrics(scored: DataFrame, settings: int, top_frac: float, key: str)
 def silhouettes(df: DataFrame, ks: list[int], sizes: list[np.ndarray], key: str = "customer_id", block_rows: int = BLOCK_ROWS) -> np.ndarray:
     """The exact Euclidean silhouette of every setting, for rows ``key, x, clusters`` (a segment per setting).
 
-    Rows are gathered in hash blocks. A task takes one block after the other through all blocks and keeps,
-    for its rows, the distance sums to the segments of all settings; it returns one vector of sums.
+    Rows fall into hash blocks as in :func:`quality.silhouette_euclidean_rows` and are sent to every block. A
+    task keeps, for the rows of its block, the distance sums to the segments of all settings, while the other
+    rows stream past; it returns one vector of sums.
     """
-    n_blocks = max(1, -(-int(sizes[0].sum()) // int(block_rows)))
-    blocks = (
-        df.select(F.pmod(F.xxhash64(key), F.lit(n_blocks)).cast("int").alias("block"), "x", "clusters")
-        .groupBy("block").agg(F.collect_list(F.struct("x", "clusters")).alias("s"))
-        .select("block", F.flatten("s.x").alias("x"), F.flatten("s.clusters").alias("c"))
-    )
-    others = blocks.select(F.col("block").alias("other"), F.col("x").alias("x2"), F.col("c").alias("c2"))
-    meets = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(others, "other")
-    dealt = meets.repartition(n_blocks, "block").sortWithinPartitions("block").select("block", "other", "x", "c", "x2", "c2")
+    n = int(sizes[0].sum())
+    n_blocks = max(1, min(-(-n // int(block_rows)), MEETINGS), -(-n // MOST_ROWS))
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(n_blocks)).cast("int").alias("block"), F.transform("x", lambda v: v.cast("double")).alias("x"), "clusters")
+    sent = rows.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).select("to", (F.col("to") != F.col("block")).alias("away"), "x", "clusters")
+    dealt = sent.repartition(4 * n_blocks, "to").sortWithinPartitions("to", "away")  # a block's own rows come first
     settings, starts = len(ks), np.cumsum([0, *ks])
 
     def sum_of(total: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -253,26 +417,44 @@ def silhouettes(df: DataFrame, ks: list[int], sizes: list[np.ndarray], key: str
             out[s] = np.where(ok, (b - a) / np.where(ok, most, 1.0), 0.0).sum()
         return out
 
+    def meet(sides: np.ndarray, total: np.ndarray, X: np.ndarray, labels: np.ndarray, same: bool) -> None:
+        right = distances_to(X)
+        for j, b in tiles(len(X)):
+            member = np.zeros((b - j, starts[-1]))
+            member[np.arange(b - j)[:, None], starts[:-1][None, :] + labels[j:b]] = 1.0
+            for i, a in tiles(len(sides)):
+                total[i:a] += distances_from(sides[i:a], right[j:b], i == j if same else False) @ member
+
     def run(batches):
-        done, at, total, labels = np.zeros(settings), None, None, None
+        done, at, own, open_ = np.zeros(settings), None, [], None
+
+        def opened():
+            X, labels = (np.concatenate(c) for c in zip(*own))
+            sides, total = distances_to(X, True), np.zeros((len(X), starts[-1]))
+            meet(sides, total, X, labels, True)
+            return sides, total, labels
+
         for batch in batches:
-            c = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            for r in range(batch.num_rows):
-                block, same = c["block"][r].as_py(), c["block"][r].as_py() == c["other"][r].as_py()
-                l1, l2 = (c[n][r].values.to_numpy().reshape(-1, settings) for n in ("c", "c2"))
-                a, b = (c[n][r].values.to_numpy().reshape(len(m), -1) for n, m in (("x", l1), ("x2", l2)))
-                if block != at:
-                    if total is not None:
-                        done += sum_of(total, labels)
-                    at, total, labels = block, np.zeros((len(l1), starts[-1])), l1
-                sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-                if same:
-                    np.fill_diagonal(sq, 0.0)
-                member = np.zeros((len(l2), starts[-1]))
-                member[np.arange(len(l2))[:, None], starts[:-1][None, :] + l2] = 1.0
-                total += np.sqrt(np.clip(sq, 0.0, None)) @ member
-        if total is not None:
-            done += sum_of(total, labels)
+            if not batch.num_rows:
+                continue
+            to, away = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            X, Z = (batch.column(c).flatten().to_numpy().reshape(len(to), -1) for c in (2, 3))
+            cuts = [0, *(np.flatnonzero(np.diff(to)) + 1), len(to)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if to[a] != at:
+                    if own:
+                        open_ = open_ or opened()
+                        done += sum_of(open_[1], open_[2])
+                    at, own, open_ = to[a], [], None
+                mid = a + int((~away[a:b]).sum())
+                if mid > a:
+                    own.append((X[a:mid], Z[a:mid]))
+                if b > mid and own:
+                    open_ = open_ or opened()
+                    meet(open_[0], open_[1], X[mid:b], Z[mid:b], False)
+        if own:
+            open_ = open_ or opened()
+            done += sum_of(open_[1], open_[2])
         yield pa.RecordBatch.from_arrays([pa.array(range(settings), pa.int32()), pa.array(done)], ["setting", "s"])
 
     sums = dealt.mapInArrow(run, "setting int, s double").groupBy("setting").agg(F.sum("s").alias("s")).collect()  # a row a setting

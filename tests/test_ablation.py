@@ -1,10 +1,11 @@
 """The ablation grid: settings fitted and evaluated side by side give what each gives alone."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.operators import experts, grid, joint
+from cohortlens.operators import experts, grid, joint, quality
 from cohortlens.plans import jobs
 
 
@@ -68,3 +69,61 @@ def test_vectors_add_up_in_parts(spark, monkeypatch):
     got = experts.sum_vectors(df, lambda rows: np.full(length, rows["v"].sum()), length)
     assert got.shape == (length,) and np.all(got == 999 * 500)
     assert not experts.sum_vectors(df.limit(0), lambda rows: np.ones(length), length).any()
+
+
+def _chunk(n=700, seed=2):
+    g = np.random.default_rng(seed)
+    return g.normal(size=(n, 3)) + 5.0, g.normal(size=(n, 4)), (g.random(n) < 0.3).astype(float)
+
+
+def _settings():
+    g, out = np.random.default_rng(4), []
+    for k, kw in ((2, {"lambda_": 0.0}), (3, {"temperature": 0.5}), (2, {"covariance_type": "spherical"}), (3, {"gating_type": "soft_kmeans", "lambda_": 3.0})):
+        own = [experts.Expert(coef=g.normal(size=5)) for _ in range(k - 1)] + [experts.Expert(const=0.2)]
+        prm = joint.JointParams(pi=np.full(k, 1 / k), mu=g.normal(size=(k, 3)) + 5.0, var=g.random((k, 3)) + 0.5, experts=own)
+        out.append((prm, joint.JointConfig(n_clusters=k, **kw)))
+    return out
+
+
+def test_components_side_by_side_give_each_setting_its_own_responsibilities():
+    X, Z, y = _chunk()
+    prms, cfgs = zip(*_settings())
+    rows = grid._Sorted({"x": X, "z": Z, "y": pd.Series(y)}, "x", "z", "y", np.full(3, 5.0))
+    side = grid._Beside(list(prms), list(cfgs), np.full(3, 5.0))
+    eta = side.eta(rows)
+    Q = side.logits(rows, eta, grid._softplus(eta)[1])
+    order, loglik = np.argsort(y, kind="stable"), None
+    first = [grid._largest(Q[a:b]) for a, b in side.segments()]
+    loglik = grid._to_shares(Q, side)
+    for i, ((a, b), prm, cfg) in enumerate(zip(side.segments(), prms, cfgs)):
+        q, lse = joint.estep_np(X[order], Z[order], y[order], prm, cfg)
+        np.testing.assert_allclose(Q[a:b].T, q, atol=1e-9)
+        assert loglik[i] == pytest.approx(lse.sum()) and np.array_equal(first[i], q.argmax(1))
+
+
+def test_sums_of_many_experts_are_those_of_each(monkeypatch):
+    X, Z, y = _chunk()
+    g = np.random.default_rng(6)
+    W, B = g.random((5, len(y))), g.normal(size=(5, 5))
+    monkeypatch.setattr(grid, "PRODUCT_ROWS", 100)
+    rows = grid._Sorted({"x": X, "z": Z, "y": pd.Series(y)}, "x", "z", "y", np.zeros(3))
+    eta = B @ rows.Z1.T
+    small, soft = grid._softplus(eta)
+    order = np.argsort(y, kind="stable")
+    got = grid._expert_sums(rows, W[:, order], eta, grid._sigmoid(eta, small), soft)
+    np.testing.assert_allclose(got, experts.expert_stats_np(Z, y, W.T, B), rtol=1e-9, atol=1e-9)
+
+
+def test_silhouettes_of_settings_send_a_row_to_a_bounded_number_of_blocks(spark, monkeypatch):
+    g = np.random.default_rng(8)
+    X, Z = g.normal(size=(150, 3)), np.column_stack([g.integers(0, 2, 150), g.integers(0, 3, 150)])
+    df = spark.createDataFrame([(i, X[i].tolist(), Z[i].tolist()) for i in range(150)], "customer_id long, x array<double>, clusters array<int>").repartition(3)
+    sizes, sent = [np.bincount(Z[:, s], minlength=k).astype(float) for s, k in enumerate((2, 3))], []
+    sequence = F.sequence
+    monkeypatch.setattr(F, "sequence", lambda a, b, *c: sent.append(b) or sequence(a, b, *c))
+    got = grid.silhouettes(df, [2, 3], sizes, "customer_id", block_rows=2)
+    assert "23" in str(sent[0])  # 24 blocks, not one for each two rows
+    for s in range(2):
+        one = df.select("customer_id", "x", F.col("clusters")[s].alias("cluster"))
+        want = quality.silhouette_euclidean_rows(one, "x", "cluster", "customer_id").agg(F.avg("silhouette")).first()[0]
+        assert got[s] == pytest.approx(want, abs=1e-12)

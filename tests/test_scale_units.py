@@ -142,3 +142,58 @@ def test_a_predicted_response_is_computed_once_a_row(spark):
     assert _optimized(out).count("0.1234567") == 1
     odd = spark.createDataFrame([([float("nan")] * 3,)], "xb array<double>")
     assert odd.select(joint.predict_response(F.col("xb"), F.col("xb"), prm, joint.JointConfig(n_clusters=2))).first()[0] == 0.25
+
+
+def test_passes_of_a_fit_share_one_conversion_of_the_rows(spark, monkeypatch):
+    X, _, df = _points(spark)
+    made, arrow = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: made.append(1) or arrow(self, *a, **k))
+    passes, add = [], cluster.sum_vectors
+    monkeypatch.setattr(cluster, "sum_vectors", lambda *a: passes.append(1) or add(*a))
+    few = cluster.kmeans_fit(df, "xb", 4, 7, 3, max_iter=1)
+    short = (len(made), len(passes))
+    made.clear(), passes.clear()
+    cluster.kmeans_fit(df, "xb", 4, 7, 3, tol=0.0)
+    assert len(passes) > short[1] and len(made) == short[0] and few[0].shape == (4, 3)
+
+
+def test_sums_over_kept_chunks(spark, monkeypatch):
+    df = spark.range(5000).repartition(3).select(F.col("id").cast("double").alias("v"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("x"))
+    length = experts.VECTOR_PART + 3
+
+    def kernel(rows):
+        assert len(rows) <= experts.CHUNK_ROWS
+        return np.r_[rows["v"].sum(), rows["x"].sum(0), np.ones(length - 3)]
+
+    for direct in (experts.DIRECT, 0):
+        monkeypatch.setattr(experts, "DIRECT", direct)
+        with experts.kept(df) as rows:
+            got = experts.sum_vectors(rows, kernel, length)
+        assert got[:3].tolist() == [4999 * 2500, 4999 * 2500, 5000] and got.shape == (length,) and len(set(got[3:])) == 1
+    with experts.kept(df.limit(0)) as rows:
+        assert not experts.sum_vectors(rows, kernel, length).any()
+
+
+def test_distance_to_the_nearest_center_is_exact_near_it():
+    g = np.random.default_rng(1)
+    X = g.normal(size=(500, 4)) + 1e4
+    C = np.concatenate([X[:3], X[3:5] + 1e-7])
+    near = cluster._to_nearest(X, C)
+    want = ((X[:, None] - C[None]) ** 2).sum(2).min(1)
+    assert np.all(near[:3] == 0) and np.all(near[3:] > 0)
+    np.testing.assert_allclose(near, want, rtol=1e-6)
+
+
+def test_newton_stops_where_the_next_step_is_below_the_tolerance(spark):
+    X, y, df = _points(spark)
+    df, steps = df.withColumn("xf", F.col("xb")), []
+
+    def stats(rows, cols, B):
+        steps.append(B[0].copy())
+        return experts._stats_pass(rows, lambda r: np.ones((len(r), 1)), cols, B, "xf", "label")
+
+    fitted = experts.fit_experts(df, None, 1, 3, balance=None, stats=stats)[0].coef
+    X1 = np.hstack([np.ones((len(X), 1)), X])
+    g = X1.T @ (1 / (1 + np.exp(-X1 @ fitted)) - y) + np.r_[0.0, fitted[1:]]
+    assert np.abs(g).max() < 1e-6
+    assert np.abs(fitted - steps[-1]).max() > 1e-9  # the last step was taken without a pass after it
